@@ -46,6 +46,18 @@ def number(text: Column) -> Column:
     return text.try_cast("double")
 
 
+def evaluate_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed a single time per row.
+
+    The optimizer pushes a filter on a derived column below the projection that derives it,
+    which repeats the derivation; for JSON parsing and array lambdas that repetition costs
+    more than the filter saves. A generator output is never inlined.
+    """
+    packed = F.struct(*[c.alias(n) for n, c in columns.items()])
+    spread = df.select("*", F.explode(F.array(packed)).alias("_once"))
+    return spread.select(*df.columns, *[F.col("_once")[n].alias(n) for n in columns])
+
+
 def _field(pair: Column, name: str) -> Column:
     return F.when(F.map_contains_key(pair, name), pair[name]).otherwise(F.lit(PAIR_DEFAULTS[name]))
 
@@ -71,17 +83,17 @@ def parse_messages(df: DataFrame, raw: str = "str") -> DataFrame:
     Other columns of ``df`` (offset, partition, ...) are kept.
     """
     options = {"columnNameOfCorruptRecord": "_bad"}
-    parsed = df.withColumn("_m", F.from_json(normalize_keys(F.col(raw)), _WIRE_TYPE, options))
+    parsed = evaluate_once(df, _m=F.from_json(normalize_keys(F.col(raw)), _WIRE_TYPE, options))
     kept = parsed.filter(F.col("_m").isNotNull() & F.col("_m._bad").isNull())
     pairs = F.transform(
         F.col("_m.pairs"), lambda p: F.struct(*[_field(p, n).alias(n) for n in PAIR_TYPE.fieldNames()])
     )
-    return kept.select(
-        *[c for c in df.columns if c != raw],
-        F.coalesce(wire_time(F.col("_m.timestamp")), F.current_timestamp()).alias("timestamp"),
-        F.coalesce(F.col("_m.datime_RX"), F.lit("")).alias("datime_rx"),
-        F.coalesce(pairs, F.array().cast(T.ArrayType(PAIR_TYPE))).alias("pairs"),
-    )
+    return evaluate_once(
+        kept,
+        timestamp=F.coalesce(wire_time(F.col("_m.timestamp")), F.current_timestamp()),
+        datime_rx=F.coalesce(F.col("_m.datime_RX"), F.lit("")),
+        pairs=F.coalesce(pairs, F.array().cast(T.ArrayType(PAIR_TYPE))),
+    ).drop(raw, "_m")
 
 
 def first_pair(pairs: Column, predicate) -> Column:
@@ -95,21 +107,49 @@ def pair_by_code(pairs: Column, code: Column | str) -> Column:
     return first_pair(pairs, lambda p: (p["alias"] == wanted) | (p["code"] == wanted))
 
 
+def pair_index(pairs: Column) -> Column:
+    """Names (alias and code of every pair) and their values, side by side in pair order.
+
+    Built once per record, it answers any number of lookups without an array lambda each.
+    """
+
+    nan = F.lit(float("nan"))
+    names = F.flatten(F.transform(pairs, lambda p: F.array(p["alias"], p["code"])))
+    values = F.flatten(F.transform(pairs, lambda p: F.array_repeat(F.coalesce(number(p["value"]), nan), 2)))
+    return F.struct(names.alias("names"), values.alias("values"))
+
+
+def indexed_number(index: Column, code: Column) -> Column:
+    """Number of the first pair whose alias or code equals ``code``.
+
+    Null when there is no such pair; junk and null values read as NaN, which keeps a present
+    pair apart from an absent one.
+    """
+    return F.get(index["values"], (F.array_position(index["names"], code) - 1).cast("int"))
+
+
 def vehicle_id(pairs: Column) -> Column:
     return first_pair(pairs, lambda p: p["code"] == F.lit(VEHICLE_CODE))["value"]
 
 
 def metric(pairs: Column, name: str) -> Column:
     """Text value of a named metric with its missing-pair default."""
-    alias, default = METRICS[name]
-    pair = first_pair(pairs, lambda p: p["alias"] == F.lit(alias))
+    return _metric_value(_metric_pair(pairs, name), name)
+
+
+def _metric_pair(pairs: Column, name: str) -> Column:
+    alias = METRICS[name][0]
+    return first_pair(pairs, lambda p: p["alias"] == F.lit(alias))
+
+
+def _metric_value(pair: Column, name: str) -> Column:
     value = F.lit(CHARGE_STATUS_PRESENT) if name == "charge_status" else pair["value"]
-    return F.when(pair.isNull(), F.lit(default)).otherwise(value)
+    return F.when(pair.isNull(), F.lit(METRICS[name][1])).otherwise(value)
 
 
 def with_vehicle(df: DataFrame) -> DataFrame:
     """Add ``vehicle_id``; records that name no vehicle are dropped."""
-    return df.withColumn("vehicle_id", vehicle_id(F.col("pairs"))).filter(F.col("vehicle_id").isNotNull())
+    return evaluate_once(df, vehicle_id=vehicle_id(F.col("pairs"))).filter(F.col("vehicle_id").isNotNull())
 
 
 def with_event_time(df: DataFrame, fall_back: bool = False) -> DataFrame:
@@ -117,20 +157,22 @@ def with_event_time(df: DataFrame, fall_back: bool = False) -> DataFrame:
     ts = parse_second_text(F.col("datime_rx"))
     if fall_back:
         ts = F.coalesce(ts, F.col("timestamp"))
-    return df.withColumn("ts", ts).filter(F.col("ts").isNotNull())
+    return evaluate_once(df, ts=ts).filter(F.col("ts").isNotNull())
 
 
 def with_metrics(df: DataFrame, *names: str) -> DataFrame:
     """Add metric columns; a record whose present number does not parse is dropped."""
     names = names or tuple(METRICS)
-    texts = df.withColumns({f"_t_{n}": metric(F.col("pairs"), n) for n in names})
-    typed = texts.withColumns(
-        {n: F.col(f"_t_{n}") if n in TEXT_METRICS else number(F.col(f"_t_{n}")) for n in names}
-    )
+    found = evaluate_once(df, **{f"_p_{n}": _metric_pair(F.col("pairs"), n) for n in names})
+    values = {}
+    for n in names:
+        text = _metric_value(F.col(f"_p_{n}"), n)
+        values[n] = text if n in TEXT_METRICS else number(text)
+    typed = evaluate_once(found, **values)
     good = F.lit(True)
     for n in names:
-        if n in TEXT_METRICS:
-            continue
-        optional = METRICS[n][1] is None
-        good = good & (F.col(n).isNotNull() | (F.col(f"_t_{n}").isNull() if optional else F.lit(False)))
-    return typed.filter(good).drop(*[f"_t_{n}" for n in names])
+        if n not in TEXT_METRICS:
+            # without a pair, an optional metric is null and that is fine
+            absent = F.col(f"_p_{n}").isNull() if METRICS[n][1] is None else F.lit(False)
+            good = good & (F.col(n).isNotNull() | absent)
+    return typed.filter(good).drop(*[f"_p_{n}" for n in names])

@@ -124,7 +124,7 @@ def open_alarms(episodes: DataFrame) -> DataFrame:
 
 def close_offline(open_episodes: DataFrame, swept: DataFrame, as_of: Column) -> DataFrame:
     """End rows, timed ``as_of``, for open episodes of vehicles the sweep found offline."""
-    offline = swept.filter(F.col("active_status") == "0").select("vehicle_id")
+    offline = swept.filter("silent").select("vehicle_id")
     closed = open_episodes.join(offline, "vehicle_id", "left_semi")
     return closed.select("unid", as_of.alias("end_ts"), "table_suf")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from fleetpulse.functions import messages as M
 from fleetpulse.functions.times import day, millis_key
 from fleetpulse.operators import timeline as TL
-from fleetpulse.operators.rules import CHARGING, STATUS_RULE, any_match, select_rules, with_model_rules
+from fleetpulse.operators.rules import CHARGING, STATUS_RULE, any_match, select_rules, with_model_rules, with_pair_index
 
 # Fixed value: a session ends when a non-charging record comes more than this after the last
 # charging one.
@@ -27,11 +27,10 @@ def charge_signals(records: DataFrame, vehicles: DataFrame, rules: DataFrame) ->
     A record charges when any charging rule of its model holds; an absent pair, an unknown
     vehicle or model mean it does not. Records with unusable numbers are dropped.
     """
-    listed = with_model_rules(
-        records.select("vehicle_id", "ts", "seq", "pairs"), vehicles, select_rules(rules, STATUS_RULE, CHARGING)
-    )
-    hot = any_match(F.col("pairs"), F.col("rules"))
-    return M.with_metrics(listed.withColumn("hot", hot), "in_charge", "soc").select(
+    indexed = with_pair_index(records.select("vehicle_id", "ts", "seq", "pairs"))
+    listed = with_model_rules(indexed, vehicles, select_rules(rules, STATUS_RULE, CHARGING))
+    hot = any_match(F.col("_index"), F.col("rules"))
+    return M.with_metrics(M.evaluate_once(listed, hot=hot), "in_charge", "soc").select(
         "vehicle_id", "ts", "seq", "in_charge", "soc", "hot", (~F.col("hot")).alias("cold")
     )
 

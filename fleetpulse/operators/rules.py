@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse.functions.messages import pair_by_code
-from fleetpulse.functions.predicates import holds
+from fleetpulse.functions.messages import evaluate_once, indexed_number, pair_index
+from fleetpulse.functions.predicates import INTERVAL_FIELDS, interval, within
 
 # Rule types and status codes.
 STATUS_RULE, ALARM_RULE = 1, 2
@@ -30,34 +30,46 @@ def ordered_rules(rules: DataFrame) -> DataFrame:
     return rules.orderBy(F.desc("inx"), "code")
 
 
+def with_intervals(rules: DataFrame) -> DataFrame:
+    """Rules with their predicate as interval columns."""
+    ends = rules.withColumn("_i", interval(F.col("option"), F.col("value"), F.col("value_last")))
+    return ends.select(*rules.columns, *[F.col("_i")[f].alias(f) for f in INTERVAL_FIELDS])
+
+
 def rules_by_model(rules: DataFrame) -> DataFrame:
     """``fiber_unid, rules``: each model's rule list, highest ``inx`` first."""
-    entry = F.struct((-F.col("inx")).alias("neg_inx"), *_FIELDS)
+    entry = F.struct((-F.col("inx")).alias("neg_inx"), *_FIELDS, *INTERVAL_FIELDS)
     return (
-        rules.filter(F.col("fiber_unid").isNotNull())
+        with_intervals(rules.filter(F.col("fiber_unid").isNotNull()))
         .groupBy("fiber_unid")
         .agg(F.sort_array(F.collect_list(entry)).alias("rules"))
     )
 
 
-def _matches(pairs: Column, rule: Column) -> Column:
-    value = pair_by_code(pairs, rule["code"])["value"]
-    return holds(rule["option"], value, rule["value"], rule["value_last"])
+def with_pair_index(records: DataFrame) -> DataFrame:
+    return evaluate_once(records, _index=pair_index(F.col("pairs")))
+
+
+def _matches(index: Column, rule: Column) -> Column:
+    # the one-element array binds the looked-up number, which the test names several times
+    number = F.array(indexed_number(index, rule["code"]))
+    return F.exists(number, lambda v: within(v, *[rule[f] for f in INTERVAL_FIELDS]))
 
 
-def first_match(pairs: Column, rules: Column) -> Column:
+def first_match(index: Column, rules: Column) -> Column:
     """First rule of the list that holds for the record; null when none does."""
-    return F.get(F.filter(rules, lambda r: _matches(pairs, r)), F.lit(0))
+    return F.get(F.filter(rules, lambda r: _matches(index, r)), F.lit(0))
 
 
-def any_match(pairs: Column, rules: Column) -> Column:
-    return F.coalesce(F.exists(rules, lambda r: _matches(pairs, r)), F.lit(False))
+def any_match(index: Column, rules: Column) -> Column:
+    return F.coalesce(F.exists(rules, lambda r: _matches(index, r)), F.lit(False))
 
 
 def with_model_rules(records: DataFrame, vehicles: DataFrame, rules: DataFrame) -> DataFrame:
     """Left-join model and rule list; both stay null for unknown vehicles and models."""
-    dims = vehicles.select("vehicle_id", "fiber_unid").join(rules_by_model(rules), "fiber_unid", "left")
-    return records.join(dims, "vehicle_id", "left")
+    modelled = records.join(vehicles.select("vehicle_id", "fiber_unid"), "vehicle_id", "left")
+    # second, so that no vehicle row ever carries its own copy of the list
+    return modelled.join(rules_by_model(rules), "fiber_unid", "left")
 
 
 def rule_checks(records: DataFrame, vehicles: DataFrame, rules: DataFrame, complete: bool = False) -> DataFrame:
@@ -66,10 +78,12 @@ def rule_checks(records: DataFrame, vehicles: DataFrame, rules: DataFrame, compl
     dims = vehicles.filter(F.col("fiber_unid").isNotNull())
     if complete:
         dims = dims.dropna(subset=["lat", "lon", "domain_unid"])
-    joined = records.join(dims.select("vehicle_id", "fiber_unid"), "vehicle_id").join(rules, "fiber_unid")
+    known = records.join(dims.select("vehicle_id", "fiber_unid"), "vehicle_id")
+    joined = with_pair_index(known).drop("pairs").join(with_intervals(rules), "fiber_unid")
+    value = indexed_number(F.col("_index"), F.col("code"))
     return (
-        joined.withColumn("pair_value", pair_by_code(F.col("pairs"), F.col("code"))["value"])
+        joined.withColumn("pair_value", value)
         .filter(F.col("pair_value").isNotNull())
-        .withColumn("holds", holds(F.col("option"), F.col("pair_value"), F.col("value"), F.col("value_last")))
-        .drop("pairs")
+        .withColumn("holds", within(F.col("pair_value"), *[F.col(f) for f in INTERVAL_FIELDS]))
+        .drop("_index", *INTERVAL_FIELDS)
     )

@@ -5,8 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetpulse.functions.messages import evaluate_once
 from fleetpulse.functions.times import micros
-from fleetpulse.operators.rules import OFFLINE, ONLINE, STATUS_RULE, first_match, select_rules, with_model_rules
+from fleetpulse.operators.rules import (
+    OFFLINE,
+    ONLINE,
+    STATUS_RULE,
+    first_match,
+    select_rules,
+    with_model_rules,
+    with_pair_index,
+)
 
 
 def latest_records(df: DataFrame, keys: list[str], order: Column, *columns: str) -> DataFrame:
@@ -24,14 +33,16 @@ def record_status(
     ``keep_current`` holds a vehicle's stored status while nothing matches, unless that
     status is missing or offline.
     """
-    listed = with_model_rules(records, vehicles, select_rules(rules, STATUS_RULE))
+    listed = with_model_rules(with_pair_index(records), vehicles, select_rules(rules, STATUS_RULE))
     default = F.lit(ONLINE)
     if keep_current:
         stored = vehicles.select("vehicle_id", F.col("active_status").try_cast("int").alias("_stored"))
         listed = listed.join(stored, "vehicle_id", "left")
         default = F.when(F.col("_stored") != OFFLINE, F.col("_stored")).otherwise(ONLINE)
-    status = F.coalesce(first_match(F.col("pairs"), F.col("rules"))["status"], default)
-    return listed.withColumn("active_status", status).drop("rules", "fiber_unid", "_stored")
+    status = F.coalesce(first_match(F.col("_index"), F.col("rules"))["status"], default)
+    return evaluate_once(listed, active_status=status).drop(
+        "rules", "fiber_unid", "_stored", "_index"
+    )
 
 
 def vehicle_status(records: DataFrame, vehicles: DataFrame, rules: DataFrame, **options) -> DataFrame:
@@ -48,13 +59,14 @@ def vehicle_status(records: DataFrame, vehicles: DataFrame, rules: DataFrame, **
 def offline_sweep(vehicles: DataFrame, as_of: Column, timeout: str = "5 minutes") -> DataFrame:
     """Vehicles unheard of for longer than ``timeout`` (or ever) become offline.
 
-    ``vehicles`` holds ``vehicle_id, active_status, last_rx``.
+    ``vehicles`` holds ``vehicle_id, active_status, last_rx``; ``silent`` marks who this
+    sweep found offline, as opposed to a status stored earlier.
     """
-    silent = F.unix_micros(as_of) - F.unix_micros("last_rx") > micros(timeout)
-    offline = F.col("last_rx").isNull() | silent
-    return vehicles.withColumn(
-        "active_status", F.when(offline, F.lit(str(OFFLINE))).otherwise(F.col("active_status"))
-    )
+    late = F.unix_micros(as_of) - F.unix_micros("last_rx") > micros(timeout)
+    offline = F.col("last_rx").isNull() | late
+    swept = vehicles.withColumn("silent", offline)
+    status = F.when(F.col("silent"), F.lit(str(OFFLINE))).otherwise(F.col("active_status"))
+    return swept.withColumn("active_status", status)
 
 
 def coalesce_last(df: DataFrame, every: str, *columns: str) -> DataFrame:

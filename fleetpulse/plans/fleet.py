@@ -289,7 +289,8 @@ def vehicle_status_keep_current(spark, sf):
     Q.with_ctes(
         *FLEET,
         select="""SELECT vehicle_id, CASE WHEN last_rx IS NULL OR TIMESTAMP '2024-01-31' - last_rx > INTERVAL 12 HOUR
-          THEN '0' ELSE active_status END AS active_status, last_rx
+          THEN '0' ELSE active_status END AS active_status, last_rx,
+          last_rx IS NULL OR TIMESTAMP '2024-01-31' - last_rx > INTERVAL 12 HOUR AS silent
         FROM vehicles LEFT JOIN (SELECT vehicle_id, max(ts) AS last_rx FROM readings GROUP BY 1) USING (vehicle_id)""",
     ),
 )

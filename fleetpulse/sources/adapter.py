@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.functions.messages import VEHICLE_CODE, METRICS
+from fleetpulse.functions.messages import METRICS, VEHICLE_CODE, evaluate_once
 
 EPOCH_US = 1_704_067_200_000_000  # 2024-01-01
 EVENT_CODES = ("click", "view", "error", "purchase", "signup")
@@ -66,7 +66,8 @@ def records(events: DataFrame) -> DataFrame:
         ],
         F.when(F.col("charge_status") == "false", _pair(F.lit(""), METRICS["charge_status"][0], F.lit("true"))),
     ]
-    return rows.select("vehicle_id", "ts", "seq", "timestamp", F.array_compact(F.array(*pairs)).alias("pairs"))
+    built = rows.select("vehicle_id", "ts", "seq", "timestamp", F.array_compact(F.array(*pairs)).alias("_pairs"))
+    return evaluate_once(built, pairs=F.col("_pairs")).drop("_pairs")
 
 
 def wire_messages(events: DataFrame) -> DataFrame:
@@ -76,7 +77,7 @@ def wire_messages(events: DataFrame) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("DATIME_RX"),
         "pairs",
     )
-    return records(events).select("seq", F.to_json(body).alias("str"))
+    return evaluate_once(records(events), str=F.to_json(body)).select("seq", "str")
 
 
 def vehicles(customer: DataFrame) -> DataFrame:
