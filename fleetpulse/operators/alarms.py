@@ -53,7 +53,12 @@ def fragments(marked: DataFrame) -> DataFrame:
     )
 
 
-def merge(frags: DataFrame) -> DataFrame:
+def as_fragments(episodes: DataFrame) -> DataFrame:
+    """Open episodes as the fragments that precede all new ones."""
+    return TL.preceding(episodes)
+
+
+def merge(frags: DataFrame, *also: Column) -> DataFrame:
     """Fragments -> one row per episode."""
     return (
         TL.number_episodes(frags, KEYS)
@@ -63,6 +68,7 @@ def merge(frags: DataFrame) -> DataFrame:
             F.max("error_name").alias("error_name"),
             F.max("_hot_us").alias("_hot_us"),
             F.max("close_ts").alias("close_ts"),
+            *also,
         )
         .drop("_episode")
     )

@@ -67,7 +67,12 @@ def fragments(marked: DataFrame) -> DataFrame:
     )
 
 
-def merge(frags: DataFrame) -> DataFrame:
+def as_fragments(sessions: DataFrame) -> DataFrame:
+    """Open sessions as the fragments that precede all new ones."""
+    return TL.preceding(sessions)
+
+
+def merge(frags: DataFrame, *also: Column) -> DataFrame:
     """Fragments -> one mergeable row per session."""
     numbered = TL.number_episodes(frags, KEYS)
     # The charge reading before a piece's own first one is the last of the previous piece.
@@ -93,6 +98,7 @@ def merge(frags: DataFrame) -> DataFrame:
             F.max_by("last_charge", _at(place, has_hot)).alias("last_charge"),
             F.max_by("charge_before", _at(place, has_hot)).alias("charge_before"),
             F.max_by("last_soc", _at(place, F.col("last_soc").isNotNull())).alias("last_soc"),
+            *also,
         )
         .drop("_episode")
     )

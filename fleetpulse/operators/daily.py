@@ -70,7 +70,7 @@ def fragments(
         summary = summary.unionByName(
             state.select(
                 *keys,
-                F.lit(-(2**62)).cast("bigint").alias("_slice"),
+                F.lit(TL.PAST_SLICE).alias("_slice"),
                 F.col("first_mile").alias("_first"),
                 F.col("max_mile").alias("_mile"),
                 F.unix_micros("last.ts").alias("_us"),
@@ -83,7 +83,7 @@ def fragments(
         F.first("_first", ignorenulls=True).over(TL.up_to(slices)).alias("_first"),
         F.max("_mile").over(TL.before(slices)).alias("_mile"),
         F.max("_us").over(TL.before(slices)).alias("_us"),
-    ).filter(F.col("_slice") > F.lit(-(2**62)))
+    ).filter(F.col("_slice") > F.lit(TL.PAST_SLICE))
 
     window = TL.slice_window(keys, ["ts", "seq"])
     walked = TL.with_headers(base, headers).select(
@@ -144,9 +144,9 @@ def _merged(over=None) -> list[Column]:
     return [(c.over(over) if over is not None else c).alias(n) for n, c in merged.items()]
 
 
-def merge(frags: DataFrame) -> DataFrame:
-    """Fragments -> one mergeable statistic per (day, vehicle)."""
-    return frags.groupBy(*KEYS).agg(*_merged())
+def merge(frags: DataFrame, *also: Column) -> DataFrame:
+    """Fragments -> one mergeable statistic per (day, vehicle), and other aggregates."""
+    return frags.groupBy(*KEYS).agg(*_merged(), *also)
 
 
 def report(state: DataFrame, *extra: str) -> DataFrame:

@@ -71,5 +71,7 @@ def offline_sweep(vehicles: DataFrame, as_of: Column, timeout: str = "5 minutes"
 
 def coalesce_last(df: DataFrame, every: str, *columns: str) -> DataFrame:
     """Last record per vehicle and interval (``flush_ts`` is the interval's end)."""
-    timed = df.withColumn("flush_ts", F.window("ts", every)["end"])
-    return latest_records(timed, ["vehicle_id", "flush_ts"], F.struct("ts", "seq"), *columns)
+    timed = df.withColumn("_interval", F.window("ts", every))
+    names = columns or tuple(df.columns)
+    last = latest_records(timed, ["vehicle_id", "_interval"], F.struct("ts", "seq"), *[c for c in names if c != "vehicle_id"])
+    return last.select("vehicle_id", F.col("_interval.end").alias("flush_ts"), *[c for c in names if c != "vehicle_id"])

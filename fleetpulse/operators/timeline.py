@@ -25,6 +25,10 @@ from fleetpulse.functions.times import micros
 DEFAULT_SLICE = "10 minutes"
 
 
+# Slice number of what happened before the data at hand.
+PAST_SLICE = -(2**62)
+
+
 def slice_number(ts: Column, width: str = DEFAULT_SLICE) -> Column:
     return F.floor(F.unix_micros(ts) / F.lit(micros(width))).cast("bigint")
 
@@ -87,7 +91,7 @@ def mark_gap_episodes(rows: DataFrame, rule: GapRule, open_state: DataFrame | No
         # The open episode acts as a slice in front of all others.
         first = open_state.select(
             *keys,
-            F.lit(-(2**62)).cast("bigint").alias("_slice"),
+            F.lit(PAST_SLICE).alias("_slice"),
             F.col("_hot0").alias("_hot_us"),
             F.lit(None).cast("bigint").alias("_cold_us"),
         )
@@ -114,6 +118,11 @@ def mark_gap_episodes(rows: DataFrame, rule: GapRule, open_state: DataFrame | No
     )
 
 
+def preceding(episodes: DataFrame) -> DataFrame:
+    """Merged open episodes as fragments in front of any other."""
+    return episodes.withColumns({"_slice": F.lit(PAST_SLICE), "_seg": F.lit(0).cast("bigint"), "_begins": F.lit(True)})
+
+
 def number_episodes(fragments: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Number the episodes of a key over its fragments.
 

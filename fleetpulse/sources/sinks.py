@@ -22,6 +22,13 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(path)
 
 
+def latest_version(batches: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The last written row per key of rows from ``read_batches``."""
+    fields = [c for c in batches.columns if c not in keys and c != "batch_id"]
+    last = batches.groupBy(*keys).agg(F.max_by(F.struct(*fields), "batch_id").alias("_last"))
+    return last.select(*keys, *[F.col("_last")[c].alias(c) for c in fields])
+
+
 class Snapshot:
     """A table rewritten at each micro-batch.
 
@@ -29,23 +36,23 @@ class Snapshot:
     own input, a replay of n starts from the same data, and two folders are kept in all.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema):
-        self._spark, self._path, self._schema = spark, path, schema
+    def __init__(self, path: str, schema):
+        self._path, self._schema = path, schema
 
     def _slot(self, batch_id: int) -> str:
         return f"{self._path}/slot={batch_id % 2}"
 
-    def before(self, batch_id: int) -> DataFrame:
+    def before(self, spark: SparkSession, batch_id: int) -> DataFrame:
         if batch_id == 0:
-            return self._spark.createDataFrame([], self._schema)
-        return self._spark.read.schema(self._schema).parquet(self._slot(batch_id - 1))
+            return spark.createDataFrame([], self._schema)
+        return self.after(spark, batch_id - 1)
+
+    def after(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        return spark.read.schema(self._schema).parquet(self._slot(batch_id))
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(self._slot(batch_id))
 
-    def after(self, batch_id: int) -> DataFrame:
-        return self._spark.read.schema(self._schema).parquet(self._slot(batch_id))
-
 
 def jdbc_append(df: DataFrame, url: str, table: str, **options) -> None:
     """Append rows to a relational table, partition by partition in batches."""

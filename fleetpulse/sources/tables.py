@@ -54,8 +54,8 @@ class RefreshingTable:
         self._load, self._max_age, self._clock = load, max_age_s, clock
         self._df, self._at = None, None
 
-    def __call__(self) -> DataFrame:
+    def __call__(self, spark: SparkSession) -> DataFrame:
         now = self._clock()
         if self._df is None or now - self._at > self._max_age:
-            self._df, self._at = self._load(), now
+            self._df, self._at = self._load(spark), now
         return self._df

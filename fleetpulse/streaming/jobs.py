@@ -1,0 +1,226 @@
+"""Stateful micro-batch jobs.
+
+Each job is a ``foreachBatch`` function. It runs the batch operators over the micro-batch with
+the state left by the previous one and writes the new state, so streaming and batch share one
+definition, stay in the JVM, and split a hot vehicle by time slice in either mode. State and
+results are keyed by batch id: a replayed batch reads and writes the same data again.
+
+State lives below ``path`` in storage all executors share. It holds unfinished things only:
+vehicle-days inside the horizon, open episodes, and each vehicle's last record, which tells
+late rows. Late rows are kept aside in ``path/late``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from datetime import timedelta
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fleetpulse.functions.times import day, micros
+from fleetpulse.operators import alarms as A
+from fleetpulse.operators import charging as C
+from fleetpulse.operators import daily as D
+from fleetpulse.operators import keyed as K
+from fleetpulse.operators import status as S
+from fleetpulse.operators import timeline as TL
+from fleetpulse.sources.sinks import Snapshot, append_batch
+
+Table = Callable[[SparkSession], DataFrame]
+
+SEEN_SCHEMA = "vehicle_id string, last struct<ts: timestamp, seq: bigint>"
+
+
+def _empty(spark: SparkSession, schema: str) -> DataFrame:
+    return spark.createDataFrame([], schema)
+
+
+class _Arrivals:
+    """Splits late rows off: those not after the vehicle's last record of earlier batches."""
+
+    def __init__(self, path: str):
+        self._seen = Snapshot(f"{path}/seen", SEEN_SCHEMA)
+        self._late = f"{path}/late"
+
+    def on_time(self, rows: DataFrame, batch_id: int) -> DataFrame:
+        spark = rows.sparkSession
+        known = self._seen.before(spark, batch_id)
+        tagged = rows.join(known, "vehicle_id", "left").withColumn(
+            "_is_late", F.coalesce(F.struct("ts", "seq") <= F.col("last"), F.lit(False))
+        )
+        append_batch(tagged.filter("_is_late").drop("_is_late", "last"), self._late, batch_id)
+        heard = rows.groupBy("vehicle_id").agg(
+            F.max(F.struct(F.col("ts"), F.col("seq").cast("bigint").alias("seq"))).alias("last")
+        )
+        both = known.unionByName(heard)
+        self._seen.write(both.groupBy("vehicle_id").agg(F.max("last").alias("last")), batch_id)
+        return tagged.filter(~F.col("_is_late")).drop("_is_late", "last")
+
+
+def daily_job(spark: SparkSession, path: str, horizon_days: int = 2, **options) -> Callable[[DataFrame, int], None]:
+    """Daily statistics: each batch writes the vehicle-days it changed to ``path/out``.
+
+    The input has the columns of ``daily.readings``. Days older than the horizon leave the
+    state, and the vehicle's last record keeps their late rows out.
+    """
+    rows_schema = (
+        "vehicle_id string, ts timestamp, seq bigint, timestamp timestamp, mileage double, energy double, "
+        "fuel double, charge_all double, charge_status string"
+    )
+    last_change = F.max("batch").alias("batch")
+    blank = D.fragments(_empty(spark, rows_schema)).withColumn("batch", F.lit(0).cast("bigint"))
+    state = Snapshot(f"{path}/state", D.merge(blank, last_change).schema)
+    arrivals = _Arrivals(path)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        batch.persist()
+        rows = arrivals.on_time(batch, batch_id).persist()
+        before = state.before(session, batch_id)
+        frags = D.fragments(rows, state=before.drop("batch"), **options)
+        merged = D.merge(before.unionByName(frags.withColumn("batch", F.lit(batch_id).cast("bigint"))), last_change)
+        newest = rows.agg(F.max("ts")).first()[0]  # one value
+        if newest is not None:
+            limit = newest - timedelta(days=horizon_days)
+            merged = merged.filter((F.col("batch") == batch_id) | (F.col("last.ts") >= F.lit(limit)))
+        state.write(merged, batch_id)
+        changed = state.after(session, batch_id).filter(F.col("batch") == batch_id)
+        append_batch(D.report(changed), f"{path}/out", batch_id)
+        rows.unpersist()
+        batch.unpersist()
+
+    return run
+
+
+def _episode_job(spark, path, signals, rule, family, publish, expire=None) -> Callable[[DataFrame, int], None]:
+    """Shared frame of the two episode machines (``family`` is the module of one of them)."""
+    last_change = F.max("batch").alias("batch")
+    zero = F.lit(0).cast("bigint")
+    state = None
+    arrivals = _Arrivals(path)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        nonlocal state
+        session = batch.sparkSession
+        batch.persist()
+        rows = signals(session, arrivals.on_time(batch, batch_id)).persist()
+        if state is None:
+            blank = family.fragments(TL.mark_gap_episodes(rows.limit(0), rule)).withColumn("batch", zero)
+            state = Snapshot(f"{path}/state", family.merge(blank, last_change).schema)
+        opened = state.before(session, batch_id).filter(F.col("close_ts").isNull())
+        hot = opened.select(*rule.keys, F.col("_hot_us").alias("_hot0"))
+        frags = family.fragments(TL.mark_gap_episodes(rows, rule, hot)).withColumn("batch", zero + batch_id)
+        merged = family.merge(family.as_fragments(opened).unionByName(frags), last_change)
+        if expire is not None:
+            newest = batch.agg(F.max("ts")).first()[0]  # one value
+            if newest is not None:
+                merged = expire(merged, F.lit(newest))
+                ended = F.col("close_ts").isNotNull()
+                merged = merged.withColumn("batch", F.when(ended, zero + batch_id).otherwise(F.col("batch")))
+        state.write(merged, batch_id)
+        changed = state.after(session, batch_id).filter(F.col("batch") == batch_id)
+        append_batch(publish(session, changed), f"{path}/out", batch_id)
+        rows.unpersist()
+        batch.unpersist()
+
+    return run
+
+
+def alarm_job(
+    spark: SparkSession, path: str, vehicles: Table, rules: Table, gap: str = A.ALARM_GAP, **options
+) -> Callable[[DataFrame, int], None]:
+    """Alarm episodes: each batch writes the episodes it opened, extended or closed.
+
+    ``begin_events`` and ``end_events`` of those rows feed an event store; both carry the
+    episode's id, so applying them again changes nothing.
+    """
+    return _episode_job(
+        spark,
+        path,
+        lambda session, rows: A.alarm_signals(rows, vehicles(session), rules(session)),
+        A.gap_rule(gap, **options),
+        A,
+        lambda session, episodes: A.publish(episodes, vehicles(session)),
+    )
+
+
+def charge_job(
+    spark: SparkSession,
+    path: str,
+    vehicles: Table,
+    rules: Table,
+    gap: str = C.CHARGE_GAP,
+    expire_after: str | None = None,
+    **options,
+) -> Callable[[DataFrame, int], None]:
+    """Charging sessions: each batch writes the sessions it opened, extended or closed.
+
+    ``expire_after`` closes sessions that began longer ago than that.
+    """
+    expire = None
+    if expire_after is not None:
+        limit = micros(expire_after)
+
+        def expire(sessions, now):
+            return C.expire_sessions(sessions, now, limit)
+
+    return _episode_job(
+        spark,
+        path,
+        lambda session, rows: C.charge_signals(rows, vehicles(session), rules(session)),
+        C.gap_rule(gap, **options),
+        C,
+        lambda session, sessions: C.publish(sessions),
+        expire,
+    )
+
+
+STATUS_SCHEMA = "vehicle_id string, active_status string, last struct<ts: timestamp, seq: bigint>"
+
+
+def status_job(path: str, vehicles: Table, rules: Table) -> Callable[[DataFrame, int], None]:
+    """Current status: field-level upsert of each batch's last status per vehicle."""
+    state = Snapshot(f"{path}/state", STATUS_SCHEMA)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        last = S.latest_records(batch, ["vehicle_id"], F.struct("ts", "seq"), "ts", "seq", "pairs")
+        status = S.record_status(last, vehicles(session), rules(session)).select(
+            "vehicle_id",
+            F.col("active_status").cast("string").alias("active_status"),
+            F.struct(F.col("ts"), F.col("seq").cast("bigint").alias("seq")).alias("last"),
+        )
+        both = state.before(session, batch_id).unionByName(status)
+        merged = both.groupBy("vehicle_id").agg(
+            F.max_by("active_status", "last").alias("active_status"), F.max("last").alias("last")
+        )
+        state.write(merged, batch_id)
+        current = state.after(session, batch_id)
+        append_batch(
+            current.join(status.select("vehicle_id"), "vehicle_id", "left_semi").select(
+                "vehicle_id", "active_status", F.col("last.ts").alias("ts")
+            ),
+            f"{path}/out",
+            batch_id,
+        )
+
+    return run
+
+
+def counter_job(path: str, keys: list[str], delta: str = "count") -> Callable[[DataFrame, int], None]:
+    """Running counters: adds each batch's deltas and writes the counters they changed."""
+    state = None
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        nonlocal state
+        session = batch.sparkSession
+        change = K.count_deltas(batch, keys, delta)
+        if state is None:
+            state = Snapshot(f"{path}/state", change.schema)
+        merged = K.add_to_counters(state.before(session, batch_id), change, keys, "value")
+        state.write(merged, batch_id)
+        changed = state.after(session, batch_id).join(change.select(*keys), keys, "left_semi")
+        append_batch(changed, f"{path}/out", batch_id)
+
+    return run
