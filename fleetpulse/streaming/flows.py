@@ -65,46 +65,60 @@ def flushed_last(rows: DataFrame, every: str, delay: str, *columns: str) -> Data
     return S.coalesce_last(rows.withWatermark("ts", delay), every, *columns)
 
 
-def _latest_per_batch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _stretches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """First and last time per vehicle of each Arrow batch."""
     for pdf in frames:
-        yield pdf.groupby("vehicle_id", as_index=False)["ts"].max()
+        times = pdf.groupby("vehicle_id")["ts"]
+        yield pd.DataFrame({"start": times.min(), "ts": times.max()}).reset_index()
 
 
 def presence_changes(rows: DataFrame, timeout: str = "5 minutes", delay: str = "1 minute") -> DataFrame:
     """Online and offline transitions of each vehicle, by event time.
 
-    Only the latest time matters, so rows are reduced before they are shuffled to the state.
+    Rows are reduced to first and last times before they are shuffled to the state, so a busy
+    vehicle sends a few rows per micro-batch. A pause hidden inside one such stretch is not
+    seen, as a periodic sweep would not see it either.
     """
-    timeout_ms = int(pd.Timedelta(timeout).total_seconds() * 1000)
+    limit = int(pd.Timedelta(timeout).total_seconds() * 1000)
 
-    def follow(
-        key: tuple, frames: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        last_ms, online = state.get if state.exists else (0, False)
+    def ms(t: pd.Timestamp) -> int:
+        return t.value // 1_000_000
+
+    def follow(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last = state.get[0] if state.exists else None
         changes = []
         if state.hasTimedOut:
-            changes.append((key[0], "0", pd.Timestamp(last_ms + timeout_ms, unit="ms")))
-            online = False
-        else:
-            newest = max(int(pdf["ts"].max().timestamp() * 1000) for pdf in frames)
-            if not online:
-                changes.append((key[0], "2", pd.Timestamp(newest, unit="ms")))
-            online, last_ms = True, max(last_ms, newest)
-        if online:
-            state.update((last_ms, True))
-            state.setTimeoutTimestamp(max(last_ms + timeout_ms, state.getCurrentWatermarkMs() + 1))
+            changes.append(("0", last + limit))
+            last = None
         else:
+            stretches = sorted((ms(r.start), ms(r.ts)) for pdf in frames for r in pdf.itertuples())
+            for start, end in stretches:
+                if last is not None and start - last > limit:
+                    changes.append(("0", last + limit))
+                    last = None
+                if last is None:
+                    changes.append(("2", start))
+                last = end if last is None else max(last, end)
+        if last is None:
             state.remove()
-        yield pd.DataFrame(changes, columns=["vehicle_id", "active_status", "ts"])
-
-    latest = rows.select("vehicle_id", "ts").mapInPandas(_latest_per_batch, "vehicle_id string, ts timestamp")
+        else:
+            state.update((last,))
+            state.setTimeoutTimestamp(max(last + limit, state.getCurrentWatermarkMs() + 1))
+        if changes:
+            status, at = zip(*changes)
+            times = pd.to_datetime(list(at), unit="ms")
+            yield pd.DataFrame({"vehicle_id": key[0], "active_status": list(status), "ts": times})
+
+    reduced = rows.select("vehicle_id", "ts").mapInPandas(
+        _stretches, "vehicle_id string, start timestamp, ts timestamp"
+    )
     return (
-        latest.withWatermark("ts", delay)
+        reduced.withWatermark("ts", delay)
         .groupBy("vehicle_id")
         .applyInPandasWithState(
             follow,
             "vehicle_id string, active_status string, ts timestamp",
-            "last_ms bigint, online boolean",
+            "last_ms bigint",
             "append",
             GroupStateTimeout.EventTimeTimeout,
         )
