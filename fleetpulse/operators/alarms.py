@@ -42,46 +42,28 @@ def alarm_signals(records: DataFrame, vehicles: DataFrame, rules: DataFrame) ->
     )
 
 
-def fragments(marked: DataFrame) -> DataFrame:
+def fragments(signals: DataFrame, rule: TL.GapRule) -> DataFrame:
     """Episode pieces per slice, mergeable in time order."""
-    return marked.groupBy(*KEYS, "_slice", "_seg").agg(
-        F.max("is_begin").alias("_begins"),
-        F.max(F.when(F.col("is_begin"), F.col("ts"))).alias("begin_ts"),
-        F.max(F.when(F.col("is_begin"), F.col("alarm_name"))).alias("error_name"),
-        F.max("_hot_us").alias("_hot_us"),
-        F.max(F.when(F.col("is_close"), F.col("ts"))).alias("close_ts"),
-    )
+    named = F.max(F.when(F.col("_starts"), F.col("alarm_name"))).alias("error_name")
+    return TL.gap_segments(signals, rule).groupBy(*KEYS, "_slice", "_seg").agg(*TL.fragment_times(), named)
 
 
-def as_fragments(episodes: DataFrame) -> DataFrame:
-    """Open episodes as the fragments that precede all new ones."""
-    return TL.preceding(episodes)
-
-
-def merge(frags: DataFrame, *also: Column) -> DataFrame:
-    """Fragments -> one row per episode."""
-    return (
-        TL.number_episodes(frags, KEYS)
-        .groupBy(*KEYS, "_episode")
-        .agg(
-            F.max("begin_ts").alias("begin_ts"),
-            F.max("error_name").alias("error_name"),
-            F.max("_hot_us").alias("_hot_us"),
-            F.max("close_ts").alias("close_ts"),
-            *also,
-        )
-        .drop("_episode")
-    )
+def merge(frags: DataFrame, rule: TL.GapRule, *also: Column) -> DataFrame:
+    """Fragments -> one row per episode, itself a fragment for later data."""
+    named = F.max(F.when(F.col("_begins"), F.col("error_name"))).alias("error_name")
+    grouped = TL.joined_fragments(frags, rule).groupBy(*KEYS, "_episode")
+    return grouped.agg(*TL.episode_times(rule), named, *also).drop("_episode")
 
 
 def _identity() -> Column:
-    return episode_unid(F.col("vehicle_id"), F.col("code"), F.col("level"), F.unix_micros("begin_ts"))
+    return episode_unid(F.col("vehicle_id"), F.col("code"), F.col("level"), F.col("_first_us"))
 
 
 def publish(episodes: DataFrame, vehicles: DataFrame) -> DataFrame:
     """Episode rows with id, vehicle position and month partition. ``end_ts`` is the last hot
     record of a closed episode and null while it is open."""
     dims = vehicles.select("vehicle_id", "domain_unid", "lat", "lon")
+    begin_ts = F.timestamp_micros("_first_us")
     return episodes.join(dims, "vehicle_id", "left").select(
         _identity().alias("unid"),
         "vehicle_id",
@@ -91,9 +73,9 @@ def publish(episodes: DataFrame, vehicles: DataFrame) -> DataFrame:
         "error_name",
         "lat",
         "lon",
-        "begin_ts",
-        F.when(F.col("close_ts").isNotNull(), F.timestamp_micros("_hot_us")).alias("end_ts"),
-        month_suffix(F.col("begin_ts")).alias("table_suf"),
+        begin_ts.alias("begin_ts"),
+        F.when(F.col("closed"), F.timestamp_micros("_hot_us")).alias("end_ts"),
+        month_suffix(begin_ts).alias("table_suf"),
     )
 
 
@@ -101,9 +83,8 @@ def alarm_episodes(
     records: DataFrame, vehicles: DataFrame, rules: DataFrame, gap: str = ALARM_GAP, **options
 ) -> DataFrame:
     """All episodes of the records, open ones included."""
-    signals = alarm_signals(records, vehicles, rules)
-    marked = TL.mark_gap_episodes(signals, gap_rule(gap, **options))
-    return publish(merge(fragments(marked)), vehicles)
+    rule = gap_rule(gap, **options)
+    return publish(merge(fragments(alarm_signals(records, vehicles, rules), rule), rule), vehicles)
 
 
 def begin_events(episodes: DataFrame) -> DataFrame:

@@ -35,69 +35,54 @@ def charge_signals(records: DataFrame, vehicles: DataFrame, rules: DataFrame) ->
     )
 
 
-def _at(order: Column, condition: Column) -> Column:
-    return F.when(condition, order)
-
-
-def fragments(marked: DataFrame) -> DataFrame:
+def fragments(signals: DataFrame, rule: TL.GapRule) -> DataFrame:
     """Session pieces per slice. Besides first and last readings a piece keeps its
     second-to-last charge, which decides the start charge of sessions that begin at zero."""
     order = F.struct("ts", "seq")
     hot = F.col("hot")
-    before = TL.before(W.partitionBy(*KEYS, "_slice", "_seg").orderBy("ts", "seq"))
-    rows = marked.withColumns(
-        {
-            "_charge_before": F.last(F.when(hot, F.col("in_charge")), ignorenulls=True).over(before),
-        }
-    )
+    positive = F.when(hot & (F.col("in_charge") > 0), order)
+    earlier = F.last(F.when(hot, F.col("in_charge")), ignorenulls=True).over(TL.before(rule.row_window()))
+    rows = TL.gap_segments(signals, rule).withColumn("_earlier", earlier)
+    several = F.sum(hot.cast("int")) > 1
     return rows.groupBy(*KEYS, "_slice", "_seg").agg(
-        F.max("is_begin").alias("_begins"),
+        *TL.fragment_times(),
         F.sum(hot.cast("bigint")).alias("n"),
-        F.max("_hot_us").alias("_hot_us"),
-        F.max(F.when(F.col("is_begin"), F.col("ts"))).alias("begin_ts"),
-        F.max(F.when(F.col("is_close"), F.col("ts"))).alias("close_ts"),
-        F.min_by("in_charge", _at(order, F.col("is_begin"))).alias("first_charge"),
-        F.min_by("soc", _at(order, F.col("is_begin"))).alias("first_soc"),
-        F.min_by("in_charge", _at(order, hot & (F.col("in_charge") > 0))).alias("positive_charge"),
-        F.min(_at(order, hot & (F.col("in_charge") > 0))).alias("positive_at"),
-        F.max(_at(order, hot)).alias("last_at"),
-        F.max_by("in_charge", _at(order, hot)).alias("last_charge"),
-        F.max_by("_charge_before", _at(order, hot)).alias("charge_before"),
-        F.max_by("soc", _at(order, hot & ~F.col("is_begin") & (F.col("soc") > 0))).alias("last_soc"),
+        F.max(F.when(F.col("_starts"), F.col("in_charge"))).alias("first_charge"),
+        F.max(F.when(F.col("_starts"), F.col("soc"))).alias("first_soc"),
+        F.min_by("in_charge", positive).alias("positive_charge"),
+        F.min(positive).alias("positive_at"),
+        F.max(F.when(hot, order)).alias("last_at"),
+        F.max_by("in_charge", F.when(hot, order)).alias("last_charge"),
+        F.when(several, F.max_by("_earlier", F.when(hot, order))).alias("charge_before"),
+        F.max_by("soc", F.when(hot & ~F.col("_starts") & (F.col("soc") > 0), order)).alias("rest_soc"),
     )
 
 
-def as_fragments(sessions: DataFrame) -> DataFrame:
-    """Open sessions as the fragments that precede all new ones."""
-    return TL.preceding(sessions)
-
-
-def merge(frags: DataFrame, *also: Column) -> DataFrame:
-    """Fragments -> one mergeable row per session."""
-    numbered = TL.number_episodes(frags, KEYS)
+def merge(frags: DataFrame, rule: TL.GapRule, *also: Column) -> DataFrame:
+    """Fragments -> one row per session, itself a fragment for later data."""
     # The charge reading before a piece's own first one is the last of the previous piece.
-    pieces = W.partitionBy(*KEYS, "_episode").orderBy("_slice", "_seg")
-    linked = numbered.withColumn(
-        "charge_before",
-        F.coalesce("charge_before", F.last("last_charge", ignorenulls=True).over(TL.before(pieces))),
+    pieces = TL.before(W.partitionBy(*KEYS, "_episode").orderBy("_slice", "_seg"))
+    first_counts = F.when(~F.col("_begins") & (F.col("first_soc") > 0), F.col("first_soc"))
+    linked = TL.joined_fragments(frags, rule).withColumns(
+        {
+            "charge_before": F.coalesce("charge_before", F.last("last_charge", ignorenulls=True).over(pieces)),
+            "rest_soc": F.coalesce("rest_soc", first_counts),
+        }
     )
-    place = F.struct("_slice", "_seg")
-    has_hot = F.col("last_at").isNotNull()
+    begins = F.col("_begins")
     return (
         linked.groupBy(*KEYS, "_episode")
         .agg(
+            *TL.episode_times(rule),
             F.sum("n").alias("n"),
-            F.max("_hot_us").alias("_hot_us"),
-            F.max("begin_ts").alias("begin_ts"),
-            F.max("close_ts").alias("close_ts"),
-            F.max("first_charge").alias("first_charge"),
-            F.max("first_soc").alias("first_soc"),
+            F.max(F.when(begins, F.col("first_charge"))).alias("first_charge"),
+            F.max(F.when(begins, F.col("first_soc"))).alias("first_soc"),
             F.min_by("positive_charge", "positive_at").alias("positive_charge"),
             F.min("positive_at").alias("positive_at"),
             F.max("last_at").alias("last_at"),
-            F.max_by("last_charge", _at(place, has_hot)).alias("last_charge"),
-            F.max_by("charge_before", _at(place, has_hot)).alias("charge_before"),
-            F.max_by("last_soc", _at(place, F.col("last_soc").isNotNull())).alias("last_soc"),
+            F.max_by("last_charge", "last_at").alias("last_charge"),
+            F.max_by("charge_before", "last_at").alias("charge_before"),
+            F.max_by("rest_soc", F.when(F.col("rest_soc").isNotNull(), F.col("last_at"))).alias("rest_soc"),
             *also,
         )
         .drop("_episode")
@@ -106,7 +91,8 @@ def merge(frags: DataFrame, *also: Column) -> DataFrame:
 
 def publish(sessions: DataFrame) -> DataFrame:
     """Session rows. An open session has start values only."""
-    closed = F.col("close_ts").isNotNull()
+    closed = F.col("closed")
+    begin_ts = F.timestamp_micros("_first_us")
     # A session starts with its first positive charge before the last record, else with the
     # reading before the last.
     repaired = (
@@ -120,15 +106,15 @@ def publish(sessions: DataFrame) -> DataFrame:
         return F.when(closed, c)
 
     return sessions.select(
-        millis_key(F.col("begin_ts"), F.col("vehicle_id")).alias("row_key"),
+        millis_key(begin_ts, F.col("vehicle_id")).alias("row_key"),
         "vehicle_id",
-        F.col("begin_ts").alias("start_date"),
+        begin_ts.alias("start_date"),
         on_close(F.timestamp_micros("_hot_us")).alias("end_date"),
         start.alias("start_charge"),
         on_close(F.col("last_charge")).alias("end_charge"),
         on_close(F.col("last_charge") - repaired).alias("charge"),
         F.col("first_soc").alias("start_soc"),
-        on_close(F.coalesce("last_soc", "first_soc")).alias("end_soc"),
+        on_close(F.coalesce("rest_soc", "first_soc")).alias("end_soc"),
         (~closed).alias("is_open"),
     )
 
@@ -136,17 +122,15 @@ def publish(sessions: DataFrame) -> DataFrame:
 def charge_sessions(
     records: DataFrame, vehicles: DataFrame, rules: DataFrame, gap: str = CHARGE_GAP, **options
 ) -> DataFrame:
-    signals = charge_signals(records, vehicles, rules)
-    marked = TL.mark_gap_episodes(signals, gap_rule(gap, **options))
-    return publish(merge(fragments(marked)))
+    rule = gap_rule(gap, **options)
+    return publish(merge(fragments(charge_signals(records, vehicles, rules), rule), rule))
 
 
 def expire_sessions(sessions: DataFrame, as_of: Column, older_than_us: int) -> DataFrame:
     """Mergeable open sessions begun longer ago than ``older_than_us`` get closed at their
     last charging record."""
-    old = F.unix_micros(as_of) - F.unix_micros("begin_ts") > F.lit(older_than_us)
-    expired = F.col("close_ts").isNull() & old
-    return sessions.withColumn("close_ts", F.when(expired, as_of).otherwise(F.col("close_ts")))
+    old = F.unix_micros(as_of) - F.col("_first_us") > F.lit(older_than_us)
+    return sessions.withColumn("closed", F.col("closed") | old)
 
 
 def daily_charge(sessions: DataFrame) -> DataFrame:

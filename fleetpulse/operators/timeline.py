@@ -1,14 +1,14 @@
 """Per-key timelines that survive one key holding much of the data.
 
 A plain ``Window.partitionBy(vehicle)`` puts a vehicle's whole history into one task. Here
-every timeline is cut into fixed time slices and the row-level window runs per (key, slice).
-What a slice must know about the past is small and comes from one summary row per slice:
-
-1. summaries: ``groupBy(key, slice)``, combined map-side;
-2. a running window over the summaries, whose length is bounded by the covered time and not
-   by the number of rows;
-3. the running value enters the row-level window as one *header row* in front of its slice,
-   so rows are exchanged and sorted once and no join is needed.
+every timeline is cut into fixed time slices: row-level windows run per (key, slice), and only
+small per-slice results meet per key. Their number is bounded by the covered time, not by the
+number of rows.
+
+Two forms are used. *Fragments* (episodes): a slice is reduced to mergeable pieces that do not
+need to know the past, and the pieces are joined up per key. *Header rows* (statistics whose
+rows must know the past): the running value of earlier slices enters the row-level window as
+one extra row in front of the slice, so no join is needed.
 """
 
 from __future__ import annotations
@@ -63,71 +63,81 @@ class GapRule:
     gap: str
     slice_width: str = DEFAULT_SLICE
 
+    @property
+    def gap_us(self) -> int:
+        return micros(self.gap)
 
-def mark_gap_episodes(rows: DataFrame, rule: GapRule, open_state: DataFrame | None = None) -> DataFrame:
-    """Mark episode begins and ends.
+    def row_window(self):
+        return W.partitionBy(*self.keys, "_slice").orderBy(*self.order)
 
-    ``rows`` needs the key columns, ``ts``, the order columns and booleans ``hot`` and
-    ``cold`` (a row that is neither does not take part). ``open_state`` carries
-    ``keys + _hot0`` (micros of the last hot row) of episodes left open by earlier data.
 
-    Adds ``is_begin``, ``is_close``, ``_hot_us``, ``_slice`` and ``_seg``; rows of one slice
-    with equal ``_seg`` belong to the same episode, and ``_seg`` 0 continues an earlier one.
+def _ended(hot: Column, cold: Column, rule: GapRule) -> Column:
+    """The latest cold row is the one furthest from the latest hot row, so it alone tells
+    whether the episode has ended."""
+    return F.coalesce(cold - hot > F.lit(rule.gap_us), F.lit(False))
+
+
+def gap_segments(rows: DataFrame, rule: GapRule) -> DataFrame:
+    """Cut each slice into segments; hot rows of one segment belong to one episode.
+
+    ``rows`` needs the key columns, ``ts``, the order columns and booleans ``hot`` and
+    ``cold`` (a row that is neither takes no part). Adds ``_slice``, ``_seg`` (0 before the
+    slice's first hot row), ``_starts`` on a segment's first hot row, and the times
+    ``_hot_us`` and ``_cold_us``.
     """
-    keys = list(rule.keys)
-    gap = F.lit(micros(rule.gap))
     us = F.unix_micros("ts")
     base = (
         rows.filter(F.col("hot") | F.col("cold"))
         .withColumn("_slice", slice_number(F.col("ts"), rule.slice_width))
         .withColumn("_hot_us", F.when(F.col("hot"), us))
-        .withColumn("_cold_us", F.when(F.col("cold") & ~F.col("hot"), us))
+        .withColumn("_cold_us", F.when(~F.col("hot"), us))
     )
-    summary = base.groupBy(*keys, "_slice").agg(
-        F.max("_hot_us").alias("_hot_us"), F.max("_cold_us").alias("_cold_us")
+    window = rule.row_window()
+    seen = base.withColumns(
+        {"_prev_hot": F.max("_hot_us").over(before(window)), "_prev_cold": F.max("_cold_us").over(before(window))}
     )
-    past = before(W.partitionBy(*keys).orderBy("_slice"))
-    if open_state is not None:
-        # The open episode acts as a slice in front of all others.
-        first = open_state.select(
-            *keys,
-            F.lit(PAST_SLICE).alias("_slice"),
-            F.col("_hot0").alias("_hot_us"),
-            F.lit(None).cast("bigint").alias("_cold_us"),
-        )
-        summary = summary.unionByName(first)
-    headers = summary.select(
-        *keys, "_slice", F.max("_hot_us").over(past).alias("_hot_us"), F.max("_cold_us").over(past).alias("_cold_us")
-    ).filter(F.col("_hot_us").isNotNull())
-
-    window = slice_window(keys, rule.order)
-    prev_hot = F.max("_hot_us").over(before(window))
-    prev_cold = F.max("_cold_us").over(before(window))
-    marked = with_headers(base, headers).withColumns({"_prev_hot": prev_hot, "_prev_cold": prev_cold})
-    # The latest cold row is the one furthest from the last hot row, so it alone tells
-    # whether the previous episode has ended.
-    ended = F.coalesce(F.col("_prev_cold") - F.col("_prev_hot") > gap, F.lit(False))
-    is_row = F.col("_head") == 1
-    is_begin = is_row & F.col("hot") & (F.col("_prev_hot").isNull() | ended)
-    is_close = is_row & ~F.col("hot") & F.coalesce(us - F.col("_prev_hot") > gap, F.lit(False)) & ~ended
+    fresh = F.col("_prev_hot").isNull() | _ended(F.col("_prev_hot"), F.col("_prev_cold"), rule)
     return (
-        marked.withColumns({"is_begin": is_begin, "is_close": is_close})
-        .withColumn("_seg", F.sum(F.col("is_begin").cast("int")).over(up_to(window)))
-        .filter(is_row & (F.col("hot") | F.col("is_close")))
-        .drop("_head", "_prev_hot", "_prev_cold", "_cold_us", "cold")
+        seen.withColumn("_starts", F.col("hot") & fresh)
+        .withColumn("_seg", F.sum(F.col("_starts").cast("int")).over(up_to(window)))
+        .drop("_prev_hot", "_prev_cold", "cold")
     )
 
 
-def preceding(episodes: DataFrame) -> DataFrame:
-    """Merged open episodes as fragments in front of any other."""
-    return episodes.withColumns({"_slice": F.lit(PAST_SLICE), "_seg": F.lit(0).cast("bigint"), "_begins": F.lit(True)})
+def fragment_times() -> list[Column]:
+    """Aggregates every fragment of a segment has."""
+    return [F.min("_hot_us").alias("_first_us"), F.max("_hot_us").alias("_hot_us"), F.max("_cold_us").alias("_cold_us")]
 
 
-def number_episodes(fragments: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Number the episodes of a key over its fragments.
+def joined_fragments(fragments: DataFrame, rule: GapRule) -> DataFrame:
+    """Number the episodes of a key over its fragments ``_slice, _seg``.
 
-    ``fragments`` has one row per ``keys + (_slice, _seg)`` with boolean ``_begins``. Their
-    number per key is bounded by slices plus episodes, and episodes are at least a gap apart.
+    Adds ``_episode`` and ``_begins``. A key has at most one fragment per slice plus one per
+    episode, and episodes are more than a gap apart.
     """
-    window = up_to(W.partitionBy(*keys).orderBy("_slice", "_seg"))
-    return fragments.withColumn("_episode", F.sum(F.col("_begins").cast("int")).over(window))
+    window = W.partitionBy(*rule.keys).orderBy("_slice", "_seg")
+    seen = fragments.withColumns(
+        {"_prev_hot": F.max("_hot_us").over(before(window)), "_prev_cold": F.max("_cold_us").over(before(window))}
+    )
+    fresh = F.col("_prev_hot").isNull() | _ended(F.col("_prev_hot"), F.col("_prev_cold"), rule)
+    return (
+        seen.withColumn("_begins", F.col("_first_us").isNotNull() & fresh)
+        .withColumn("_episode", F.sum(F.col("_begins").cast("int")).over(up_to(window)))
+        .filter(F.col("_episode") > 0)
+        .drop("_prev_hot", "_prev_cold")
+    )
+
+
+def episode_times(rule: GapRule) -> list[Column]:
+    """Aggregates every merged episode has."""
+    return [
+        F.min("_first_us").alias("_first_us"),
+        F.max("_hot_us").alias("_hot_us"),
+        F.max("_cold_us").alias("_cold_us"),
+        _ended(F.max("_hot_us"), F.max("_cold_us"), rule).alias("closed"),
+    ]
+
+
+def preceding(episodes: DataFrame) -> DataFrame:
+    """Merged open episodes as fragments in front of any other."""
+    return episodes.drop("closed").withColumns({"_slice": F.lit(PAST_SLICE), "_seg": F.lit(0).cast("bigint")})

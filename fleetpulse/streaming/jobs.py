@@ -106,18 +106,16 @@ def _episode_job(spark, path, signals, rule, family, publish, expire=None) -> Ca
         batch.persist()
         rows = signals(session, arrivals.on_time(batch, batch_id)).persist()
         if state is None:
-            blank = family.fragments(TL.mark_gap_episodes(rows.limit(0), rule)).withColumn("batch", zero)
-            state = Snapshot(f"{path}/state", family.merge(blank, last_change).schema)
-        opened = state.before(session, batch_id).filter(F.col("close_ts").isNull())
-        hot = opened.select(*rule.keys, F.col("_hot_us").alias("_hot0"))
-        frags = family.fragments(TL.mark_gap_episodes(rows, rule, hot)).withColumn("batch", zero + batch_id)
-        merged = family.merge(family.as_fragments(opened).unionByName(frags), last_change)
+            blank = family.fragments(rows.limit(0), rule).withColumn("batch", zero)
+            state = Snapshot(f"{path}/state", family.merge(blank, rule, last_change).schema)
+        opened = state.before(session, batch_id).filter(~F.col("closed"))
+        frags = family.fragments(rows, rule).withColumn("batch", zero + batch_id)
+        merged = family.merge(TL.preceding(opened).unionByName(frags), rule, last_change)
         if expire is not None:
             newest = batch.agg(F.max("ts")).first()[0]  # one value
             if newest is not None:
                 merged = expire(merged, F.lit(newest))
-                ended = F.col("close_ts").isNotNull()
-                merged = merged.withColumn("batch", F.when(ended, zero + batch_id).otherwise(F.col("batch")))
+                merged = merged.withColumn("batch", F.when(F.col("closed"), zero + batch_id).otherwise(F.col("batch")))
         state.write(merged, batch_id)
         changed = state.after(session, batch_id).filter(F.col("batch") == batch_id)
         append_batch(publish(session, changed), f"{path}/out", batch_id)

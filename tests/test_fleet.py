@@ -13,7 +13,6 @@ from fleetpulse.operators import charging as C
 from fleetpulse.operators import daily as D
 from fleetpulse.operators import rules as R
 from fleetpulse.operators import status as S
-from fleetpulse.operators import timeline as TL
 
 ROWS = "vehicle_id string, ts timestamp, seq bigint, mileage double, energy double, fuel double"
 
@@ -143,9 +142,10 @@ def mark(spark, rows, gap, width):
         "vehicle_id", "ts", "seq", F.col("h").alias("hot"), F.coalesce("c", F.lit(False)).alias("cold"),
         F.lit("c").alias("code"), F.lit(1).alias("level"), F.lit(0).alias("neg_inx"), F.lit("n").alias("alarm_name"),
     )
-    marked = TL.mark_gap_episodes(df, A.gap_rule(gap, slice_width=width))
-    out = naive(A.merge(A.fragments(marked)), "begin_ts")
-    out = out.withColumn("end", F.when(F.col("close_ts").isNotNull(), F.timestamp_micros("_hot_us").cast("timestamp_ntz")))
+    rule = A.gap_rule(gap, slice_width=width)
+    out = A.merge(A.fragments(df, rule), rule).withColumn("begin_ts", F.timestamp_micros("_first_us"))
+    out = naive(out, "begin_ts")
+    out = out.withColumn("end", F.when(F.col("closed"), F.timestamp_micros("_hot_us").cast("timestamp_ntz")))
     return sorted((r.vehicle_id, r.begin_ts, r.end) for r in out.collect())
 
 
@@ -184,7 +184,8 @@ CHARGES = "vehicle_id string, ts timestamp, seq bigint, hot boolean, in_charge d
 
 def charge(spark, rows, gap="30 minutes", width="10 minutes"):
     df = spark.createDataFrame(rows, CHARGES).withColumn("cold", ~F.col("hot"))
-    out = C.publish(C.merge(C.fragments(TL.mark_gap_episodes(df, C.gap_rule(gap, slice_width=width)))))
+    rule = C.gap_rule(gap, slice_width=width)
+    out = C.publish(C.merge(C.fragments(df, rule), rule))
     return sorted(
         (
             (r.vehicle_id, r.start_date, r.end_date, r.start_charge, r.end_charge, r.start_soc, r.end_soc, r.is_open)
@@ -339,10 +340,10 @@ def test_charge_predicate(spark):
 
 def test_expiry_closes_old_sessions(spark):
     df = spark.createDataFrame(
-        [("V1", models.at(0), None), ("V2", models.at(90_000), None)], "vehicle_id string, begin_ts timestamp, close_ts timestamp"
-    )
+        [("V1", models.at(0), False), ("V2", models.at(90_000), False)], "vehicle_id string, begin_ts timestamp, closed boolean"
+    ).withColumn("_first_us", F.unix_micros("begin_ts"))
     out = C.expire_sessions(df, F.lit(models.at(90_001)), micros("1 day"))
-    assert {r.vehicle_id: r.close_ts is not None for r in out.collect()} == {"V1": True, "V2": False}
+    assert {r.vehicle_id: r.closed for r in out.collect()} == {"V1": True, "V2": False}
 
 
 def test_hot_vehicle_is_split(spark):
