@@ -1,4 +1,4 @@
-"""Hash-field functions on map columns, and map <-> struct conversion."""
+"""Hash-field functions on map columns, and map, struct and JSON conversion."""
 
 from __future__ import annotations
 
@@ -54,3 +54,17 @@ def map_to_struct(hash_map: Column, schema: T.StructType) -> Column:
 def struct_to_map(struct: Column, fields: Sequence[str]) -> Column:
     """All fields as text."""
     return F.create_map(*[x for f in fields for x in (F.lit(f), struct[f].cast("string"))])
+
+
+def to_text(value: Column) -> Column:
+    """JSON text of a struct, a map or a list of them."""
+    return F.to_json(value)
+
+
+def from_text(text: Column, schema: T.DataType) -> Column:
+    """Struct, or list of structs for an array schema; unparsable text gives null."""
+    parsed = F.from_json(text, schema)
+    if isinstance(schema, T.ArrayType):
+        return parsed
+    usable = F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT")
+    return F.when(usable, parsed)

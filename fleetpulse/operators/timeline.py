@@ -33,6 +33,30 @@ def slice_number(ts: Column, width: str = DEFAULT_SLICE) -> Column:
     return F.floor(F.unix_micros(ts) / F.lit(micros(width))).cast("bigint")
 
 
+SLICE_LADDER = ("1 day", "1 hour", "10 minutes", "1 minute", "10 seconds", "1 second")
+
+
+def fit_slice_width(rows: DataFrame, keys: Sequence[str], target_rows: int = 5_000_000) -> str:
+    """The widest slice that keeps every (key, slice) within ``target_rows`` rows.
+
+    For data that may hold a very busy key. Rows are counted per key and second, combined
+    map-side; wider slices add those counts up. One number per width reaches the driver.
+    """
+    finest = SLICE_LADDER[-1]
+    counts = rows.groupBy(*keys, slice_number(F.col("ts"), finest).alias("_slice")).count()
+    second = F.col("_slice") * micros(finest)
+    wider = F.array(*[F.struct(F.lit(w).alias("width"), F.floor(second / micros(w)).alias("at")) for w in SLICE_LADDER[:-1]])
+    fullest = (
+        counts.select(*keys, "count", F.explode(wider).alias("w"))
+        .groupBy(*keys, "w")
+        .agg(F.sum("count").alias("rows"))
+        .groupBy("w.width")
+        .agg(F.max("rows").alias("rows"))
+    )
+    rows_of = {r.width: r.rows for r in fullest.collect()}
+    return next((w for w in SLICE_LADDER[:-1] if rows_of.get(w, 0) <= target_rows), finest)
+
+
 def with_headers(rows: DataFrame, headers: DataFrame) -> DataFrame:
     """Rows plus header rows; ``_head`` is 0 on headers and 1 on rows."""
     return rows.withColumn("_head", F.lit(1)).unionByName(

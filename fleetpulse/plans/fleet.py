@@ -14,6 +14,7 @@ from fleetpulse.functions import times as TM
 from fleetpulse.plans import sqltext as Q
 from fleetpulse.plans.registry import query
 from fleetpulse.sources import adapter
+from fleetpulse.sources.tables import spread
 
 FLEET = (Q.READINGS, Q.VEHICLES, Q.RULES, Q.CHECKS)
 SECOND_FLEET = (Q.SECOND_READINGS, Q.VEHICLES, Q.RULES, Q.CHECKS)
@@ -37,16 +38,20 @@ def _rules(spark, sf):
 
 
 def _records(spark, sf):
-    return adapter.records(_events(spark, sf))
+    return adapter.records(spread(_events(spark, sf), "event_id"))
 
 
 def _fleet(spark, sf):
     return _records(spark, sf), _vehicles(spark, sf), _rules(spark, sf)
 
 
+def _wire(spark, sf):
+    return adapter.wire_messages(spread(_events(spark, sf), "event_id"))
+
+
 def _wire_records(spark, sf):
     """Messages as JSON text, parsed again."""
-    return M.with_vehicle(M.parse_messages(adapter.wire_messages(_events(spark, sf))))
+    return M.with_vehicle(M.parse_messages(_wire(spark, sf)))
 
 
 # ---- daily statistics
@@ -437,7 +442,7 @@ def alarms_from_messages(spark, sf):
 
 @query("daily_from_messages", Q.with_ctes(Q.SECOND_READINGS, Q.DAILY, select=f"SELECT {DAILY_COLUMNS} FROM daily"))
 def daily_from_messages(spark, sf):
-    messages = M.parse_messages(adapter.wire_messages(_events(spark, sf)))
+    messages = M.parse_messages(_wire(spark, sf))
     return D.daily_stats(D.readings(messages)).drop("statistic_ts")
 
 

@@ -18,13 +18,17 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
+# Only at start-up: capturing the Python call site of every expression makes building a large
+# plan several times slower.
+STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def build_session(app: str = "fleetpulse", master: str | None = None, **conf) -> SparkSession:
     """A session with the package settings; cluster sizing stays with spark-submit."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for name, value in {**SQL_SETTINGS, **conf}.items():
+    for name, value in {**STATIC_SETTINGS, **SQL_SETTINGS, **conf}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 

@@ -26,6 +26,16 @@ def read_table(spark: SparkSession, fmt: str = "parquet", path: str | None = Non
     return reader.load(path) if path else reader.load()
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give every core a share of a source that comes in fewer splits than there are cores.
+
+    Parsing and rule matching cost far more than moving the raw rows. A source with enough
+    splits, as any large one has, is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def with_rule_defaults(rules: DataFrame) -> DataFrame:
     """Lower-case column names and rule defaults."""
     named = rules.toDF(*[c.lower() for c in rules.columns])

@@ -65,6 +65,11 @@ def flushed_last(rows: DataFrame, every: str, delay: str, *columns: str) -> Data
     return S.coalesce_last(rows.withWatermark("ts", delay), every, *columns)
 
 
+def enrich(stream: DataFrame, wide: DataFrame, row_key: str) -> DataFrame:
+    """Stream rows with the columns of their stored wide row (null when there is none)."""
+    return stream.join(wide.withColumnRenamed("row_key", row_key), row_key, "left")
+
+
 def _stretches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """First and last time per vehicle of each Arrow batch."""
     for pdf in frames:

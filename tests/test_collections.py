@@ -256,6 +256,11 @@ def test_refreshing_table(spark):
     assert len(loads) == 2
 
 
+def test_spread_only_widens(spark):
+    assert tables.spread(spark.range(0, 9, 1, 1), "id").rdd.getNumPartitions() == 4
+    assert tables.spread(spark.range(0, 90, 1, 7), "id").rdd.getNumPartitions() == 7
+
+
 def test_file_round_trip(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(3).write.parquet(path)

@@ -13,6 +13,7 @@ from fleetpulse.operators import charging as C
 from fleetpulse.operators import daily as D
 from fleetpulse.operators import rules as R
 from fleetpulse.operators import status as S
+from fleetpulse.operators import timeline as TL
 
 ROWS = "vehicle_id string, ts timestamp, seq bigint, mileage double, energy double, fuel double"
 
@@ -346,6 +347,12 @@ def test_expiry_closes_old_sessions(spark):
     assert {r.vehicle_id: r.closed for r in out.collect()} == {"V1": True, "V2": False}
 
 
+def test_slice_width_fits_the_busiest_key(spark):
+    rows = frame(spark, trace([1.0] * 120, step=1) + trace([1.0] * 5, step=3600, vehicle="V2"))
+    fitted = {n: TL.fit_slice_width(rows, ["vehicle_id"], n) for n in (1000, 60, 59, 10, 1)}
+    assert fitted == {1000: "1 day", 60: "1 minute", 59: "10 seconds", 10: "10 seconds", 1: "1 second"}
+
+
 def test_hot_vehicle_is_split(spark):
     """No row-level exchange or window may group by the vehicle alone."""
     rows = frame(spark, trace([1.0]))

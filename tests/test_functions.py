@@ -167,3 +167,12 @@ def test_json_is_parsed_once(spark):
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
     assert datetime(2017, 2, 3, 4, 5, 6) == one(df.select(F.col("ts").cast("timestamp_ntz")))[0]
+
+
+def test_json_text(spark):
+    struct = T.StructType().add("a", T.IntegerType())
+    df = spark.createDataFrame([('{"a": 1}', '[{"a": 1}, {"a": 2}]'), ("{bad", "{bad")], "o string, l string")
+    objects = df.select(maps.from_text(F.col("o"), struct).alias("s"), maps.from_text(F.col("l"), T.ArrayType(struct)).alias("l"))
+    good, bad = objects.collect()
+    assert good.s.a == 1 and [x.a for x in good.l] == [1, 2] and bad.s is None and bad.l is None
+    assert one(objects.select(maps.to_text(F.col("s")), maps.to_text(F.col("l")))) == ('{"a":1}', '[{"a":1},{"a":2}]')

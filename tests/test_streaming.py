@@ -206,6 +206,15 @@ def test_presence(spark, tmp_path):
     assert v1 == [("2", models.at(0)), ("0", models.at(400)), ("2", models.at(1100)), ("0", models.at(1400))]
 
 
+def test_stream_is_enriched_from_wide_rows(spark, tmp_path):
+    df = frame(spark, [(v, models.at(0), i, 0.0, None, None) for i, v in enumerate(["V1", "V2"])]).select("vehicle_id", "seq")
+    wide = spark.createDataFrame([("V1", "7")], "row_key string, hours string")
+    stream = files(spark, df, str(tmp_path / "in"), 1)
+    sink_to(flows.enrich(stream, wide, "vehicle_id"), str(tmp_path / "out"), str(tmp_path / "c"))
+    got = read_batches(spark, str(tmp_path / "out")).select("vehicle_id", "hours").collect()
+    assert sorted(map(tuple, got)) == [("V1", "7"), ("V2", None)]
+
+
 def test_sample_sources(spark):
     words = streams.random_sentences(spark, ["a b", "c"])
     assert words.isStreaming and words.columns == ["word"]
