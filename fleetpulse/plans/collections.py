@@ -629,7 +629,8 @@ asked AS (SELECT conv_id, unnest(CASE WHEN rtrim(text, ' ') = '' AND text <> ''
 
 
 def _counts(spark, sf):
-    return WC.word_count(load(spark, sf, "documents"), "text")
+    texts = load(spark, sf, "documents").select("doc_id", "text")
+    return WC.word_count(tables.spread(texts, "doc_id"), "text")
 
 
 @query("word_count", WORDS + "SELECT * FROM counts")

@@ -22,7 +22,6 @@ from fleetpulse.functions.times import day, micros
 from fleetpulse.operators import alarms as A
 from fleetpulse.operators import charging as C
 from fleetpulse.operators import daily as D
-from fleetpulse.operators import keyed as K
 from fleetpulse.operators import status as S
 from fleetpulse.operators import timeline as TL
 from fleetpulse.sources.sinks import Snapshot, append_batch
@@ -174,7 +173,7 @@ def charge_job(
     )
 
 
-STATUS_SCHEMA = "vehicle_id string, active_status string, last struct<ts: timestamp, seq: bigint>"
+STATUS_SCHEMA = "vehicle_id string, active_status string, last struct<ts: timestamp, seq: bigint>, batch bigint"
 
 
 def status_job(path: str, vehicles: Table, rules: Table) -> Callable[[DataFrame, int], None]:
@@ -188,19 +187,18 @@ def status_job(path: str, vehicles: Table, rules: Table) -> Callable[[DataFrame,
             "vehicle_id",
             F.col("active_status").cast("string").alias("active_status"),
             F.struct(F.col("ts"), F.col("seq").cast("bigint").alias("seq")).alias("last"),
+            F.lit(batch_id).cast("bigint").alias("batch"),
         )
         both = state.before(session, batch_id).unionByName(status)
         merged = both.groupBy("vehicle_id").agg(
-            F.max_by("active_status", "last").alias("active_status"), F.max("last").alias("last")
+            F.max_by("active_status", "last").alias("active_status"),
+            F.max("last").alias("last"),
+            F.max("batch").alias("batch"),
         )
         state.write(merged, batch_id)
-        current = state.after(session, batch_id)
+        changed = state.after(session, batch_id).filter(F.col("batch") == batch_id)
         append_batch(
-            current.join(status.select("vehicle_id"), "vehicle_id", "left_semi").select(
-                "vehicle_id", "active_status", F.col("last.ts").alias("ts")
-            ),
-            f"{path}/out",
-            batch_id,
+            changed.select("vehicle_id", "active_status", F.col("last.ts").alias("ts")), f"{path}/out", batch_id
         )
 
     return run
@@ -213,12 +211,13 @@ def counter_job(path: str, keys: list[str], delta: str = "count") -> Callable[[D
     def run(batch: DataFrame, batch_id: int) -> None:
         nonlocal state
         session = batch.sparkSession
-        change = K.count_deltas(batch, keys, delta)
+        change = batch.select(*keys, F.col(delta).cast("bigint").alias("value"), F.lit(batch_id).cast("bigint").alias("batch"))
         if state is None:
             state = Snapshot(f"{path}/state", change.schema)
-        merged = K.add_to_counters(state.before(session, batch_id), change, keys, "value")
+        both = state.before(session, batch_id).unionByName(change)
+        merged = both.groupBy(*keys).agg(F.sum("value").alias("value"), F.max("batch").alias("batch"))
         state.write(merged, batch_id)
-        changed = state.after(session, batch_id).join(change.select(*keys), keys, "left_semi")
+        changed = state.after(session, batch_id).filter(F.col("batch") == batch_id).drop("batch")
         append_batch(changed, f"{path}/out", batch_id)
 
     return run

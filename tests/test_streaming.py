@@ -94,6 +94,18 @@ def test_status_stream_equals_batch(spark, tmp_path):
     same(latest_version(read_batches(spark, f"{path}/out"), ["vehicle_id"]), S.vehicle_status(df, vehicles, rules))
 
 
+def test_counters_accumulate(spark, tmp_path):
+    path = str(tmp_path / "job")
+    job = jobs.counter_job(path, ["key"])
+    for i, rows in enumerate([[("a", 1), ("a", 2)], [("b", 5)], [("a", -4), ("c", 1)]]):
+        job(spark.createDataFrame(rows, "key string, count int"), i)
+    job(spark.createDataFrame([("a", -4), ("c", 1)], "key string, count int"), 2)
+    got = latest_version(read_batches(spark, f"{path}/out"), ["key"]).collect()
+    assert sorted(map(tuple, got)) == [("a", -1), ("b", 5), ("c", 1)]
+    changed = read_batches(spark, f"{path}/out").groupBy("batch_id").count().collect()
+    assert sorted(map(tuple, changed)) == [(0, 1), (1, 1), (2, 2)]
+
+
 def test_replayed_batch_changes_nothing(spark, tmp_path):
     df = frame(spark, random_daily(7, n=90))
     path = str(tmp_path / "job")
