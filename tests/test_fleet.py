@@ -359,3 +359,14 @@ def test_hot_vehicle_is_split(spark):
     plan = D.fragments(rows)._jdf.queryExecution().executedPlan().toString()
     row_windows = [line for line in plan.splitlines() if "Window [" in line and "_prev_us" in line]
     assert row_windows and all("_slice" in line for line in row_windows)
+
+
+def test_episode_rows_are_exchanged_once_per_slice(spark):
+    rules, vehicles = fixtures(spark)
+    records = spark.createDataFrame([record("V1", 0, 1, t="99")], RECORDS)
+    signals = A.alarm_signals(records, vehicles, rules)
+    plan = A.fragments(signals, A.gap_rule())._jdf.queryExecution().executedPlan().toString()
+    row_exchanges = [line for line in plan.splitlines() if "hashpartitioning(vehicle_id" in line and "_slice" in line]
+    assert len(row_exchanges) == 1
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and all("_slice" in line for line in windows)
