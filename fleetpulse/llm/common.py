@@ -37,3 +37,18 @@ def words(text: Column) -> Column:
 def tasks(spark: SparkSession) -> int:
     """How many groups to deal work into: what the cluster's settings give a shuffle."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+#: A side is broadcast only if it was measured and has at most so many bytes of values.
+BROADCAST_BYTES = 8 << 20
+
+
+def join_small(left: DataFrame, right: DataFrame, on: Column, how: str, name: str) -> DataFrame:
+    """Join with a side that is usually small: it is stored and measured, broadcast if its size
+    allows, and otherwise joined by shuffle, where Spark splits skewed keys. Same rows either way."""
+    right = stored(right, name)
+    size = F.lit(0)
+    for column, kind in right.dtypes:
+        size = size + (F.coalesce(F.octet_length(column), F.lit(0)) if kind in ("string", "binary") else F.lit(16))
+    held = right.agg(F.sum(size)).first()[0] or 0
+    return left.join(F.broadcast(right) if held <= BROADCAST_BYTES else right, on, how)

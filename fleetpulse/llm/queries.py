@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import mixing, packing
+from fleetpulse.llm import extraction, mixing, packing
 from fleetpulse.llm.common import table
 
 QUERIES = {}
@@ -36,3 +36,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket"
     )
+
+
+@query("op7_host_paths")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
