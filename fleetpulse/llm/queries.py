@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import extraction, mixing, packing
+from fleetpulse.llm import extraction, mixing, packing, quality
 from fleetpulse.llm.common import table
 
 QUERIES = {}
@@ -22,6 +22,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op2_pu_quality")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 @query("op5_cube_mix")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = mixing.mix(table(spark, sf_dir, "documents"))
