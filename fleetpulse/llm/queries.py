@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import extraction, mixing, packing, quality
+from fleetpulse.llm import extraction, mixing, packing, quality, rules
 from fleetpulse.llm.common import table
 
 QUERIES = {}
@@ -28,6 +28,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+@query("op3_adaptive_rules", rules.SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents"))
+
+
 @query("op5_cube_mix")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = mixing.mix(table(spark, sf_dir, "documents"))
