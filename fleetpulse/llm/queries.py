@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import extraction, mixing, neighbours, packing, quality, rules
+from fleetpulse.llm import extraction, mixing, neighbours, packing, quality, repeats, rules
 from fleetpulse.llm.common import table
 
 QUERIES = {}
@@ -54,6 +54,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(table(spark, sf_dir, "pages"))
 
 
+@query("op9_suffix_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query("op10_collision_neighbours")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"))
