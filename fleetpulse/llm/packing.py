@@ -12,6 +12,8 @@ tokenizer drops white space before anything else and works on the words between
 
 from __future__ import annotations
 
+import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,48 +24,66 @@ from pyspark.sql import functions as F
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint"
 #: Bytes of text tokenized at once, and distinct words whose ids a task keeps.
-CHUNK_BYTES = 8 << 20
-KEPT_WORDS = 400_000
+CHUNK_BYTES = 4 << 20
+KEPT_WORDS = 1_000_000
+#: Letters of Latin-1, whose lower case is a letter of its own, then marks without an apostrophe or angle bracket.
+SIMPLE = r'^(?P<letters>[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]+)(?P<marks>[.,:;!?#*$%&|()"-]*)$'
 
 
 class WordIds:
-    """Ids of texts by way of their distinct words; equals ``encode`` on the whole text."""
+    """Ids of texts by way of their distinct words; equals ``encode`` on the whole text.
+
+    A word of Latin letters with marks after it, the usual case, is looked up as its letters in
+    lower case and its marks, which the tokenizer sets apart too; other words are encoded whole.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        # tasks already use all cores
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[str, int] = {}
-        self._parts: list[np.ndarray] = []
-        self._sizes: list[int] = []
+        self._forget()
+
+    def _forget(self) -> None:
+        self._known: dict[str, int] = {"": 0}
+        self._ids = array("I")
+        self._starts = array("q", [0])
+        self._sizes = array("q", [0])
 
     def _numbers(self, distinct: list[str]) -> np.ndarray:
-        """Each word's place in the kept ids, after encoding the words not seen before."""
-        if len(self._known) > KEPT_WORDS:
-            self._known, self._parts, self._sizes = {}, [], []
-        fresh = [w for w in distinct if w not in self._known]
-        for word, encoded in zip(fresh, self._tokenizer.encode_batch(fresh, add_special_tokens=False)):
-            self._known[word] = len(self._parts)
-            self._parts.append(np.array(encoded.ids, dtype=np.uint32))
-            self._sizes.append(len(encoded.ids))
-        return np.fromiter((self._known[w] for w in distinct), np.int64, len(distinct))
+        """Each part's number among the known ones, after encoding those not seen before."""
+        known, ids, starts, sizes = self._known, self._ids, self._starts, self._sizes
+        fresh = [w for w in distinct if w not in known]
+        for k in range(0, len(fresh), 4096):
+            part = fresh[k : k + 4096]
+            for word, encoded in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                known[word] = len(starts)
+                starts.append(len(ids))
+                ids.extend(encoded.ids)
+                sizes.append(len(ids) - starts[-1])
+        return np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all texts, one text after the other, and each text's number of ids."""
+        if len(self._known) > KEPT_WORDS:
+            self._forget()
         lists = pc.ascii_split_whitespace(texts)
-        coded = lists.values.slice(lists.offsets[0].as_py(), lists.offsets[-1].as_py()).dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        numbers = self._numbers(distinct)
-        sizes = np.array([self._sizes[k] for k in numbers], dtype=np.int64)
-        starts = np.concatenate([[0], np.cumsum(sizes)])
-        table = np.concatenate([self._parts[k] for k in numbers] or [np.zeros(0, np.uint32)])
-        at = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        lengths = sizes[at]
+        first = lists.offsets[0].as_py()
+        coded = lists.values.slice(first, lists.offsets[-1].as_py() - first).dictionary_encode()
+        split = pc.extract_regex(coded.dictionary, SIMPLE)
+        letters, marks = (pc.struct_field(split, k) for k in ("letters", "marks"))
+        whole = pc.is_null(split)
+        parts = [pc.if_else(whole, coded.dictionary, pc.utf8_lower(letters)), pc.if_else(whole, "", marks)]
+        parts = [x.dictionary_encode() for x in parts]
+        numbers = [self._numbers(x.dictionary.to_pylist())[x.indices.to_numpy(zero_copy_only=False)] for x in parts]
+        # letters and marks of every word in turn, then the ranges of their ids one after the other
+        at = np.stack(numbers, axis=1)[coded.indices.to_numpy(zero_copy_only=False)].ravel()
+        starts, lengths = np.frombuffer(self._starts, np.int64)[at], np.frombuffer(self._sizes, np.int64)[at]
         ends = np.concatenate([[0], np.cumsum(lengths)])
-        # ids of word k lie at starts[k]..; lay these ranges one after the other
-        places = np.arange(ends[-1]) + np.repeat(starts[at] - ends[:-1], lengths)
-        offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        return table[places], np.diff(ends[offsets])
+        places = np.arange(ends[-1]) + np.repeat(starts - ends[:-1], lengths)
+        offsets = lists.offsets.to_numpy() - first
+        return np.array(self._ids, dtype=np.uint32)[places], np.diff(ends[2 * offsets])
 
 
 def power_lengths(n: int, longest: int) -> list[int]:
