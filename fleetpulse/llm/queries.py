@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import extraction, mixing, neighbours, packing, quality, repeats, rules
+from fleetpulse.llm import extraction, jaccard, mixing, neighbours, packing, quality, repeats, rules
 from fleetpulse.llm.common import table
 
 QUERIES = {}
@@ -33,6 +33,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"))
 
 
+@query("op4_jaccard_join")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.joined(table(spark, sf_dir, "documents"))
+
+
 @query("op5_cube_mix")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = mixing.mix(table(spark, sf_dir, "documents"))
