@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import extraction, jaccard, mixing, neighbours, packing, quality, repeats, rules
+from fleetpulse.llm import extraction, jaccard, licenses, mixing, neighbours, packing, quality, repeats, rules
 from fleetpulse.llm.common import table
 
 QUERIES = {}
@@ -59,6 +59,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(table(spark, sf_dir, "pages"))
 
 
+@query("op8_license_join", licenses.sql())
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @query("op9_suffix_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
