@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import extraction, jaccard, licenses, mixing, neighbours, packing, quality, repeats, rules
+from fleetpulse.llm import backoff, extraction, jaccard, licenses, mixing, neighbours, packing, quality, repeats, rules
 from fleetpulse.llm.common import table
 
 QUERIES = {}
@@ -22,6 +22,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_stupid_backoff", backoff.SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff.score(table(spark, sf_dir, "documents"))
+
+
 @query("op2_pu_quality")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

@@ -44,6 +44,8 @@ GRAM = 24
 PIECE = 1 << 20
 #: Contexts a task holds before it passes them on.
 HELD = 3_000_000
+#: Shards for each task that a shuffle has: a shard is held in memory at once.
+SHARDS = 3
 #: Ids of documents without one: after all others, apart by the hash of their text.
 NO_ID = 1 << 62
 
@@ -370,11 +372,11 @@ def remove_repeats(
     without id come after all others. An empty table gives no row; further columns are ignored.
     """
     spark = docs.sparkSession
-    parts = tasks(spark)
+    blocks, parts = tasks(spark), SHARDS * tasks(spark)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     key = F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64(text), 2))
     own = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), key.alias("doc"), F.crc32(text.cast("binary")).alias("tie"), text.alias("text"))
-    own = own.withColumn("block", F.pmod(F.xxhash64("doc"), F.lit(parts)).cast("int"))
+    own = own.withColumn("block", F.pmod(F.xxhash64("doc"), F.lit(blocks)).cast("int"))
     reduced = own.select("doc", "tie", "block", "text").mapInArrow(_reduce_texts(length, parts), ROWS)
     met = stored(reduced.groupBy("part").applyInArrow(_meet(length, crowded), ROWS), "repeats")
     texts = own.groupBy("block")
