@@ -223,3 +223,16 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
     linked = some.join(least, F.col("_class") == F.col("_c")).select("doc_id", "n_shingles", "component_id", "set_key")
     empty = own.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "set_key")
     return linked.unionByName(empty)
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The documents with one of every component, the one with the smallest id; texts without words all stay.
+
+    ``docs`` is a table read from files: its rows are numbered as they are read.
+    """
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    found = joined(rows.select("_row", text_col), "_row", text_col, **options).select(F.col("doc_id").alias("_n"), F.col("component_id").alias("_c"))
+    ids = rows.select("_row", F.col(id_col).alias("_id"))
+    best = F.min_by("_row", F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_row")))
+    first = found.join(ids, F.col("_n") == F.col("_row")).groupBy("_c").agg(best.alias("_first")).select("_first")
+    return rows.join(first, F.col("_row") == F.col("_first"), "left_semi").select(*docs.columns)

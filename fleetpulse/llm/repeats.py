@@ -38,7 +38,7 @@ ROWS = "part int, kind int, gram binary, content binary, doc binary, tie binary,
 NAMES = [c.split(" ")[0] for c in ROWS.split(", ")]
 CONTEXTS, RANGES, WANTED, CROWDED = 0, 1, 2, 3
 KINDS = {"content": np.uint64, "doc": np.int64, "tie": np.uint32, "block": np.int32, "low": np.int64, "span": np.int64}
-RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
+RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string"
 
 GRAM = 24
 PIECE = 1 << 20
@@ -319,7 +319,7 @@ def _sort_shard(length: int):
     return run
 
 
-def _cut(length: int, with_kept: bool):
+def _cut(length: int, with_kept: bool, keep: tuple[str, ...]):
     """Step 5, for one block of documents."""
 
     def run(docs: pa.Table, ranges: pa.Table) -> pa.Table:
@@ -354,20 +354,30 @@ def _cut(length: int, with_kept: bool):
                 kept.append(text)
             seen.add(key)
             rest = b"".join(x.tobytes() for x in kept)
-            for name, value in zip(out, (doc_id, b - a, b - a - len(rest), spans, hashlib.sha256(rest).hexdigest(), rest if with_kept else None)):
+            for name, value in zip(out, (doc_id, b - a, b - a - len(rest), spans, hashlib.sha256(rest).hexdigest(), rest.decode("utf-8", "ignore") if with_kept else None)):
                 out[name].append(value)
-        kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
-        return pa.table(out, pa.schema(list(zip(out, kinds))))
+        kinds = [pa.int64()] * 4 + [pa.string(), pa.string()]
+        result = pa.table(out, pa.schema(list(zip(out, kinds))))
+        for k, _ in enumerate(keep):
+            result = result.append_column(f"_keep{k}", docs[f"_keep{k}"])
+        return result
 
     return run
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, with_kept: bool = False, crowded: int = 20000
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    length: int = 100,
+    with_kept: bool = False,
+    crowded: int = 20000,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept): what is left of every text's UTF-8 bytes.
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept, _keep0, ...): what is left of every text's UTF-8 bytes.
 
-    ``kept`` has the bytes if ``with_kept``. Null and empty texts keep nothing and lose nothing. Rows of
+    ``kept`` has the text of those bytes if ``with_kept``, without characters that were cut in two;
+    ``_keep0`` and so on have the columns named by ``keep``. Null and empty texts keep nothing and lose nothing. Rows of
     one id are documents in the order of a hash of their texts; of equal rows the first stays. Rows
     without id come after all others. An empty table gives no row; further columns are ignored.
     """
@@ -375,12 +385,23 @@ def remove_repeats(
     blocks, parts = tasks(spark), SHARDS * tasks(spark)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     key = F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64(text), 2))
-    own = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), key.alias("doc"), F.crc32(text.cast("binary")).alias("tie"), text.alias("text"))
+    own = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), key.alias("doc"), F.crc32(text.cast("binary")).alias("tie"), text.alias("text"),
+                      *[F.col(c).alias(f"_keep{k}") for k, c in enumerate(keep)])
     own = own.withColumn("block", F.pmod(F.xxhash64("doc"), F.lit(blocks)).cast("int"))
     reduced = own.select("doc", "tie", "block", "text").mapInArrow(_reduce_texts(length, parts), ROWS)
     met = stored(reduced.groupBy("part").applyInArrow(_meet(length, crowded), ROWS), "repeats")
     texts = own.groupBy("block")
+    kinds = dict(docs.dtypes)
+    schema = ", ".join([RESULT, *[f"_keep{k} {kinds[c]}" for k, c in enumerate(keep)]])
     wanted = met.filter(F.col("kind").isin(WANTED, CROWDED)).groupBy(F.col("part").alias("block"))
     shards = texts.cogroup(wanted).applyInArrow(_fetch(length, parts), ROWS)
     ranges = met.filter(F.col("kind") == RANGES).unionByName(shards.groupBy("part").applyInArrow(_sort_shard(length), ROWS))
-    return texts.cogroup(ranges.groupBy(F.col("part").alias("block"))).applyInArrow(_cut(length, with_kept), RESULT)
+    return texts.cogroup(ranges.groupBy(F.col("part").alias("block"))).applyInArrow(_cut(length, with_kept, keep), schema)
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The documents with repeated passages cut out of their texts; all other columns as they came."""
+    others = tuple(c for c in docs.columns if c != text_col)
+    cut = remove_repeats(docs, id_col, text_col, with_kept=True, keep=others, **options)
+    columns_by_name = {c: F.col(f"_keep{k}") for k, c in enumerate(others)} | {text_col: F.col("kept")}
+    return cut.select(*[columns_by_name[c].alias(c) for c in docs.columns])
