@@ -11,11 +11,11 @@ segments at one lookup each, then neighbourhoods at a lookup per token, and empt
 Beforehand tokens that only one set has are put aside (they count as differences), with every set
 that has too many of them to be similar to any other. Equal sets are one class throughout.
 
-Candidates are verified exactly on their tokens. Members of one bucket are compared with one of
-them in turn (its hub), first with the one they share most buckets with, and only while they are not yet
-known to be connected; what three such rounds leave is compared in full. Not all pairs of a group of
-copies are formed, but no two different sets that agree on a bucket stay uncompared unless links
-already connect them.
+Candidates are verified exactly on their tokens. First every set is compared with one member of its
+buckets (a hub), the one it shares most buckets with. Buckets whose members links do not yet connect
+are then compared in full, in blocks: a task has some members of the largest bucket that holds them, all
+sets they meet in any bucket, and counts common tokens by an inverted list. Pairs are never rows of a
+table; no two different sets that agree on a bucket stay uncompared unless links connect them.
 """
 
 from __future__ import annotations
@@ -32,7 +32,9 @@ from fleetpulse.llm.shingles import shingle_sets
 
 SIGNATURES = "bucket bigint, node bigint, listed boolean, asks boolean"
 EVERY = 8
-ROUNDS = 3
+ROUNDS = 1
+#: Sets on either side of a block of comparisons.
+ASKING, ANSWERING = 500, 2000
 
 
 def bands(percent: int, largest: int = 1 << 40) -> list[int]:
@@ -161,42 +163,93 @@ def links_between(nodes: DataFrame, percent: int) -> DataFrame:
     # buckets with the same members are one group
     group = F.xxhash64("_members", "_n").alias("group")
     members = stored(grouped.select(group, "node", "listed", "asks").distinct(), "buckets")
-    done: DataFrame | None = None
     links: DataFrame | None = None
-    known = nodes.select("node", F.col("node").alias("component"))
-    turn = 0
-    while True:
-        placed = members.join(known, "node")
-        spans = placed.groupBy("group").agg(F.min("component").alias("_c"), F.max("component").alias("_d")).filter("_c <> _d").select("group")
-        members = stored(placed.join(spans, "group").select("group", "node", "listed", "asks", "component"), "buckets")
-        if members.isEmpty():
-            break
-        if turn < ROUNDS:
-            chosen = F.min_by(F.struct(F.col("node").alias("hub"), F.col("component").alias("home")), F.xxhash64("node", F.lit(turn)))
-            hubs = members.filter("listed AND asks").groupBy("group").agg(chosen.alias("_h")).select("group", "_h.*")
-            offered = members.filter("asks OR listed").join(hubs, "group").filter("component <> home")
-            counted = offered.groupBy("node", "hub").agg(F.count("*").alias("_n"))
-            pairs = counted.groupBy("node").agg(F.max_by("hub", F.struct("_n", "hub")).alias("hub"))
-            pairs = pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
-        else:
-            asking = members.filter("asks").select("group", F.col("node").alias("x"), F.col("component").alias("cx"))
-            found = members.filter("listed").select("group", F.col("node").alias("y"), F.col("component").alias("cy"))
-            pairs = asking.join(found, "group").filter("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        pairs = pairs.distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        done = pairs if done is None else done.unionByName(pairs)
+    for turn in range(ROUNDS):
+        chosen = F.min_by("node", F.xxhash64("node", F.lit(turn)))
+        hubs = members.filter("listed AND asks").groupBy("group").agg(chosen.alias("hub"))
+        counted = members.join(hubs, "group").filter("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("_n"))
+        pairs = counted.groupBy("node").agg(F.max_by("hub", F.struct("_n", "hub")).alias("hub"))
+        pairs = pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
         fresh = stored(_verified(pairs, nodes, percent), "links")
         links = fresh if links is None else links.unionByName(fresh)
-        if turn >= ROUNDS:
-            break
-        found = components(links).withColumnRenamed("node", "_node").withColumnRenamed("component", "_component")
+    known = nodes.select("node", F.col("node").alias("component"))
+    if links is not None:
+        found = components(links).select(F.col("node").alias("_node"), F.col("component").alias("_component"))
         known = nodes.select("node").join(found, F.col("node") == F.col("_node"), "left").select("node", F.coalesce("_component", "node").alias("component"))
-        members, turn = members.drop("component"), turn + 1
-    if links is None:
-        return known.filter("false")
-    return components(links)
+    rest = stored(_compared(members, known, nodes, percent), "links")
+    return components(rest if links is None else links.unionByName(rest))
+
+
+def _compared(members: DataFrame, known: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Links between sets that share a bucket and are in different components, as many as connect them."""
+    placed = members.join(known, "node")
+    spans = placed.groupBy("group").agg(F.min("component").alias("_c"), F.max("component").alias("_d"), F.count("*").alias("_n"))
+    placed = stored(placed.join(spans.filter("_c <> _d").select("group", "_n"), "group"), "open")
+    # a set's home is its largest bucket; sets that share a bucket have homes that meet in it
+    homes = placed.groupBy("node").agg(F.max(F.struct("_n", "group")).alias("_h"), F.first("component").alias("component"))
+    homes = stored(homes.select("node", "component", F.col("_h.group").alias("home")), "homes")
+    kept = F.xxhash64("_m", "_k")
+    met = placed.select("group", "node").join(homes.select("node", "home"), "node").select("group", "home").distinct()
+    alike = met.groupBy("group").agg(F.bit_xor(F.xxhash64("home")).alias("_m"), F.count("*").alias("_k")).groupBy(kept).agg(F.min("group").alias("group"))
+    met = stored(met.join(alike.select("group"), "group"), "meetings")
+    sizes = homes.groupBy("home").agg(F.count("*").alias("_n"))
+    sized = met.join(sizes, "home")
+    one = sized.select("group", F.struct("_n", "home").alias("_x"))
+    two = sized.select("group", F.struct("_n", "home").alias("_y"))
+    # the larger home asks; whatever links two sets is symmetric, so each pair of homes meets once
+    pairs = one.join(two, "group").filter("_x >= _y").select(F.col("_x").alias("x"), F.col("_y").alias("y")).distinct()
+    deal = lambda size, n: F.pmod(F.xxhash64("node"), F.ceil(size / F.lit(n))).cast("bigint")
+    full = homes.join(nodes.select("node", "size", "tokens"), "node")
+    asks = full.join(sizes, "home").select(F.col("home").alias("_ha"), "node", "component", "size", "tokens", deal(F.col("_n"), ASKING).alias("block"))
+    met_sizes = pairs.groupBy(F.col("x.home").alias("_hx")).agg(F.sum("y._n").alias("_all"), F.first("x._n").alias("_own"))
+    met_pairs = pairs.select(F.col("x.home").alias("_hx"), F.col("y.home").alias("_hy")).join(met_sizes.withColumnRenamed("_hx", "_hz"), F.col("_hx") == F.col("_hz"))
+    number = lambda rows, n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col(rows) / F.lit(n)) - 1))
+    answers = full.join(met_pairs, F.col("home") == F.col("_hy")).select(
+        F.col("_hx").alias("home_b"), deal(F.col("_all"), ANSWERING).alias("part_b"), number("_own", ASKING).alias("block_b"), "node", "component", "size", "tokens"
+    )
+    asks = asks.join(met_sizes, F.col("_ha") == F.col("_hx")).select(
+        F.col("_ha").alias("home_a"), number("_all", ANSWERING).alias("part_a"), F.col("block").alias("block_a"), "node", "component", "size", "tokens"
+    )
+    left = asks.groupBy("home_a", "block_a", "part_a")
+    right = answers.withColumnsRenamed({c: f"{c}_b" for c in ("node", "component", "size", "tokens")}).groupBy("home_b", "block_b", "part_b")
+    return left.cogroup(right).applyInArrow(_block(percent), "a bigint, b bigint")
+
+
+def _block(percent: int):
+    def run(asks: pa.Table, answers: pa.Table) -> pa.Table:
+        found: tuple[list, list] = ([], [])
+        parent: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while (up := parent.get(x, x)) != x:
+                parent[x] = parent.get(up, up)
+                x = up
+            return x
+
+        if asks.num_rows and answers.num_rows:
+            held = [np.frombuffer(x, np.uint64) for x in answers["tokens_b"].to_pylist()]
+            owner = np.repeat(np.arange(len(held)), [len(x) for x in held])
+            every = np.concatenate(held)
+            order = np.argsort(every, kind="stable")
+            every, owner = every[order], owner[order]
+            names, sizes, groups = (answers[k].to_numpy() for k in ("node_b", "size_b", "component_b"))
+            for node, size, group, raw in zip(*[asks[k].to_pylist() for k in ("node", "size", "component", "tokens")]):
+                own = np.frombuffer(raw, np.uint64)
+                low, high = np.searchsorted(every, own, "left"), np.searchsorted(every, own, "right")
+                counts = high - low
+                places = np.arange(counts.sum()) + np.repeat(low - (np.cumsum(counts) - counts), counts)
+                common = np.bincount(owner[places], minlength=len(held))
+                linked = np.flatnonzero((100 * common >= percent * (size + sizes - common)) & (groups != group))
+                _, first = np.unique(groups[linked], return_index=True)
+                for at in linked[first].tolist():  # only links that connect more than the block's earlier ones
+                    one, two = top(group), top(int(groups[at]))
+                    if one != two:
+                        parent[two] = one
+                        found[0].append(node)
+                        found[1].append(int(names[at]))
+        return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
+
+    return run
 
 
 def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
