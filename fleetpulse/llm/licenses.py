@@ -89,7 +89,7 @@ def template_index(docs: DataFrame, text_col: str, templates: dict[str, str], th
 
 
 def scan(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None, threshold: float = 0.8
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None, threshold: float = 0.9
 ) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) of every row.
 
@@ -151,7 +151,7 @@ def scan(
     )
 
 
-def sql(threshold: float = 0.8) -> str:
+def sql(threshold: float = 0.9) -> str:
     values = ", ".join(f"('{label}', list_distinct(string_split('{sentence}', ' ')))" for label, sentence in TEMPLATES.items())
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     return rf"""
