@@ -24,10 +24,12 @@ def alarm_signals(records: DataFrame, vehicles: DataFrame, rules: DataFrame) ->
     """Hot/cold rows: one per record and alarm rule of its model whose pair is present.
 
     A rule lacking code, name or level is skipped, as is a vehicle lacking position, domain
-    or model. A present pair that does not raise is cold; an absent pair says nothing.
+    or model. A usable value that does not raise is cold; a pair that is absent, or whose value is
+    null or no number, says nothing.
     """
     usable = select_rules(rules, ALARM_RULE).dropna(subset=["code", "alarm_name", "alarm_level"])
     checks = rule_checks(records.select("vehicle_id", "ts", "seq", "pairs"), vehicles, usable, complete=True)
+    checks = checks.filter(~F.isnan("pair_value"))
     hot = F.col("holds") & F.coalesce(F.col("status") == RAISE, F.lit(False))
     return checks.select(
         "vehicle_id",

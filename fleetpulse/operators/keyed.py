@@ -70,8 +70,11 @@ def insert_if_absent(table: DataFrame, rows: DataFrame, keys: Sequence[str], ord
     return table.unionByName(new.join(table.select(*keys), list(keys), "left_anti"))
 
 
-def insert_all_if_absent(table: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Insert the batch only when none of its keys exists yet."""
+def insert_all_if_absent(table: DataFrame, rows: DataFrame, keys: Sequence[str], order: str = "seq") -> DataFrame:
+    """Insert the batch only when none of its keys exists yet; of several rows of a key the last is inserted."""
+    fields = [c for c in table.columns if c not in keys]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*fields), F.col(order)).alias("_last"))
+    rows = last.select(*keys, *[F.col("_last")[c].alias(c) for c in fields])
     taken = rows.join(table.select(*keys), list(keys), "left_semi")
     # a single row, whatever the size of the tables
     verdict = taken.agg((F.count(F.lit(1)) == 0).alias("_free"))

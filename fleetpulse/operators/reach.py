@@ -25,6 +25,7 @@ def reach(urls: DataFrame, tweeters: DataFrame, followers: DataFrame) -> DataFra
         .select(F.col("key").alias("url"), F.col("member").alias("person"))
         .distinct()
     )
-    crowd = followers.select(F.col("key").alias("person"), F.col("member").alias("follower")).distinct()
+    crowd = followers.select(F.col("key").alias("person"), F.col("member").alias("follower"))
+    crowd = crowd.join(people.select("person").distinct(), "person", "left_semi").distinct()
     counted = people.join(crowd, "person").groupBy("url").agg(F.countDistinct("follower").alias("reach"))
     return asked.join(counted, "url", "left").select("url", F.coalesce("reach", F.lit(0)).alias("reach"))

@@ -34,7 +34,7 @@ def difference(table: DataFrame, first: str, *others: str) -> DataFrame:
 
 def store(table: DataFrame, key: str, members: DataFrame) -> DataFrame:
     """Replace the set ``key`` by ``members``."""
-    kept = table.filter(F.col("key") != key)
+    kept = table.filter(~F.col("key").eqNullSafe(key))
     return kept.unionByName(members.select(F.lit(key).alias("key"), "member"))
 
 
@@ -64,5 +64,5 @@ def members(table: DataFrame, key: str) -> DataFrame:
 
 def random_member(table: DataFrame, seed: int = 0) -> DataFrame:
     """One member per key, drawn by a seeded hash: repeatable and combined map-side."""
-    draw = F.xxhash64(F.lit(seed), "key", "member")
+    draw = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("key").cast("string"), F.col("member").cast("string")))
     return table.groupBy("key").agg(F.min_by("member", F.struct(draw, "member")).alias("member"))

@@ -30,7 +30,8 @@ PAST_SLICE = -(2**62)
 
 
 def slice_number(ts: Column, width: str = DEFAULT_SLICE) -> Column:
-    return F.floor(F.unix_micros(ts) / F.lit(micros(width))).cast("bigint")
+    size = F.lit(micros(width))
+    return F.call_function("div", F.unix_micros(ts) - F.pmod(F.unix_micros(ts), size), size)
 
 
 SLICE_LADDER = ("1 day", "1 hour", "10 minutes", "1 minute", "10 seconds", "1 second")

@@ -99,7 +99,7 @@ def set_members(spark, sf):
     return ST.members(_membership(spark, sf), LOW)
 
 
-@query("set_random_member")
+@query("set_random_member", MEMBERSHIP + "SELECT key, arg_min(member, md5('7|' || key || '|' || member)) AS member FROM m GROUP BY key")
 def set_random_member(spark, sf):
     return ST.random_member(_membership(spark, sf), seed=7)
 
@@ -357,7 +357,7 @@ def insert_if_absent(spark, sf):
 
 @query(
     "insert_all_if_absent",
-    NEW_ROWS + """, shifted AS (SELECT key + 1000000000 AS key, value FROM r)
+    NEW_ROWS + """, shifted AS (SELECT key + 1000000000 AS key, arg_max(value, seq) AS value FROM r GROUP BY ALL)
       SELECT * FROM t UNION ALL SELECT * FROM shifted
       WHERE (SELECT count(*) FROM shifted WHERE key IN (SELECT key FROM t)) = 0""",
 )
@@ -366,6 +366,15 @@ def insert_all_if_absent(spark, sf):
     return K.insert_all_if_absent(table, rows, ["key"])
 
 
+@query(
+    "insert_all_if_absent_taken",
+    NEW_ROWS + """, last AS (SELECT key, arg_max(value, seq) AS value FROM r GROUP BY key)
+      SELECT * FROM t UNION ALL SELECT * FROM last WHERE (SELECT count(*) FROM last WHERE key IN (SELECT key FROM t)) = 0""",
+)
+def insert_all_if_absent_taken(spark, sf):
+    return K.insert_all_if_absent(*_new_rows(spark, sf), ["key"])
+
+
 @query(
     "ttl_expire",
     "SELECT o_orderkey, o_orderdate FROM orders WHERE TIMESTAMP '1999-01-01' - o_orderdate < INTERVAL 365 DAY",
@@ -613,9 +622,13 @@ def rows_as_json(spark, sf):
     return tables.rows_as_json(rows)
 
 
-@query("log_sample")
+@query(
+    "log_sample",
+    f"""SELECT * FROM lineitem
+      WHERE ('0x' || substr(md5('1|' || l_orderkey || '|' || l_linenumber), 1, 8))::BIGINT < {int(0.004 * 2**32)}""",
+)
 def log_sample(spark, sf):
-    return sinks.log_sample(load(spark, sf, "lineitem"), seed=1)
+    return sinks.log_sample(load(spark, sf, "lineitem"), "l_orderkey", "l_linenumber", seed=1)
 
 
 # ---- words and reach

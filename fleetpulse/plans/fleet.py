@@ -332,6 +332,22 @@ def alarm_episodes_short_gap(spark, sf):
     return A.alarm_episodes(*_fleet(spark, sf))
 
 
+GAPPED = Q.READINGS.replace(
+    "event_type AS code, value,", "event_type AS code, CASE WHEN event_id % 7 <> 3 AND event_id % 11 <> 5 THEN value END AS value,"
+)
+
+
+@query(
+    "alarms_with_gaps",
+    Q.with_ctes(GAPPED, Q.VEHICLES, Q.RULES, Q.CHECKS, Q.alarms(43_200_000_000), select="SELECT * FROM episodes"),
+)
+def alarms_with_gaps(spark, sf):
+    """Some values are null and some are no numbers: they neither raise nor end an alarm."""
+    seq = F.col("seq")
+    value = F.when(seq % 7 == 3, F.lit(None)).when(seq % 11 == 5, "junk").otherwise(F.col("value").cast("string"))
+    return A.alarm_episodes(adapter.records(_events(spark, sf), value), _vehicles(spark, sf), _rules(spark, sf), gap=HALF_DAY)
+
+
 @query("alarm_begins", Q.with_ctes(*EPISODES, select="SELECT * EXCLUDE (end_ts) FROM episodes"))
 def alarm_begins(spark, sf):
     return A.begin_events(_episodes(spark, sf))

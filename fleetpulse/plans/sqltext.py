@@ -38,7 +38,7 @@ vehicles AS (
     CASE WHEN c_custkey % 11 <> 3 THEN c_acctbal / 100 END AS lat,
     c_acctbal / 50 AS lon,
     CASE WHEN c_custkey % 3 = 1 THEN '0' WHEN c_custkey % 3 = 2 THEN '4' END AS active_status
-  FROM customer WHERE c_custkey % 13 <> 5
+  FROM customer
 )"""
 
 RULES = """
@@ -86,7 +86,7 @@ def alarms(gap_us: int) -> str:
 signals AS (
   SELECT vehicle_id, code, alarm_level AS level, alarm_name, ts, us, seq, -inx AS neg_inx,
     holds AND coalesce(status = 1, false) AS hot
-  FROM checks WHERE type = 2 AND alarm_name IS NOT NULL AND alarm_level IS NOT NULL
+  FROM checks WHERE type = 2 AND value IS NOT NULL AND alarm_name IS NOT NULL AND alarm_level IS NOT NULL
     AND lat IS NOT NULL AND lon IS NOT NULL AND domain_unid IS NOT NULL
 ),
 marked AS (

@@ -54,12 +54,13 @@ def _pair(code: Column, alias: str, value: Column) -> Column:
     return F.struct(*fields, value.cast("string").alias("value"))
 
 
-def records(events: DataFrame) -> DataFrame:
-    """Messages with structured pairs: ``vehicle_id, ts, seq, timestamp, pairs``."""
+def records(events: DataFrame, value: Column | None = None) -> DataFrame:
+    """Messages with structured pairs: ``vehicle_id, ts, seq, timestamp, pairs``; ``value`` replaces
+    the text of the event's own pair."""
     rows = readings(events)
     pairs = [
         _pair(F.lit(VEHICLE_CODE), "", F.col("vehicle_id")),
-        _pair(F.col("code"), "", F.col("value")),
+        _pair(F.col("code"), "", F.col("value") if value is None else value),
         *[
             F.when(F.col(m).isNotNull(), _pair(F.lit(""), METRICS[m][0], F.col(m)))
             for m in ("mileage", "energy", "fuel", "charge_all", "in_charge", "soc")
@@ -81,9 +82,9 @@ def wire_messages(events: DataFrame) -> DataFrame:
 
 
 def vehicles(customer: DataFrame) -> DataFrame:
-    """Vehicle dimension; some vehicles lack a model, a position or a row."""
+    """Vehicle dimension, a vehicle for each customer; some lack a model or a position."""
     key = F.col("c_custkey")
-    return customer.filter(key % 13 != 5).select(
+    return customer.select(
         F.concat(F.lit("V"), key.cast("string")).alias("vehicle_id"),
         F.when(key % 10 != 7, F.concat(F.lit("F"), (key % 3).cast("string"))).alias("fiber_unid"),
         F.concat(F.lit("D"), F.col("c_nationkey").cast("string")).alias("domain_unid"),

@@ -84,6 +84,9 @@ def console_writer(df: DataFrame, rows: int = 20) -> DataStreamWriter:
     return df.writeStream.format("console").option("numRows", rows)
 
 
-def log_sample(df: DataFrame, fraction: float = 0.004, seed: int | None = None) -> DataFrame:
-    """A small random share of the rows, for logging."""
-    return df.sample(fraction=fraction, seed=seed)
+def log_sample(df: DataFrame, *keys: str, fraction: float = 0.004, seed: int = 0) -> DataFrame:
+    """A small share of the rows, for logging: drawn by a seeded hash of the keys, so that it does
+    not depend on how the rows are partitioned."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    draw = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return df.filter(draw < int(fraction * 2**32))

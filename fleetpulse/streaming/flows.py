@@ -70,19 +70,25 @@ def enrich(stream: DataFrame, wide: DataFrame, row_key: str) -> DataFrame:
     return stream.join(wide.withColumnRenamed("row_key", row_key), row_key, "left")
 
 
-def _stretches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """First and last time per vehicle of each Arrow batch."""
-    for pdf in frames:
-        times = pdf.groupby("vehicle_id")["ts"]
-        yield pd.DataFrame({"start": times.min(), "ts": times.max()}).reset_index()
+def _stretches(limit: pd.Timedelta) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """First and last times of each vehicle's stretches without a pause, per Arrow batch."""
+
+    def reduce(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            rows = pdf.sort_values(["vehicle_id", "ts"])
+            pause = (rows["vehicle_id"] != rows["vehicle_id"].shift()) | (rows["ts"].diff() > limit)
+            times = rows.groupby([rows["vehicle_id"], pause.cumsum()])["ts"]
+            yield pd.DataFrame({"start": times.min(), "ts": times.max()}).reset_index()[["vehicle_id", "start", "ts"]]
+
+    return reduce
 
 
 def presence_changes(rows: DataFrame, timeout: str = "5 minutes", delay: str = "1 minute") -> DataFrame:
     """Online and offline transitions of each vehicle, by event time.
 
-    Rows are reduced to first and last times before they are shuffled to the state, so a busy
-    vehicle sends a few rows per micro-batch. A pause hidden inside one such stretch is not
-    seen, as a periodic sweep would not see it either.
+    Rows are reduced to stretches without a pause before they are shuffled to the state, so a busy
+    vehicle sends a few rows per micro-batch. The state joins stretches in time order, so the
+    transitions do not depend on how the rows are cut into batches.
     """
     limit = int(pd.Timedelta(timeout).total_seconds() * 1000)
 
@@ -115,7 +121,7 @@ def presence_changes(rows: DataFrame, timeout: str = "5 minutes", delay: str = "
             yield pd.DataFrame({"vehicle_id": key[0], "active_status": list(status), "ts": times})
 
     reduced = rows.select("vehicle_id", "ts").mapInPandas(
-        _stretches, "vehicle_id string, start timestamp, ts timestamp"
+        _stretches(pd.Timedelta(timeout)), "vehicle_id string, start timestamp, ts timestamp"
     )
     return (
         reduced.withWatermark("ts", delay)

@@ -244,7 +244,7 @@ def test_generic_rows(spark):
     assert rows(tables.last_row(df, "id")) == [(2, "b")] and tables.last_row(df.limit(0), "id").count() == 0
     rules = spark.createDataFrame([(None, None, None)], "OPTION string, VALUE int, ALARM_LEVEL int")
     assert tuple(tables.with_rule_defaults(rules).first()) == ("=", 0, None)
-    assert sinks.log_sample(spark.range(10_000), seed=1).count() < 200
+    assert sinks.log_sample(spark.range(10_000), "id", seed=1).count() < 200
 
 
 def test_refreshing_table(spark):
