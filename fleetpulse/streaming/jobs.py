@@ -5,15 +5,20 @@ the state left by the previous one and writes the new state, so streaming and ba
 definition, stay in the JVM, and split a hot vehicle by time slice in either mode. State and
 results are keyed by batch id: a replayed batch reads and writes the same data again.
 
-State lives below ``path`` in storage all executors share. It holds unfinished things only:
-vehicle-days inside the horizon, open episodes, and each vehicle's last record, which tells
-late rows. Late rows are kept aside in ``path/late``.
+Every vehicle has a mark of its own, its newest time so far. Rows within ``lateness`` of the mark are
+held and put in order before they enter the state, so rows may arrive in any order within that
+time; rows behind what was already released go to ``path/late``. A row that is more than ``AHEAD`` in
+front of the clock at its arrival goes to ``path/ahead`` and moves no mark. Nothing depends on
+other vehicles: a wrong clock or a backlog of one does not touch the rest. ``job.flush(spark)``
+releases what is held when a stream has ended.
+
+State lives below ``path`` in storage all executors share: unfinished things, held rows, and each
+vehicle's mark.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +33,8 @@ from fleetpulse.sources.sinks import Snapshot, append_batch
 
 Table = Callable[[SparkSession], DataFrame]
 
-SEEN_SCHEMA = "vehicle_id string, last struct<ts: timestamp, seq: bigint>"
+SEEN_SCHEMA = "vehicle_id string, last timestamp, done struct<ts: timestamp, seq: bigint>"
+AHEAD = "1 day"
 
 
 def _empty(spark: SparkSession, schema: str) -> DataFrame:
@@ -36,32 +42,73 @@ def _empty(spark: SparkSession, schema: str) -> DataFrame:
 
 
 class _Arrivals:
-    """Splits late rows off: those not after the vehicle's last record of earlier batches."""
+    """Releases each vehicle's rows in order, once they are ``lateness`` behind its newest row."""
 
-    def __init__(self, path: str):
-        self._seen = Snapshot(f"{path}/seen", SEEN_SCHEMA)
-        self._late = f"{path}/late"
+    def __init__(self, path: str, lateness: str):
+        self.seen = Snapshot(f"{path}/seen", SEEN_SCHEMA)
+        self._path, self._lateness = path, F.expr(f"INTERVAL {lateness}")
+        self._held: Snapshot | None = None
 
-    def on_time(self, rows: DataFrame, batch_id: int) -> DataFrame:
+    def split(self, rows: DataFrame, batch_id: int, everything: bool) -> tuple[DataFrame, DataFrame]:
+        """(released rows, rows still held) after this batch, in the columns of ``rows``."""
         spark = rows.sparkSession
-        known = self._seen.before(spark, batch_id)
-        tagged = rows.join(known, "vehicle_id", "left").withColumn(
-            "_is_late", F.coalesce(F.struct("ts", "seq") <= F.col("last"), F.lit(False))
-        )
-        append_batch(tagged.filter("_is_late").drop("_is_late", "last"), self._late, batch_id)
-        heard = rows.groupBy("vehicle_id").agg(
-            F.max(F.struct(F.col("ts"), F.col("seq").cast("bigint").alias("seq"))).alias("last")
-        )
-        both = known.unionByName(heard)
-        self._seen.write(both.groupBy("vehicle_id").agg(F.max("last").alias("last")), batch_id)
-        return tagged.filter(~F.col("_is_late")).drop("_is_late", "last")
-
-
-def daily_job(spark: SparkSession, path: str, horizon_days: int = 2, **options) -> Callable[[DataFrame, int], None]:
-    """Daily statistics: each batch writes the vehicle-days it changed to ``path/out``.
+        place = F.struct(F.col("ts"), F.col("seq").cast("bigint").alias("seq"))
+        if self._held is None:
+            self._held = Snapshot(f"{self._path}/held", rows.schema)
+        known = self.seen.before(spark, batch_id)
+        # decided once: a later look at the clock must not decide differently
+        clock = F.lit(spark.range(1).select(F.current_timestamp()).first()[0])
+        ahead = F.col("ts") > clock + F.expr(f"INTERVAL {AHEAD}")
+        tagged = rows.join(known, "vehicle_id", "left")
+        late = F.coalesce(place <= F.col("done"), F.lit(False))
+        append_batch(tagged.filter(late & ~ahead).select(rows.columns), f"{self._path}/late", batch_id)
+        append_batch(rows.filter(ahead), f"{self._path}/ahead", batch_id)
+        waiting = self._held.before(spark, batch_id).unionByName(tagged.filter(~late & ~ahead).select(rows.columns)).persist()
+        heard = waiting.groupBy("vehicle_id").agg(F.max("ts").alias("last"))
+        both = known.select("vehicle_id", "last").unionByName(heard).groupBy("vehicle_id").agg(F.max("last").alias("last"))
+        due = F.lit(True) if everything else F.col("ts") <= F.col("last") - self._lateness
+        sorted_out = waiting.join(both, "vehicle_id").withColumn("_due", due).persist()
+        released = sorted_out.filter("_due").select(rows.columns)
+        done = released.groupBy("vehicle_id").agg(F.max(place).alias("done")).unionByName(known.filter("done IS NOT NULL").select("vehicle_id", "done"))
+        done = done.groupBy("vehicle_id").agg(F.max("done").alias("done"))
+        self._held.write(sorted_out.filter("NOT _due").select(rows.columns), batch_id)
+        self.seen.write(both.join(done, "vehicle_id", "left").select("vehicle_id", "last", "done"), batch_id)
+        waiting.unpersist()
+        self._kept = sorted_out
+        return released, self._held.after(spark, batch_id)
+
+    def release(self) -> None:
+        self._kept.unpersist()
+
+    def nothing(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame([], self._held._schema)
+
+
+def _with_flush(run, arrivals: _Arrivals) -> Callable[[DataFrame, int], None]:
+    last = None
+
+    def job(batch: DataFrame, batch_id: int) -> None:
+        nonlocal last
+        run(batch, batch_id, False)
+        last = batch_id
+
+    def flush(spark: SparkSession) -> None:
+        """Release all held rows as one more batch; a stream that goes on writes that batch anew."""
+        if last is not None:
+            run(arrivals.nothing(spark), last + 1, True)
+
+    job.flush = flush
+    return job
+
+
+def daily_job(
+    spark: SparkSession, path: str, horizon_days: int = 2, lateness: str = "0 seconds", **options
+) -> Callable[[DataFrame, int], None]:
+    """Daily statistics: each batch writes the vehicle-days of its vehicles to ``path/out``, rows
+    still held included.
 
-    The input has the columns of ``daily.readings``. Days older than the horizon leave the
-    state, and the vehicle's last record keeps their late rows out.
+    The input has the columns of ``daily.readings``. A vehicle's days older than the horizon before its own
+    mark leave the state.
     """
     rows_schema = (
         "vehicle_id string, ts timestamp, seq bigint, timestamp timestamp, mileage double, energy double, "
@@ -70,40 +117,48 @@ def daily_job(spark: SparkSession, path: str, horizon_days: int = 2, **options)
     last_change = F.max("batch").alias("batch")
     blank = D.fragments(_empty(spark, rows_schema)).withColumn("batch", F.lit(0).cast("bigint"))
     state = Snapshot(f"{path}/state", D.merge(blank, last_change).schema)
-    arrivals = _Arrivals(path)
+    arrivals = _Arrivals(path, lateness)
 
-    def run(batch: DataFrame, batch_id: int) -> None:
+    def run(batch: DataFrame, batch_id: int, everything: bool) -> None:
         session = batch.sparkSession
         batch.persist()
-        rows = arrivals.on_time(batch, batch_id).persist()
+        number = F.lit(batch_id).cast("bigint")
+        rows, held = arrivals.split(batch, batch_id, everything)
         before = state.before(session, batch_id)
         frags = D.fragments(rows, state=before.drop("batch"), **options)
-        merged = D.merge(before.unionByName(frags.withColumn("batch", F.lit(batch_id).cast("bigint"))), last_change)
-        newest = rows.agg(F.max("ts")).first()[0]  # one value
-        if newest is not None:
-            limit = newest - timedelta(days=horizon_days)
-            merged = merged.filter((F.col("batch") == batch_id) | (F.col("last.ts") >= F.lit(limit)))
-        state.write(merged, batch_id)
-        changed = state.after(session, batch_id).filter(F.col("batch") == batch_id)
-        append_batch(D.report(changed), f"{path}/out", batch_id)
-        rows.unpersist()
+        merged = D.merge(before.unionByName(frags.withColumn("batch", number)), last_change)
+        marks = arrivals.seen.after(session, batch_id).select("vehicle_id", F.col("last").alias("_mark"))
+        merged = merged.join(marks, "vehicle_id", "left").filter(
+            (F.col("batch") == batch_id) | (F.col("last.ts") >= F.col("_mark") - F.expr(f"INTERVAL {horizon_days} DAYS"))
+        )
+        state.write(merged.select([f.name for f in state._schema]), batch_id)
+        after = state.after(session, batch_id)
+        recent = D.fragments(held, state=after.drop("batch"), **options).withColumn("batch", number)
+        changed = D.merge(after.unionByName(recent), last_change).filter(F.col("batch") == batch_id)
+        heard = batch.select("vehicle_id").distinct()
+        append_batch(D.report(changed if everything else changed.join(heard, "vehicle_id", "left_semi")), f"{path}/out", batch_id)
+        arrivals.release()
         batch.unpersist()
 
-    return run
+    return _with_flush(run, arrivals)
+
 
+def _episode_job(spark, path, signals, rule, family, publish, lateness, expire=None) -> Callable[[DataFrame, int], None]:
+    """Shared frame of the two episode machines (``family`` is the module of one of them).
 
-def _episode_job(spark, path, signals, rule, family, publish, expire=None) -> Callable[[DataFrame, int], None]:
-    """Shared frame of the two episode machines (``family`` is the module of one of them)."""
+    Episodes are made of released rows only: their identity is their begin, which a held row may still move.
+    """
     last_change = F.max("batch").alias("batch")
     zero = F.lit(0).cast("bigint")
     state = None
-    arrivals = _Arrivals(path)
+    arrivals = _Arrivals(path, lateness)
 
-    def run(batch: DataFrame, batch_id: int) -> None:
+    def run(batch: DataFrame, batch_id: int, everything: bool) -> None:
         nonlocal state
         session = batch.sparkSession
         batch.persist()
-        rows = signals(session, arrivals.on_time(batch, batch_id)).persist()
+        released, _ = arrivals.split(batch, batch_id, everything)
+        rows = signals(session, released).persist()
         if state is None:
             blank = family.fragments(rows.limit(0), rule).withColumn("batch", zero)
             state = Snapshot(f"{path}/state", family.merge(blank, rule, last_change).schema)
@@ -111,21 +166,28 @@ def _episode_job(spark, path, signals, rule, family, publish, expire=None) -> Ca
         frags = family.fragments(rows, rule).withColumn("batch", zero + batch_id)
         merged = family.merge(TL.preceding(opened).unionByName(frags), rule, last_change)
         if expire is not None:
-            newest = batch.agg(F.max("ts")).first()[0]  # one value
-            if newest is not None:
-                merged = expire(merged, F.lit(newest))
-                merged = merged.withColumn("batch", F.when(F.col("closed"), zero + batch_id).otherwise(F.col("batch")))
+            marks = arrivals.seen.after(session, batch_id).select(F.col("vehicle_id").alias("_v"), F.col("last").alias("_mark"))
+            merged = expire(merged.join(marks, F.col("vehicle_id") == F.col("_v"), "left"), F.col("_mark")).drop("_v", "_mark")
+            merged = merged.withColumn("closed", F.coalesce("closed", F.lit(False)))
+            merged = merged.withColumn("batch", F.when(F.col("closed"), zero + batch_id).otherwise(F.col("batch")))
         state.write(merged, batch_id)
         changed = state.after(session, batch_id).filter(F.col("batch") == batch_id)
         append_batch(publish(session, changed), f"{path}/out", batch_id)
         rows.unpersist()
+        arrivals.release()
         batch.unpersist()
 
-    return run
+    return _with_flush(run, arrivals)
 
 
 def alarm_job(
-    spark: SparkSession, path: str, vehicles: Table, rules: Table, gap: str = A.ALARM_GAP, **options
+    spark: SparkSession,
+    path: str,
+    vehicles: Table,
+    rules: Table,
+    gap: str = A.ALARM_GAP,
+    lateness: str = "0 seconds",
+    **options,
 ) -> Callable[[DataFrame, int], None]:
     """Alarm episodes: each batch writes the episodes it opened, extended or closed.
 
@@ -139,6 +201,7 @@ def alarm_job(
         A.gap_rule(gap, **options),
         A,
         lambda session, episodes: A.publish(episodes, vehicles(session)),
+        lateness,
     )
 
 
@@ -149,11 +212,12 @@ def charge_job(
     rules: Table,
     gap: str = C.CHARGE_GAP,
     expire_after: str | None = None,
+    lateness: str = "0 seconds",
     **options,
 ) -> Callable[[DataFrame, int], None]:
     """Charging sessions: each batch writes the sessions it opened, extended or closed.
 
-    ``expire_after`` closes sessions that began longer ago than that.
+    ``expire_after`` closes sessions that began longer than that before their vehicle's mark.
     """
     expire = None
     if expire_after is not None:
@@ -169,6 +233,7 @@ def charge_job(
         C.gap_rule(gap, **options),
         C,
         lambda session, sessions: C.publish(sessions),
+        lateness,
         expire,
     )
 
