@@ -34,7 +34,7 @@ from fleetpulse.llm.common import stored, tasks
 from fleetpulse.llm.packed import columns, deal, mix, planes, slices, steps, text_bytes
 from fleetpulse.llm.suffixes import common_prefixes, suffix_array
 
-ROWS = "part int, kind int, gram binary, content binary, doc binary, tie binary, block binary, low binary, span binary, bytes binary"
+ROWS = "part int, kind int, gram binary, content binary, doc binary, tie binary, block binary, low binary, span binary, bytes binary, number bigint"
 NAMES = [c.split(" ")[0] for c in ROWS.split(", ")]
 CONTEXTS, RANGES, WANTED, CROWDED = 0, 1, 2, 3
 KINDS = {"content": np.uint64, "doc": np.int64, "tie": np.uint32, "block": np.int32, "low": np.int64, "span": np.int64}
@@ -46,6 +46,8 @@ PIECE = 1 << 20
 HELD = 3_000_000
 #: Shards for each task that a shuffle has: a shard is held in memory at once.
 SHARDS = 3
+#: Text that one suffix array covers.
+SHARD_BYTES = 1 << 19
 #: Ids of documents without one: after all others, apart by the hash of their text.
 NO_ID = 1 << 62
 
@@ -93,7 +95,8 @@ def contexts(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarra
     anchor = anchors[np.concatenate([[0], cut])]
     content = (running[last + length] - running[first]) * inverse[first]
     shape = (anchor - first).astype(np.uint64) << np.uint64(32) | (last - first).astype(np.uint64)
-    return first, last, grams[anchor], mix(content ^ mix(shape))
+    # smallest hashes are small numbers: spread them again before they are dealt to shards
+    return first, last, mix(grams[anchor]), mix(content ^ mix(shape))
 
 
 def _row(part: int, kind: int, **values) -> dict:
@@ -101,7 +104,7 @@ def _row(part: int, kind: int, **values) -> dict:
 
 
 def _batch(rows: list[dict]) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.int32(), *[pa.binary()] * (len(NAMES) - 2)]
+    kinds = [pa.int32(), pa.int32(), *[pa.binary()] * (len(NAMES) - 3), pa.int64()]
     return pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in rows], k) for n, k in zip(NAMES, kinds)], NAMES)
 
 
@@ -226,7 +229,7 @@ def _meet(length: int, crowded: int):
                 own = _take(own, np.argsort(own["block"], kind="stable"))
                 for block, at in slices(own["block"]):
                     values = {k: planes(own[k][at]) for k in ("gram", "doc", "tie", "low", "span")}
-                    rows.append(_row(block, kind, **values))
+                    rows.append(_row(block, kind, number=at.stop - at.start, **values))
         return pa.Table.from_batches([_batch(rows)])
 
     return run
@@ -394,8 +397,10 @@ def remove_repeats(
     kinds = dict(docs.dtypes)
     schema = ", ".join([RESULT, *[f"_keep{k} {kinds[c]}" for k, c in enumerate(keep)]])
     wanted = met.filter(F.col("kind").isin(WANTED, CROWDED)).groupBy(F.col("part").alias("block"))
-    shards = texts.cogroup(wanted).applyInArrow(_fetch(length, parts), ROWS)
-    ranges = met.filter(F.col("kind") == RANGES).unionByName(shards.groupBy("part").applyInArrow(_sort_shard(length), ROWS))
+    asked = met.filter(F.col("kind").isin(WANTED, CROWDED)).agg(F.sum(F.col("number") * F.when(F.col("kind") == CROWDED, length).otherwise(1))).first()[0]
+    shards = max(1, -(-(asked or 0) * 2 * length // SHARD_BYTES))
+    shared = texts.cogroup(wanted).applyInArrow(_fetch(length, shards), ROWS)
+    ranges = met.filter(F.col("kind") == RANGES).unionByName(shared.groupBy("part").applyInArrow(_sort_shard(length), ROWS))
     return texts.cogroup(ranges.groupBy(F.col("part").alias("block"))).applyInArrow(_cut(length, with_kept, keep), schema)
 
 

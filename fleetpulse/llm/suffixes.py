@@ -136,16 +136,16 @@ def suffix_array(text: np.ndarray, depth: int | None = None) -> np.ndarray:
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
     """Permuted common prefixes: for each place, how many characters (``most`` at most) its suffix
-    shares with the one before it in order. Only places whose preceding characters differ are
-    compared; the others share one character less than the place before them."""
+    shares with the one before it in order. Places whose preceding characters differ are compared; the
+    others share one character less than the place before them."""
     n = len(text)
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
     at = np.arange(n)
     chained = (at > 0) & (before > 0)
     chained[chained] = text[at[chained] - 1] == text[before[chained] - 1]
-    chained[1:] &= before[:-1] >= 0
-    # the neighbour of the next place must be the next place of the neighbour
+    # of an exact suffix array this follows; beyond a limited depth neighbours may be in any order
+    chained[1:] &= before[:-1] + 1 == before[1:]
     lone = np.flatnonzero(~chained & (before >= 0))
     shared = np.zeros(n, np.int64)
     active, k = lone, 0
