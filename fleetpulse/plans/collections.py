@@ -12,6 +12,7 @@ from fleetpulse.operators import lookup as L
 from fleetpulse.operators import ranking as RK
 from fleetpulse.operators import sets as ST
 from fleetpulse.operators import wordcount as WC
+from fleetpulse.operators.reach import edges
 from fleetpulse.operators.reach import reach as reach_of
 from fleetpulse.plans.registry import query
 from fleetpulse.sources import sinks, tables
@@ -664,6 +665,26 @@ def word_sum(spark, sf):
     return WC.count_total(load(spark, sf, "conversations"), _counts(spark, sf), ["conv_id"], "text")
 
 
+@query("word_total", WORDS + "SELECT cast(sum(count) AS BIGINT) AS sum FROM asked JOIN counts USING (word)")
+def word_total(spark, sf):
+    """One sum over all requests."""
+    return WC.count_total(load(spark, sf, "conversations"), _counts(spark, sf), text="text")
+
+
+REACH = """SELECT n_name AS url, count(DISTINCT o_custkey) AS reach FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey
+      LEFT JOIN lineitem ON l_suppkey = s_suppkey LEFT JOIN orders ON o_orderkey = l_orderkey GROUP BY n_name"""
+
+
+@query("reach_lists", REACH)
+def reach_lists(spark, sf):
+    """The same from adjacency lists: a list of suppliers, and one of customers for each order."""
+    nation, supplier = load(spark, sf, "nation"), load(spark, sf, "supplier")
+    tweeters = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select("n_name", F.array("s_suppkey").alias("people"))
+    lines = load(spark, sf, "lineitem").join(load(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    followers = lines.select("l_suppkey", F.when(F.col("o_custkey").isNotNull(), F.array("o_custkey", "o_custkey")).alias("people"))
+    return reach_of(nation.select(F.col("n_name").alias("url")), edges(tweeters, "n_name", "people"), edges(followers, "l_suppkey", "people"))
+
+
 @query(
     "reach",
     """SELECT n_name AS url, count(DISTINCT o_custkey) AS reach FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey

@@ -14,6 +14,8 @@ from fleetpulse.functions import times as TM
 from fleetpulse.plans import sqltext as Q
 from fleetpulse.plans.registry import query
 from fleetpulse.sources import adapter
+from fleetpulse.session import scratch_path
+from fleetpulse.sources.sinks import append_batch, read_batches
 from fleetpulse.sources.tables import spread
 
 FLEET = (Q.READINGS, Q.VEHICLES, Q.RULES, Q.CHECKS)
@@ -372,6 +374,14 @@ def alarm_event_table(spark, sf):
     return A.apply_ends(A.begin_events(episodes), A.end_events(episodes))
 
 
+@query("alarm_events_by_month", Q.with_ctes(*EPISODES, select="SELECT * EXCLUDE (end_ts) FROM episodes"))
+def alarm_events_by_month(spark, sf):
+    """Begin events as an event store keeps them: a folder for each month."""
+    path = scratch_path(spark, "alarm-events")
+    append_batch(A.begin_events(_episodes(spark, sf)), path, 0, ["table_suf"])
+    return read_batches(spark, path).drop("batch_id").withColumn("table_suf", F.col("table_suf").cast("string"))
+
+
 @query("open_alarms", Q.with_ctes(*EPISODES, select="SELECT * FROM episodes WHERE end_ts IS NULL"))
 def open_alarms(spark, sf):
     return A.open_alarms(_episodes(spark, sf))

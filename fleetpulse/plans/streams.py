@@ -76,6 +76,32 @@ def stream_charge(spark, sf):
     return _drain(spark, adapter.records(_events_in_batches(spark, sf, path)), job, path, ["row_key"])
 
 
+@query(
+    "shared_stream",
+    Q.with_ctes(
+        *FL.SESSIONS,
+        Q.DAILY.replace("walked AS", "driven AS").replace("FROM walked", "FROM driven"),
+        select="""SELECT 'charge' AS job, row_key AS key, start_charge AS value FROM sessions
+          UNION ALL SELECT 'daily', day || '-' || vehicle_id, mile_total FROM daily""",
+    ),
+)
+def shared_stream(spark, sf):
+    """One stream of records feeds the charging and the daily job."""
+    path = scratch_path(spark, "shared")
+    daily, charge = f"{path}/daily", f"{path}/charge"
+    both = flows.two_jobs(
+        (jobs.daily_job(spark, daily, lateness="1 minute"), flows.reading_stream),
+        (jobs.charge_job(spark, charge, *_sides(sf), gap=FL.DAY, lateness="1 minute"), lambda df: df),
+    )
+    flows.start_job(adapter.records(_events_in_batches(spark, sf, path)), both, f"{path}/checkpoint").awaitTermination()
+    both.flush(spark)
+    sessions = latest_version(read_batches(spark, f"{charge}/out"), ["row_key"])
+    days = latest_version(read_batches(spark, f"{daily}/out"), list(D.KEYS))
+    return sessions.select(F.lit("charge").alias("job"), F.col("row_key").alias("key"), F.col("start_charge").alias("value")).unionByName(
+        days.select(F.lit("daily").alias("job"), F.concat_ws("-", "day", "vehicle_id").alias("key"), F.col("mile_total").alias("value"))
+    )
+
+
 @query("stream_status", Q.with_ctes(*FL.FLEET, Q.STATUS, select=FL.LATEST_STATUS))
 def stream_status(spark, sf):
     path = scratch_path(spark, "status")

@@ -52,6 +52,11 @@ def two_jobs(
             job(prepare(batch), batch_id)
         batch.unpersist()
 
+    def flush(spark) -> None:
+        for job, _ in (first, second):
+            job.flush(spark)
+
+    run.flush = flush
     return run
 
 
