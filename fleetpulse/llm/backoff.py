@@ -36,7 +36,7 @@ ROWS = "part bigint, kind int, task bigint, size int, slice int, hash binary, co
 NAMES = [c.split(" ")[0] for c in ROWS.split(", ")]
 SCORES = "doc_id bigint, n_words bigint, n_full bigint, n_single bigint, micro bigint"
 GRAMS, TEXTS, TOTALS = 0, 1, 2
-HELD, CHUNK_BYTES = 2_500_000, 4 << 20
+HELD, CHUNK_BYTES = 1_250_000, 2 << 20
 UNIT = 1_000_000
 _STEP, _DROP = np.uint64(0x9E3779B97F4A7C15), np.uint64(4)
 #: Parts for each task that a shuffle has: a part is held in memory at once.
@@ -72,17 +72,23 @@ def gram_hashes(words: np.ndarray, lengths: np.ndarray, order: int):
         yield held, room >= size
 
 
-def _explode(order: int, parts: int):
+def _explode(order: int, parts: int, kind: int):
+    """Rows of one kind: the n-grams of each batch of texts, or what is needed to list them again."""
+
     def flush(held, docs, task):
         words = np.concatenate([w for w, _ in held])
         lengths = np.concatenate([n for _, n in held])
         rows = []
-        for size, (hashes, inside) in enumerate(gram_hashes(words, lengths, order), 1):
+        for size, (hashes, inside) in enumerate(gram_hashes(words, lengths, order) if kind == GRAMS else (), 1):
             distinct, counts = np.unique(hashes[inside], return_counts=True)
             for part, at in slices(deal(distinct << _DROP, parts)):
                 rows.append(
                     {"part": -1 - part, "kind": GRAMS, "task": task, "size": size, "slice": part, "hash": steps(distinct[at]), "count": planes(counts[at].astype(np.uint64))}
                 )
+        if kind == GRAMS:
+            for k in range(0, len(rows), 64):
+                yield _rows(rows[k : k + 64])
+            return
         distinct, number = np.unique(words, return_inverse=True)
         ids = np.array([0 if d is None else d for d in docs], np.int64)
         none = np.array([d is None for d in docs], np.uint8)
@@ -98,8 +104,7 @@ def _explode(order: int, parts: int):
                 "length": planes(lengths),
             }
         )
-        for k in range(0, len(rows), 64):
-            yield _rows(rows[k : k + 64])
+        yield _rows(rows)
 
     def run(batches):
         held, docs, count = [], [], 0
@@ -124,7 +129,7 @@ def _explode(order: int, parts: int):
 
 def _count(table: pa.Table) -> pa.Table:
     """One part of the n-gram tables: totals for each task's n-grams, in the order they came."""
-    rows = table.filter(pc.field("kind") == TEXTS).to_pylist()
+    rows: list[dict] = []
     for size in sorted(set(table["size"].to_pylist()) - {None}):
         own = table.filter((pc.field("kind") == GRAMS) & (pc.field("size") == size))
         hashes = [unsteps(x) for x in own["hash"].to_pylist()]
@@ -156,13 +161,13 @@ def _logs(counts: np.ndarray) -> np.ndarray:
 def _sum(order: int, alpha: float):
     penalty = round(UNIT * math.log(alpha))
 
-    def run(table: pa.Table) -> pa.Table:
-        """One task's texts: n-grams joined to their totals, logarithms added up per text."""
-        texts = table.filter(pc.field("kind") == TEXTS).to_pylist()[0]
+    def run(table: pa.Table, batch: pa.Table) -> pa.Table:
+        """One batch of texts: n-grams joined to their totals, logarithms added up per text."""
+        texts = batch.to_pylist()[0]
         words = unsteps(texts["hash"])[unplanes(texts["count"], np.uint32)]
         lengths, n = unplanes(texts["length"], np.int64), len(words)
         owner = np.repeat(np.arange(len(lengths)), lengths)
-        replies = sorted(table.filter(pc.field("kind") == TOTALS).select(["size", "slice", "count"]).to_pylist(), key=lambda r: (r["size"], r["slice"]))
+        replies = sorted(table.select(["size", "slice", "count"]).to_pylist(), key=lambda r: (r["size"], r["slice"]))
         others = []
         for size, (hashes, inside) in enumerate(gram_hashes(words, lengths, order), 1):
             totals = np.concatenate([unplanes(r["count"], np.uint64) for r in replies if r["size"] == size] or [np.zeros(0, np.uint64)])
@@ -207,13 +212,14 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     ``n_full`` words are scored by n-grams of full order, ``n_single`` by their own count. A word that no
     other row has counts as half an occurrence. Words are what ASCII white space separates. Null and
     empty texts, and texts alone in the table, have null scores. Rows are documents: a repeated row vouches
-    for its copy. An empty table gives no row; further columns are ignored.
+    for its copy. ``docs`` has the same partitions whenever it is read, as files have. An empty table gives no row; further columns are ignored.
     """
     parts = PARTS * tasks(docs.sparkSession)
     own = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    grams = own.mapInArrow(_explode(order, parts), ROWS)
-    totals = grams.groupBy("part").applyInArrow(_count, ROWS)
-    sums = stored(totals.groupBy(F.col("part").alias("_task")).applyInArrow(_sum(order, alpha), SCORES), "backoff")
+    # texts are read again rather than sent along with their n-grams; both reads cut them into the same batches
+    totals = own.mapInArrow(_explode(order, parts, GRAMS), ROWS).groupBy("part").applyInArrow(_count, ROWS)
+    texts = own.mapInArrow(_explode(order, parts, TEXTS), ROWS)
+    sums = stored(totals.groupBy("part").cogroup(texts.groupBy("part")).applyInArrow(_sum(order, alpha), SCORES), "backoff")
     corpus = sums.agg(F.sum("n_words").alias("_all"))  # one row
     rest = F.col("_all") - F.col("n_words")
     micro = F.col("micro") - F.col("n_single") * F.rint(F.log(rest.cast("double")) * UNIT).cast("bigint")
