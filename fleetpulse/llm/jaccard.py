@@ -289,3 +289,18 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     best = F.min_by("_row", F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_row")))
     first = found.join(ids, F.col("_n") == F.col("_row")).groupBy("_c").agg(best.alias("_first")).select("_first")
     return rows.join(first, F.col("_row") == F.col("_first"), "left_semi").select(*docs.columns)
+
+
+SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+r(x, y) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y),
+m AS (SELECT x, min(y) AS least FROM r GROUP BY x)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(least, doc_id)::BIGINT AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.x = doc_id
+"""

@@ -38,9 +38,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"))
 
 
-@query("op4_jaccard_join")
+@query("op4_jaccard_join", jaccard.SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.joined(table(spark, sf_dir, "documents"))
+    return jaccard.joined(table(spark, sf_dir, "documents")).drop("set_key")
 
 
 @query("op5_cube_mix")
@@ -69,7 +69,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
-@query("op9_suffix_dedup")
+@query("op9_suffix_dedup", repeats.SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 

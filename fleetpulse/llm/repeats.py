@@ -410,3 +410,20 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cut = remove_repeats(docs, id_col, text_col, with_kept=True, keep=others, **options)
     columns_by_name = {c: F.col(f"_keep{k}") for k, c in enumerate(others)} | {text_col: F.col("kept")}
     return cut.select(*[columns_by_name[c].alias(c) for c in docs.columns])
+
+
+SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS s
+  FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS i FROM d WHERE length(h) >= 200)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM w) WHERE k > 1),
+g AS (SELECT doc_id, i, sum(CASE WHEN p IS NULL OR i > p + 100 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run
+  FROM (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM r)),
+s AS (SELECT doc_id, run, min(i) AS a, max(i) + 100 AS b FROM g GROUP BY doc_id, run),
+q AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS e FROM s),
+k AS (SELECT doc_id, string_agg(substr(h, 2 * e + 1, 2 * (a - e)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kh,
+  sum(b - a) AS removed, count(*) AS spans FROM q JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kh, h))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
