@@ -1,7 +1,8 @@
 """From raw documents to packed training sequences: filter, deduplicate, mix and pack.
 
 Every stage takes (spark, docs, sf_dir) and returns a frame; all but the last return the columns of
-``documents``. A stage's result is written and read again as the next one's ``docs``.
+``documents``. A stage's result is written and read again as the next one's ``docs``, so a stage begins by
+clearing what the operators before it kept in the scratch folder.
 """
 
 from __future__ import annotations
@@ -10,34 +11,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetpulse.llm import jaccard, mixing, packing, repeats, rules
-from fleetpulse.llm.common import stored, table
+from fleetpulse.llm.common import clear_scratch, table
+from fleetpulse.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the adaptive rules reject go."""
+    clear_scratch(spark)
     return rules.accepted(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by similar word shingles the first stays."""
+    clear_scratch(spark)
     return jaccard.one_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 100 bytes and more that an earlier document has too are cut out."""
+    clear_scratch(spark)
     cut = repeats.without_repeats(docs)
     return cut.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"])) if "n_chars" in docs.columns else cut
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
+    clear_scratch(spark)
     return mixing.mixed(docs)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sequences, each a piece of one document of a power-of-two length."""
+    clear_scratch(spark)
     import public_tokenizers
 
     pieces = packing.pack(docs, public_tokenizers.path(TOKENIZER))
@@ -63,7 +70,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = stored(docs, f"pipeline-{name}")
+            path = scratch_path(spark, f"pipeline-{name}")
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
     return docs
 
 

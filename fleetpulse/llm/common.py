@@ -17,6 +17,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_WRITTEN: list[str] = []
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what ``stored`` has written so far; frames that read it must have been written elsewhere."""
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to a fresh folder below the shared scratch folder and read it back.
 
@@ -24,6 +34,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     compresses; its files count as disk until the scratch folder is cleared.
     """
     path = scratch_path(df.sparkSession, f"llm-{name}")
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

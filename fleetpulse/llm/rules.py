@@ -154,7 +154,7 @@ def judge(
         F.struct(F.lit(1), *[F.col(c) for c in keep]).alias("_keep"),
     )
     measured = measures(own, "_text")
-    measured = stored(measured if keep else measured.drop("_text", "_keep"), "rules")
+    measured = stored(measured.drop("_text") if keep else measured.drop("_text", "_keep"), "rules")
     limits = group_fences(sketches(measured), reach, least_docs)
     joined = join_small(
         measured, limits, F.col("_lang").eqNullSafe(F.col("_glang")) & F.col("_source").eqNullSafe(F.col("_gsource")), "left", "fences"
