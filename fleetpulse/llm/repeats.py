@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetpulse.llm.common import stored, tasks
-from fleetpulse.llm.packed import columns, deal, mix, planes, slices, steps, text_bytes
+from fleetpulse.llm.packed import columns, deal, give_back, mix, planes, slices, steps, text_bytes
 from fleetpulse.llm.suffixes import common_prefixes, suffix_array
 
 ROWS = "part int, kind int, gram binary, content binary, doc binary, tie binary, block binary, low binary, span binary, bytes binary, number bigint"
@@ -43,7 +43,7 @@ RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_
 GRAM = 24
 PIECE = 1 << 20
 #: Contexts a task holds before it passes them on.
-HELD = 3_000_000
+HELD = 1_000_000
 #: Shards for each task that a shuffle has: a shard is held in memory at once.
 SHARDS = 3
 #: Text that one suffix array covers.
@@ -184,6 +184,8 @@ def _reduce_texts(length: int, parts: int):
             for part, at in slices(deal(merged["gram"], parts)):
                 own = {k: planes(merged[k][at].astype(t)) for k, t in KINDS.items()}
                 rows.append(_row(part, CONTEXTS, gram=steps(merged["gram"][at]), **own))
+            del merged
+            give_back()
             for k in range(0, len(rows), 256):
                 yield _batch(rows[k : k + 256])
 
@@ -230,6 +232,7 @@ def _meet(length: int, crowded: int):
                 for block, at in slices(own["block"]):
                     values = {k: planes(own[k][at]) for k in ("gram", "doc", "tie", "low", "span")}
                     rows.append(_row(block, kind, number=at.stop - at.start, **values))
+        give_back()
         return pa.Table.from_batches([_batch(rows)])
 
     return run
@@ -317,6 +320,7 @@ def _sort_shard(length: int):
                 order = np.lexsort((low, tie, doc, kind))
                 later = order[np.concatenate([[False], np.diff(kind[order]) == 0])]
                 rows = _ranges(doc[later], tie[later], block[later], low[later], low[later] + length)
+        give_back()
         return pa.Table.from_batches([_batch(rows)])
 
     return run

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetpulse.llm.common import tasks
-from fleetpulse.llm.packed import columns, deal, mix, planes, slices, steps
+from fleetpulse.llm.packed import columns, deal, give_back, mix, planes, slices, steps
 
 ROWS = "part bigint, kind int, task bigint, hash binary, text binary, doc binary, none binary, size binary, sum binary"
 NAMES = [c.split(" ")[0] for c in ROWS.split(", ")]
@@ -119,6 +119,8 @@ def _split(width: int, parts: int):
                     held, docs, count, step = [], [], 0, step + 1
         if docs:
             yield from _flush(held, docs, task + step, parts)
+        held, docs = [], []
+        give_back()
 
     return run
 
@@ -145,6 +147,7 @@ def _compare(table: pa.Table) -> pa.Table:
         hashes, texts, senders = hashes[order], texts[order], senders[order]
         for task, at in slices(senders):
             rows.append({"part": task, "kind": SHARED, "task": task, "hash": steps(hashes[at]), "text": planes(texts[at])})
+    give_back()
     return pa.Table.from_batches([_rows(rows)])
 
 
@@ -159,6 +162,7 @@ def _collect(percent: int):
         counts = np.bincount(texts, minlength=len(own["doc"])).astype(np.int64)
         ends = np.cumsum(counts)
         partner = (100 * counts >= percent * own["size"]) & (own["size"] > 0)
+        give_back()
         keys = mix(own["sum"] ^ mix(own["size"].astype(np.uint64))).view(np.int64)
         tokens = [hashes[b - c : b].tobytes() if p else None for b, c, p in zip(ends.tolist(), counts.tolist(), partner.tolist())]
         return pa.table(
