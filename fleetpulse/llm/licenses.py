@@ -1,7 +1,9 @@
 """License scans: an exact set-similarity join with license templates, in DataFrame functions only.
 
-Two things are found. Base phrases are counted word by word. Beyond them, every block of a text (a
-line) whose words contain at least ``threshold`` of a template's words gets the template's label:
+Two things are found. Base phrases are counted word by word. Beyond them, every block of a text whose
+words contain at least ``threshold`` of a template's words gets the template's label. A block is a line, or,
+so that notices wrapped over lines are found too, a window of words over line breaks that is a quarter and a
+word longer than the template:
 
 * the templates' words are ordered by how many documents hold them, over the whole table, rarest first;
 * a block that reaches the threshold shares one of the first words (the prefix) of the template, so only
@@ -9,6 +11,11 @@ line) whose words contain at least ``threshold`` of a template's words gets the
 * a pair needs enough words of the vocabulary in the block (length), and enough words after the first
   common one on both sides (position); what remains is verified.
 
+Windows are cut from spans of twice the widest window that overlap by half, so each lies in one span and a
+text of several lines is held twice at most; a span passes the same filters before its windows are looked at.
+A window inside one line adds nothing to its line, so texts of one line have no spans. The SQL knows lines
+only: it gives the same rows unless a notice is wrapped.
+
 Templates are parameters, so their tables are small whatever the size of the corpus. Texts are read
 twice, once to count words and once to match, and never shuffled.
 """
@@ -88,6 +95,23 @@ def template_index(docs: DataFrame, text_col: str, templates: dict[str, str], th
     return index.select("label", "words", size.alias("size"), need.alias("need"), F.slice("words", F.lit(1), size - need + 1).alias("prefix"))
 
 
+def window_width(sentence: str) -> int:
+    """Words of a window for a template: a quarter and one more than it has, for comment marks between its lines."""
+    n = len(sentence.split(" "))
+    return n + n // 4 + 1
+
+
+def _spans(text: Column, width: int, wanted: Column) -> Column:
+    """Spans of 2 * ``width`` words at every ``width``-th word that hold a wanted word, joined by spaces."""
+
+    def cut(words: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(words) - width, F.lit(1)), F.lit(width))
+        held = F.filter(F.transform(starts, lambda s: F.slice(words, s, F.lit(2 * width))), lambda span: F.arrays_overlap(span, wanted))
+        return F.transform(held, lambda span: F.array_join(span, " "))
+
+    return let(_words(text), cut)
+
+
 def scan(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None, threshold: float = 0.9
 ) -> DataFrame:
@@ -99,16 +123,20 @@ def scan(
     columns are ignored.
     """
     spark = docs.sparkSession
-    index = stored(template_index(docs, text_col, templates or TEMPLATES, threshold), "templates")
+    templates = templates or TEMPLATES
+    index = stored(template_index(docs, text_col, templates, threshold), "templates")
     # bounded by the templates, which are parameters
     chosen = index.select("label", "words", "size", "need", "prefix").collect()
     prefixes = sorted({w for r in chosen for w in r["prefix"]})
-    order = spark.createDataFrame([(r["label"], w, k, r["size"], r["need"], r["words"]) for r in chosen for k, w in enumerate(r["prefix"])],
-                                  "label string, word string, at int, size int, need int, words array<string>")
+    widths = {label: window_width(sentence) for label, sentence in templates.items()}
+    order = spark.createDataFrame([(r["label"], w, k, r["size"], r["need"], widths[r["label"]], r["words"]) for r in chosen for k, w in enumerate(r["prefix"])],
+                                  "label string, word string, at int, size int, need int, width int, words array<string>")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     lowered = F.lower(text)
     wanted = F.array(*[F.lit(w) for w in prefixes])
-    blocks = F.filter(F.split(lowered, "\n"), lambda line: F.arrays_overlap(F.split(line, GAPS), wanted))
+    lines = F.filter(F.split(lowered, "\n"), lambda line: F.arrays_overlap(F.split(line, GAPS), wanted))
+    wrapped = F.contains(lowered, F.lit("\n")) & F.arrays_overlap(F.split(lowered, GAPS), wanted)
+    spans = F.when(wrapped, _spans(lowered, max(widths.values()), wanted)).otherwise(F.array().cast("array<string>"))
     none = F.array().cast("array<struct<at: bigint, label: string>>")
     base = F.when(F.contains(lowered, F.lit("license")), _places(lowered)).otherwise(none)
     own = stored(
@@ -117,21 +145,27 @@ def scan(
             F.xxhash64(text).alias("_mark"),
             F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("n_words"),
             base.alias("_base"),
-            blocks.alias("_blocks"),
+            lines.alias("_lines"),
+            spans.alias("_spans"),
         ),
         "licenses",
     )
-    lines = own.select("doc_id", "_mark", F.posexplode("_blocks").alias("_k", "_line")).distinct()
-    sets = lines.select("doc_id", "_mark", "_k", F.array_distinct(_words(F.col("_line"))).alias("_set"))
+    marked = lambda blocks, whole: F.transform(blocks, lambda x: F.struct(x.alias("text"), F.lit(whole).alias("whole")))
+    blocks = own.select("doc_id", "_mark", F.posexplode(F.concat(marked("_lines", True), marked("_spans", False))).alias("_k", "_block")).distinct()
+    listed = blocks.select("doc_id", "_mark", "_k", "_block.whole", _words(F.col("_block.text")).alias("_in"))
+    sets = listed.withColumn("_set", F.array_distinct("_in"))
     pieces = sets.select("*", F.explode("_set").alias("_word"))
     met = pieces.join(F.broadcast(order), F.col("_word") == F.col("word"))
     # the first common word in the template's order decides the pair; position: the rest must suffice
     possible = met.filter((F.size("_set") >= F.col("need")) & (F.col("size") - F.col("at") >= F.col("need")))
-    pairs = possible.groupBy("doc_id", "_mark", "_k", "label").agg(
-        F.first("_set").alias("_set"), F.first("words").alias("words"), F.first("size").alias("size"), F.first("need").alias("need"), F.min("at").alias("at")
-    )
-    common = F.size(F.array_intersect("_set", F.slice("words", F.col("at") + 1, F.col("size"))))
-    verified = pairs.select("doc_id", "_mark", "label", "size", "need", common.alias("common")).filter("common >= need")
+    kept = ("whole", "_in", "_set", "words", "size", "need", "width")
+    pairs = possible.groupBy("doc_id", "_mark", "_k", "label").agg(*[F.first(c).alias(c) for c in kept], F.min("at").alias("at"))
+    rest = F.slice("words", F.col("at") + 1, F.col("size"))
+    enough = pairs.select("*", rest.alias("_rest"), F.size(F.array_intersect("_set", rest)).alias("held")).filter("held >= need")
+    starts = F.sequence(F.lit(1), F.greatest(F.size("_in") - F.col("width") + 1, F.lit(1)))
+    window = F.array_max(F.transform(starts, lambda s: F.size(F.array_intersect(F.slice("_in", s, F.col("width")), F.col("_rest")))))
+    common = F.when(F.col("whole"), F.col("held")).otherwise(window)
+    verified = enough.select("doc_id", "_mark", "label", "size", "need", common.alias("common")).filter("common >= need")
     labelled = verified.groupBy(F.col("doc_id").alias("_doc"), F.col("_mark").alias("_m")).agg(
         F.collect_set("label").alias("_labels"), F.max(F.col("common") / F.col("size")).alias("_score")
     )

@@ -84,6 +84,31 @@ def test_licenses_equal_sql(spark):
     assert licenses.scan(empty(spark)).count() == 0
 
 
+def test_licenses_wrapped_over_lines(spark):
+    mit = """Copyright (c) 2020 Someone\n\nPermission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal\nin the Software without restriction"""
+    bsd = """# Redistribution and use in source and binary forms, with or without
+# modification, are permitted provided that the following conditions
+# are met:"""
+    isc = """ * Permission to use, copy, modify, and/or distribute this software for any\r
+ * purpose with or without fee is hereby granted, provided that"""
+    gpl = """dnl you can redistribute it and/or modify\ndnl it under the terms of the GNU General Public License as published by
+dnl the Free Software Foundation"""
+    apache = """you may not use this file except in compliance with the License.\n    You may obtain a copy of the License at\n"""
+    filler = " ".join(f"w{i}" for i in range(997))
+    words = licenses.TEMPLATES["bsd"].split(" ")
+    apart = "\n".join(f"{w} {' '.join(f'x{i}' for i in range(9))}" for w in words)
+    rows = [(1, mit), (2, bsd), (3, isc), (4, gpl), (5, apache), (7, apart), (8, "\n".join(words)), (9, "\n".join(words[:14])), (10, "\n\n")]
+    rows += [(100 + k, f"{filler[: k * 9]}\n{filler}\n{bsd}\n{filler}") for k in range(0, 60, 7)]  # wherever a span begins
+    docs = spark.createDataFrame([(i, t) for i, t in rows], "doc_id bigint, text string")
+    found = {r["doc_id"]: r for r in licenses.scan(docs).collect()}
+    assert len(found) == len(rows)
+    got = {i: r["labels"] for i, r in found.items() if i < 100}
+    assert got == {1: "mit-terms", 2: "bsd", 3: "isc", 4: "gpl,gpl-terms", 5: "apache-2.0-terms", 7: "", 8: "bsd", 9: "", 10: ""}
+    assert found[1]["score"] == 1 and found[2]["score"] == 1 and found[7]["score"] == 0
+    assert all(r["labels"] == "bsd" for i, r in found.items() if i >= 100)
+
+
 def test_quality_learns_from_positives_only(spark):
     draw = np.random.default_rng(0)
     words = ["".join(draw.choice(list("abcdefghij"), draw.integers(2, 9))) for _ in range(500)]
