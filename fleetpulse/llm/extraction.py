@@ -1,9 +1,9 @@
 """HTML extraction by consensus host paths.
 
 Each page scores its containers by the text they hold outside links, leaving out menus, notices,
-adverts and the like, and votes for the path of the best one. Paths are general: tags and classes,
-digits left out. Spark counts the votes per host; every page is then extracted again with its host's
-winning path. A page without such a container uses its own best one.
+adverts and the like, and votes for the path of the one that holds the whole article. Paths are general:
+tags and classes, digits left out. Spark counts the votes per host; every page is then extracted again with
+its host's winning path. A page without such a container, or without text in it, uses its own best one.
 
 Votes are counted before they are shuffled, so a host of any size sends one row per path and task.
 """
@@ -34,7 +34,7 @@ def _texts(batches):
         for source, path in zip(batch.column("html"), batch.column("path")):
             page = Page(source.as_py() or "")
             text = page.text(path.as_py()) if path.is_valid else None
-            texts.append(page.text(page.best()[0]) if text is None else text)
+            texts.append(text or page.text(page.best()[0]))
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
 

@@ -79,7 +79,7 @@ def general_step(tag: str, attrs: dict[str, str]) -> str:
 
 
 class Page:
-    """``blocks``: (container, text, characters inside links); ``paths`` and ``parents`` by container.
+    """``blocks``: (container, text, characters inside links); ``paths``, ``parents`` and ``tags`` by container.
 
     Markup errors are forgiven: a close tag without its element is skipped, an open element ends
     with the one around it, and a block's start tag ends an open paragraph.
@@ -88,6 +88,7 @@ class Page:
     def __init__(self, source: str):
         self.paths: list[str] = [""]
         self.parents: list[int] = [-1]
+        self.tags: list[str] = [""]
         self.blocks: list[tuple[int, str, int]] = []
         self._parts: list[str] = []
         self._linked = 0
@@ -149,6 +150,7 @@ class Page:
         if tag in CONTAINERS and not out:
             self.paths.append(f"{self.paths[container]}/{general_step(tag, attrs)}")
             self.parents.append(container)
+            self.tags.append(tag)
             container = len(self.paths) - 1
         self._stack.append((tag, out, linked or tag == "a", container))
         if rest.endswith("/") and tag in ("svg", "math", "path", "use"):
@@ -165,17 +167,25 @@ class Page:
                 pass
 
     def best(self, share: float = 0.8) -> tuple[str, int]:
-        """The path of the deepest container that holds ``share`` of all text outside links, and its
-        characters of text; the empty path is the whole page."""
+        """The path of the container that holds the article, and its characters of text; the empty path is
+        the whole page.
+
+        That is the innermost article or main that holds ``share`` of all text outside links, but none that
+        leaves such text of another one outside. Without one it is the deepest container outside of which no
+        text but links is left, so headings and leads stay with the body they stand beside.
+        """
         held = [0] * len(self.paths)
         for container, text, linked in self.blocks:
             held[container] += max(0, len(text) - 2 * linked)
         for k in range(len(held) - 1, 0, -1):
             held[self.parents[k]] += held[k]
-        least, k = share * held[0], 0
+        marked, k = -1, 0
         for j in range(1, len(held)):  # children follow their parents
-            if self.parents[j] == k and held[j] >= least and held[j]:
+            if self.tags[j] in ("article", "main") and held[j] and held[j] >= (share * held[0] if marked < 0 else held[marked]):
+                marked = j
+            if self.parents[j] == k and held[j] == held[k] and held[j]:
                 k = j
+        k = marked if marked >= 0 else k
         return self.paths[k], held[k]
 
     def text(self, path: str) -> str | None:

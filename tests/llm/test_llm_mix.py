@@ -109,6 +109,22 @@ text</b> here&nbsp;now.<p>Second &lt;tag&gt; <a href=x>link</a><br>after</div></
 <footer>&copy; footer</footer></body></html>"""
 
 
+def test_pages_keep_the_whole_article(spark):
+    parts = '<h1>Title</h1><p>Lead of the text.</p><div class="body"><p>%s</p></div>' % ("long text " * 40)
+    whole = "Title\n\nLead of the text.\n\n" + ("long text " * 40).strip()
+    nav = '<nav>menu</nav><div class="ad">buy</div>'
+    rows = [
+        (1, "http://a.example/1", f"<html><body>{nav}<article>{parts}</article></body></html>"),
+        (2, "http://b.example/1", f'<html><body>{nav}<div class="post">{parts}</div><div><a href="/">home page</a></div></body></html>'),
+        (3, "http://c.example/1", f'<html><body><div class="name">The site</div><main><article>{parts}</article></main></body></html>'),
+        (4, "http://d.example/1", f"<html><body><main><h1>Title</h1><article>{parts[14:]}</article></main></body></html>"),
+        *[(k, "http://e.example/1", f'<html><body><div class="post">{parts}</div></body></html>') for k in (5, 6)],
+        (7, "http://e.example/2", f'<html><body><div class="post"><img src="a.png"></div><div class="story">{parts}</div></body></html>'),
+    ]
+    found = dict(texts(extraction.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")), "page_id", "text"))
+    assert found == {k: whole for k in range(1, 8)}
+
+
 def test_pages_follow_their_host(spark):
     short = '<html><body class="page-3"><div class="col-9"><div class="post-body"><p>Hi.</p></div></div><div class="x">Unmarked text that is longer than the article is</div></body></html>'
     rows = [(i, "http://user@H.example:80/p?x", PAGE % (i, i)) for i in range(5)]
