@@ -20,7 +20,7 @@ TOKENIZER = "word_bpe_49k.json"
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the adaptive rules reject go."""
     clear_scratch(spark)
-    return rules.accepted(docs)
+    return rules.accepted(docs, guarded=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

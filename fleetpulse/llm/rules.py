@@ -97,8 +97,13 @@ def sketches(measured: DataFrame) -> DataFrame:
     return measured.select("_lang", "_source", stacked.alias("_m")).groupBy("_lang", "_source", "_m.metric", "_m.bucket").agg(F.count("*").alias("n"))
 
 
-def fences(sketch: DataFrame, keys: tuple[str, ...], reach: float) -> DataFrame:
-    """Merge the sketches of groups that agree on ``keys``; the fences of each metric, and documents."""
+def fences(sketch: DataFrame, keys: tuple[str, ...], reach: float, guarded: bool = False) -> DataFrame:
+    """Merge the sketches of groups that agree on ``keys``; the fences of each metric, and documents.
+
+    Guarded fences take no upper end from the third quartile, which is junk itself when over a quarter of
+    a group is: it is at most as far above the median as twice the way from the first quartile to the
+    median reaches, which junk does not move unless it is half of the group.
+    """
     merged = sketch.groupBy(*keys, "metric", "bucket").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*keys, "metric")
     running = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
@@ -107,19 +112,22 @@ def fences(sketch: DataFrame, keys: tuple[str, ...], reach: float) -> DataFrame:
     def quartile(k: int) -> Column:
         return bucket_value(F.min(F.when(F.col("_below") * 4 >= F.col("_all") * k, F.col("bucket"))))
 
-    found = ranked.groupBy(*keys, "metric").agg(quartile(1).alias("q1"), quartile(3).alias("q3"), F.max("_all").alias("docs"))
+    found = ranked.groupBy(*keys, "metric").agg(quartile(1).alias("q1"), quartile(2).alias("q2"), quartile(3).alias("q3"), F.max("_all").alias("docs"))
     slack = F.create_map(*[F.lit(x) for m, (_, s) in METRICS.items() for x in (m, float(s))])
     spread = F.greatest((F.col("q3") - F.col("q1")) * reach, slack[F.col("metric")])
+    high = F.col("q3") + spread
+    if guarded:
+        high = F.least(high, F.col("q2") + F.greatest((F.col("q2") - F.col("q1")) * 2 * reach, slack[F.col("metric")]))
     one = lambda m, v: F.max(F.when(F.col("metric") == m, v))
     return found.groupBy(*keys).agg(
         F.max("docs").alias("docs"),
-        F.struct(*[F.struct(one(m, F.col("q1") - spread).alias("low"), one(m, F.col("q3") + spread).alias("high")).alias(m) for m in METRICS]).alias("fence"),
+        F.struct(*[F.struct(one(m, F.col("q1") - spread).alias("low"), one(m, high).alias("high")).alias(m) for m in METRICS]).alias("fence"),
     )
 
 
-def group_fences(sketch: DataFrame, reach: float, least_docs: int) -> DataFrame:
+def group_fences(sketch: DataFrame, reach: float, least_docs: int, guarded: bool = False) -> DataFrame:
     """One row per (language, source): its own fences if it has ``least_docs`` documents, else its language's, else all."""
-    own, lang, every = (fences(sketch, keys, reach) for keys in (("_lang", "_source"), ("_lang",), ()))
+    own, lang, every = (fences(sketch, keys, reach, guarded) for keys in (("_lang", "_source"), ("_lang",), ()))
     lang = lang.select(F.col("_lang").alias("_l"), F.col("docs").alias("_ld"), F.col("fence").alias("_lf"))
     every = every.select(F.col("fence").alias("_ef"))
     joined = own.join(lang, F.col("_lang").eqNullSafe(F.col("_l")), "left").join(F.broadcast(every), F.lit(True), "left")  # one row
@@ -138,13 +146,15 @@ def judge(
     least_docs: int = 50,
     least_words: int = 10,
     most_repeats: int = 20,
+    guarded: bool = False,
 ) -> DataFrame:
     """Measures and verdict of every row: (doc_id, ``keep`` columns, measures, base_failed, kept).
 
     A text fails the base rules with fewer than ``least_words`` words or more than ``most_repeats``
     percent of its words in repeated windows; it is kept if it passes them and every metric is within its
     group's fences. Null languages and sources are groups of their own. Null and empty texts fail.
-    Repeated rows are judged each and count each; an empty table gives no row.
+    Repeated rows are judged each and count each; an empty table gives no row. ``guarded`` fences hold
+    when up to half of a group is junk; the SQL has those that are not guarded.
     """
     own = docs.select(
         F.col(id_col).alias("doc_id"),
@@ -155,7 +165,7 @@ def judge(
     )
     measured = measures(own, "_text")
     measured = stored(measured.drop("_text") if keep else measured.drop("_text", "_keep"), "rules")
-    limits = group_fences(sketches(measured), reach, least_docs)
+    limits = group_fences(sketches(measured), reach, least_docs, guarded)
     joined = join_small(
         measured, limits, F.col("_lang").eqNullSafe(F.col("_glang")) & F.col("_source").eqNullSafe(F.col("_gsource")), "left", "fences"
     )

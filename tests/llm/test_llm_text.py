@@ -3,6 +3,7 @@
 import math
 import zlib
 
+import corpus_pipeline
 import duckdb
 import numpy as np
 import pytest
@@ -54,6 +55,17 @@ def test_rules_equal_sql(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_guarded_rules_stand_a_dirty_source(spark):
+    good = [(i, " ".join(f"word{i}x{k}" for k in range(30)), "en", "s") for i in range(120)]
+    junk = [(1000 + i, " ".join(f"word{i}y{k}##" for k in range(30)), "en", "s") for i in range(80)]
+    docs = spark.createDataFrame(good + junk, "doc_id bigint, text string, lang string, source string")
+    kept = {i for (i,) in texts(corpus_pipeline.quality_rules(spark, docs, ""), "doc_id")}
+    assert kept == set(range(120))
+    # a source that is of this kind as a whole keeps its texts
+    own = spark.createDataFrame([(i, t, la, "code") for i, t, la, _ in junk], docs.schema)
+    assert corpus_pipeline.quality_rules(spark, own, "").count() == 80
+
+
 def test_repeated_words(spark):
     rows = [("a b c d e a b c d e",), ("a b c d e f a b c d e",), ("a a a a a a",), ("a b c d",), ("x a b c d e y a b c d e",)]
     df = spark.createDataFrame(rows, "text string")
