@@ -27,15 +27,16 @@ def clear_scratch(spark: SparkSession) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write a frame to a fresh folder below the shared scratch folder and read it back.
 
     Cuts the lineage like ``checkpoint()``, survives lost executors, keeps column statistics and
-    compresses; its files count as disk until the scratch folder is cleared.
+    compresses; its files count as disk until the scratch folder is cleared. ``by`` names a column of
+    few values to make folders of.
     """
     path = scratch_path(df.sparkSession, f"llm-{name}")
     _WRITTEN.append(path)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

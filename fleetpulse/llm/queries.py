@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import backoff, extraction, jaccard, licenses, mixing, neighbours, packing, quality, repeats, rules
+from fleetpulse.llm import backoff, extraction, jaccard, licenses, mixing, neighbours, packing, quality, repeats, rules, spelling
 from fleetpulse.llm.common import table
 
 QUERIES = {}
@@ -77,3 +77,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_collision_neighbours")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_spelling_variants", spelling.SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(table(spark, sf_dir, "documents"))
