@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import backoff, extraction, jaccard, licenses, merkle, mixing, neighbours, packing, quality, repeats, rules, spelling
+from fleetpulse.llm import backoff, extraction, jaccard, licenses, merkle, mixing, neighbours, packing, quality, repeats, rules, sketching, spelling
 from fleetpulse.llm.common import table
 
 QUERIES = {}
@@ -79,6 +79,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"))
 
 
+@query("op11_fast_sketches", sketching.SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketching.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op12_merkle_manifest", merkle.SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
