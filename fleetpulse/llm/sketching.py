@@ -131,12 +131,17 @@ def candidates(signed: DataFrame) -> DataFrame:
     return met.select("group", "node").distinct()
 
 
-def linked(sets: DataFrame, percent: int) -> DataFrame:
-    """(node, component) of every class of sets that is linked with a different one; sets: (at, n_shingles, bands, tokens)."""
-    signed = sets.select(F.col("at").alias("node"), F.explode("bands").alias("bucket"))
-    members = stored(candidates(signed), "members")
+def linked(sets: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of every class of sets that is linked with a different one.
+
+    sets: (at, n_shingles, bands, tokens), firsts: the ``at`` of one set of each class. Bands travel without
+    tokens, and tokens of candidates only.
+    """
+    own = sets.select(F.col("at").alias("node"), "bands").join(firsts, F.col("node") == F.col("_first"), "left_semi")
+    members = stored(candidates(own.select("node", F.explode("bands").alias("bucket"))), "members")
     asked = members.select(F.col("node").alias("_node")).distinct()
-    packed = sets.join(asked, F.col("at") == F.col("_node"), "left_semi").select(F.col("at").alias("node"), F.col("n_shingles").alias("size"), "tokens")
+    full = sets.select(F.col("at").alias("node"), F.col("n_shingles").alias("size"), "tokens")
+    packed = join_small(full, asked, F.col("node") == F.col("_node"), "left_semi", "asked")
     nodes = stored(packed.mapInArrow(_tokens, "node bigint, size bigint, tokens binary").withColumn("held", F.col("size")), "nodes")
     hubs = members.groupBy("group").agg(F.min_by("node", F.xxhash64("node")).alias("hub"))
     counted = members.join(hubs, "group").filter("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("_n"))
@@ -163,9 +168,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     key = ("key_high", "key_low", "n_shingles")
     classes = sets.filter("n_shingles > 0").groupBy(*key).agg(F.min("at").alias("node"))
     classes = stored(classes.select(*[F.col(k).alias(f"_{k}") for k in key], "node"), "classes")
-    first = classes.select(F.col("node").alias("_node"))
-    own = stored(sets.join(first, F.col("at") == F.col("_node"), "left_semi").select("at", "n_shingles", "bands", "tokens"), "firsts")
-    found = linked(own, percent).select(F.col("node").alias("_at"), "component")
+    found = linked(sets, classes.select(F.col("node").alias("_first")), percent).select(F.col("node").alias("_at"), "component")
     grouped = classes.join(found, F.col("node") == F.col("_at"), "left").select(*[f"_{k}" for k in key], F.coalesce("component", "node").alias("class"))
     some = sets.filter("n_shingles > 0").select("doc_id", *key)
     same = (F.col("key_high") == F.col("_key_high")) & (F.col("key_low") == F.col("_key_low")) & (F.col("n_shingles") == F.col("__n_shingles"))
