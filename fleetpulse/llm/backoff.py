@@ -230,8 +230,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
 
 SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
-p AS (SELECT rid, i, ws[i] AS g1, CASE WHEN i > 1 THEN ws[i - 1] || ' ' || ws[i] END AS g2,
-  CASE WHEN i > 2 THEN ws[i - 2] || ' ' || ws[i - 1] || ' ' || ws[i] END AS g3 FROM (SELECT rid, ws, unnest(range(1, len(ws) + 1)) AS i FROM d)),
+u AS (SELECT rid, unnest(ws) AS g1, generate_subscripts(ws, 1) AS i FROM d),
+p AS (SELECT rid, i, g1, lag(g1) OVER k || ' ' || g1 AS g2, lag(g1, 2) OVER k || ' ' || lag(g1) OVER k || ' ' || g1 AS g3
+  FROM u WINDOW k AS (PARTITION BY rid ORDER BY i)),
 c AS (SELECT rid, i,
   count(*) OVER (PARTITION BY g1) - count(*) OVER (PARTITION BY rid, g1) AS c1,
   CASE WHEN i > 1 THEN count(*) OVER (PARTITION BY g2) - count(*) OVER (PARTITION BY rid, g2) ELSE 0 END AS c2,

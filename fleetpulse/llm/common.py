@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,25 +19,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-_WRITTEN: list[str] = []
+class Scratch:
+    """The folders that ``stored`` writes while this scope is the innermost open one.
+
+    ``clear`` deletes them, once the frames built inside have been written elsewhere; what other scopes or
+    none have stored is left alone::
+
+        with Scratch(spark) as scratch:
+            backoff.score(docs).write.parquet(path)
+        scratch.clear()
+    """
+
+    _open: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._paths, self._outer = spark, [], []
+
+    def __enter__(self) -> Scratch:
+        self._outer.append(Scratch._open.set(self))
+        return self
+
+    def __exit__(self, *_) -> None:
+        Scratch._open.reset(self._outer.pop())
 
+    @classmethod
+    def note(cls, path: str) -> None:
+        if (scope := cls._open.get()) is not None:
+            scope._paths.append(path)
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Delete what ``stored`` has written so far; frames that read it must have been written elsewhere."""
-    while _WRITTEN:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    def clear(self) -> None:
+        while self._paths:
+            path = self._spark._jvm.org.apache.hadoop.fs.Path(self._paths.pop())
+            path.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write a frame to a fresh folder below the shared scratch folder and read it back.
 
     Cuts the lineage like ``checkpoint()``, survives lost executors, keeps column statistics and
-    compresses; its files count as disk until the scratch folder is cleared. ``by`` names a column of
+    compresses; its files count as disk until an open ``Scratch`` is cleared. ``by`` names a column of
     few values to make folders of.
     """
     path = scratch_path(df.sparkSession, f"llm-{name}")
-    _WRITTEN.append(path)
+    Scratch.note(path)
     (df.write.partitionBy(by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -281,21 +281,25 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents with one of every component, the one with the smallest id; texts without words all stay.
 
-    ``docs`` is a table read from files: its rows are numbered as they are read.
+    ``docs`` is a table read from files: its rows are numbered as they are read. Its columns travel as one
+    struct, so none of their names can clash. Null ids come last, repeated rows are one component, and an
+    empty table gives no row.
     """
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
-    found = joined(rows.select("_row", text_col), "_row", text_col, **options).select(F.col("doc_id").alias("_n"), F.col("component_id").alias("_c"))
-    ids = rows.select("_row", F.col(id_col).alias("_id"))
-    best = F.min_by("_row", F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_row")))
-    first = found.join(ids, F.col("_n") == F.col("_row")).groupBy("_c").agg(best.alias("_first")).select("_first")
-    return rows.join(first, F.col("_row") == F.col("_first"), "left_semi").select(*docs.columns)
+    packed = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"), packed)
+    found = joined(rows.select("row", "text"), "row", "text", **options).select(F.col("doc_id").alias("n"), F.col("component_id").alias("c"))
+    best = F.min_by("row", F.struct(F.col("id").isNull(), F.col("id"), F.col("row")))
+    first = found.join(rows.select("row", "id"), F.col("n") == F.col("row")).groupBy("c").agg(best.alias("first")).select("first")
+    return rows.join(first, F.col("row") == F.col("first"), "left_semi").select("doc.*")
 
 
 SQL = r"""
 WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(
   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
-s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g
-  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)),
+u AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i, len(ws) AS n FROM w),
+s AS (SELECT DISTINCT doc_id, g FROM (
+  SELECT doc_id, i, n, concat_ws(' ', w, lead(w, 1) OVER k, lead(w, 2) OVER k, lead(w, 3) OVER k, lead(w, 4) OVER k) AS g
+  FROM u WINDOW k AS (PARTITION BY doc_id ORDER BY i)) WHERE i < greatest(n - 3, 2)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
 l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),

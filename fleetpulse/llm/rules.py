@@ -186,8 +186,10 @@ SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
   list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
-g AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, array_to_string(ws[i:i + 4], ' ')) AS c
-  FROM (SELECT rid, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)),
+u AS (SELECT rid, unnest(ws) AS x, generate_subscripts(ws, 1) AS i FROM w),
+h AS (SELECT rid, i, x || ' ' || lead(x, 1) OVER k || ' ' || lead(x, 2) OVER k || ' ' || lead(x, 3) OVER k || ' ' || lead(x, 4) OVER k AS five
+  FROM u WINDOW k AS (PARTITION BY rid ORDER BY i)),
+g AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, five) AS c FROM h WHERE five IS NOT NULL),
 r AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + 5)) AS p FROM g WHERE c > 1) GROUP BY rid),
 m AS (SELECT rid, doc_id, lang, source, len(ws)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
   length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,

@@ -107,38 +107,36 @@ def _walked(words: DataFrame) -> DataFrame:
 
 
 def _deletions(batches):
-    """(word, kind, place, hash) of long words: the whole, and what is left without each code point.
+    """(id, size, place, hash) of long words: the whole (place -1), and what is left without each code point.
 
     Hashes are polynomials, so that all deletions of a word take time in proportion to it; equal hashes
     are only candidates.
     """
     base = 0x9E3779B97F4A7C15
+    inverse = np.uint64(pow(base, -1, 1 << 64))
     for batch in batches:
-        for word in batch.column(0).to_pylist():
+        for key, word in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             codes = mix(np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.uint64))
             powers = np.cumprod(np.full(len(codes), base, np.uint64), dtype=np.uint64)
-            inverse = np.uint64(pow(base, -1, 1 << 64))
             sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * powers, dtype=np.uint64)])
             left = sums[:-1] + (sums[-1] - sums[1:]) * inverse
-            places = np.arange(-1, len(codes))
-            hashes = np.concatenate([sums[-1:], left]).view(np.int64)
-            for k in range(0, len(places), 10_000):
-                part = slice(k, k + 10_000)
-                names = pa.array([word] * len(places[part]))
-                yield pa.RecordBatch.from_arrays([names, pa.array(places[part]), pa.array(hashes[part])], ["word", "place", "hash"])
+            hashes, places = np.concatenate([sums[-1:], left]).view(np.int64), np.arange(-1, len(codes))
+            same = np.full((2, len(places)), [[key], [len(codes)]])
+            yield pa.RecordBatch.from_arrays([pa.array(same[0]), pa.array(same[1]), pa.array(places), pa.array(hashes)], ["id", "size", "place", "hash"])
 
 
 def _long_pairs(words: DataFrame) -> DataFrame:
     """(a, b): pairs one edit apart of which one word at least is longer than ``LONG``."""
-    size = F.char_length("word")
-    left = words.select("word").filter(size >= LONG).mapInArrow(_deletions, "word string, place bigint, hash bigint")
-    left = stored(left.withColumn("size", F.char_length("word")).withColumn("id", F.xxhash64("word")), "deletions")
-    one = left.select(F.col("word").alias("a"), "hash", F.col("size").alias("_m"), F.col("place").alias("_p"))
-    two = left.select(F.col("word").alias("b"), F.col("hash").alias("_hash"), F.col("size").alias("_n"), F.col("place").alias("_q"))
-    replaced = (F.col("_m") == F.col("_n")) & (F.col("_p") == F.col("_q")) & (F.col("_p") >= 0) & (F.col("a") < F.col("b"))
+    long = words.filter(F.char_length("word") >= LONG).select(F.monotonically_increasing_id().alias("id"), "word")
+    long = stored(long, "long")
+    left = stored(long.mapInArrow(_deletions, "id bigint, size bigint, place bigint, hash bigint"), "deletions")
+    one = left.select(F.col("id").alias("_x"), "hash", F.col("size").alias("_m"), F.col("place").alias("_p"))
+    two = left.select(F.col("id").alias("_y"), F.col("hash").alias("_hash"), F.col("size").alias("_n"), F.col("place").alias("_q"))
+    replaced = (F.col("_m") == F.col("_n")) & (F.col("_p") == F.col("_q")) & (F.col("_p") >= 0) & (F.col("_x") < F.col("_y"))
     inserted = (F.col("_m") + 1 == F.col("_n")) & (F.col("_p") < 0) & (F.col("_q") >= 0)
-    met = one.join(two, (F.col("hash") == F.col("_hash")) & (replaced | inserted)).filter(F.col("_n") > LONG)
-    return met.select("a", "b").distinct().filter(F.levenshtein("a", "b", 1) == 1)
+    met = one.join(two, (F.col("hash") == F.col("_hash")) & (replaced | inserted)).filter(F.col("_n") > LONG).select("_x", "_y").distinct()
+    named = met.join(long.select(F.col("id").alias("_x"), F.col("word").alias("a")), "_x").join(long.select(F.col("id").alias("_y"), F.col("word").alias("b")), "_y")
+    return named.select("a", "b").filter(F.levenshtein("a", "b", 1) == 1)
 
 
 def near_pairs(words: DataFrame) -> DataFrame:

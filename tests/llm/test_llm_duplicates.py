@@ -23,8 +23,8 @@ def shingle_set(text, width=5):
     return frozenset([tuple(words)] if len(words) < width else [tuple(words[k : k + width]) for k in range(len(words) - width + 1)])
 
 
-def similar_groups(rows, percent=75):
-    sets = [shingle_set(t) for _, t in rows]
+def similar_groups(rows, percent=75, width=5):
+    sets = [shingle_set(t, width) for _, t in rows]
     group = list(range(len(rows)))
 
     def top(x):
@@ -212,7 +212,7 @@ def test_neighbours_ties_and_few(spark):
 
 
 def test_pipeline_stages(spark, tmp_path):
-    docs = documents(spark, n=150).select("doc_id", "text", "lang", "source", "n_chars")
+    docs = documents(spark, n=150).withColumn("_first", F.lit(7)).withColumn("_row", F.col("doc_id") + 7000)
     docs.coalesce(2).write.parquet(str(tmp_path / "documents.parquet"))
     docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
     steps = dict(corpus_pipeline.STAGES)
@@ -229,6 +229,8 @@ def test_pipeline_stages(spark, tmp_path):
     second = stage("near_duplicates", first)
     groups = similar_groups(texts(first, "doc_id", "text"))
     assert sorted(r["doc_id"] for r in second.collect() if r["doc_id"] is not None) == sorted({g for _, n, g in groups if n and g is not None} | {d for d, n, _ in groups if not n and d is not None})
+    assert second.columns == docs.columns
+    assert second.filter("NOT (_row <=> doc_id + 7000) OR _first <> 7").count() == 0
     third = stage("repeated_passages", second)
     want = cut_by_hand(texts(second, "doc_id", "text"), 100)
     assert third.count() == second.count()
@@ -238,6 +240,7 @@ def test_pipeline_stages(spark, tmp_path):
     assert fourth.columns == docs.columns and set(texts(fourth, "doc_id")) <= set(texts(third, "doc_id"))
     last = stage("packed_sequences", fourth)
     assert last.groupBy("doc_id").count().count() == fourth.groupBy("doc_id").count().count()
+    assert last.filter("octet_length(ids) <> 4 * length OR crc32(ids) <> ids_crc32").count() == 0
     # one end id a document
     assert last.agg(F.sum(F.when(F.col("start") == 0, F.col("doc_tokens")))).first()[0] == last.agg(F.sum("length")).first()[0]
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == last.count()

@@ -15,7 +15,7 @@ from fleetpulse.llm import backoff, licenses, quality, rules
 
 def against_sql(df, docs, sql):
     documents = docs.select("doc_id", "text", "lang", "source").toPandas()  # noqa: F841  read by the SQL
-    con = duckdb.connect()
+    con = duckdb.connect(config={"memory_limit": "8GB"})
     con.register("documents", documents.astype({"doc_id": "Int64"}))
     result = con.execute(sql)
     names = [c[0] for c in result.description]
