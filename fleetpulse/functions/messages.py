@@ -160,8 +160,9 @@ def with_event_time(df: DataFrame, fall_back: bool = False) -> DataFrame:
     return evaluate_once(df, ts=ts).filter(F.col("ts").isNotNull())
 
 
-def with_metrics(df: DataFrame, *names: str) -> DataFrame:
-    """Add metric columns; a record whose present number does not parse is dropped."""
+def with_metrics(df: DataFrame, *names: str, mark: str | None = None) -> DataFrame:
+    """Add metric columns; a record whose present number does not parse is dropped, or kept with a
+    false ``mark`` if that names a column."""
     names = names or tuple(METRICS)
     found = evaluate_once(df, **{f"_p_{n}": _metric_pair(F.col("pairs"), n) for n in names})
     values = {}
@@ -175,4 +176,5 @@ def with_metrics(df: DataFrame, *names: str) -> DataFrame:
             # without a pair, an optional metric is null and that is fine
             absent = F.col(f"_p_{n}").isNull() if METRICS[n][1] is None else F.lit(False)
             good = good & (F.col(n).isNotNull() | absent)
-    return typed.filter(good).drop(*[f"_p_{n}" for n in names])
+    kept = typed.filter(good) if mark is None else typed.withColumn(mark, good)
+    return kept.drop(*[f"_p_{n}" for n in names])

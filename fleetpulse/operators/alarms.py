@@ -61,9 +61,9 @@ def _identity() -> Column:
     return episode_unid(F.col("vehicle_id"), F.col("code"), F.col("level"), F.col("_first_us"))
 
 
-def publish(episodes: DataFrame, vehicles: DataFrame) -> DataFrame:
-    """Episode rows with id, vehicle position and month partition. ``end_ts`` is the last hot
-    record of a closed episode and null while it is open."""
+def publish(episodes: DataFrame, vehicles: DataFrame, *also: Column) -> DataFrame:
+    """Episode rows with id, vehicle position and month partition, and further columns. ``end_ts`` is the
+    last hot record of a closed episode and null while it is open."""
     dims = vehicles.select("vehicle_id", "domain_unid", "lat", "lon")
     begin_ts = F.timestamp_micros("_first_us")
     return episodes.join(dims, "vehicle_id", "left").select(
@@ -78,6 +78,7 @@ def publish(episodes: DataFrame, vehicles: DataFrame) -> DataFrame:
         begin_ts.alias("begin_ts"),
         F.when(F.col("closed"), F.timestamp_micros("_hot_us")).alias("end_ts"),
         month_suffix(begin_ts).alias("table_suf"),
+        *also,
     )
 
 

@@ -21,16 +21,22 @@ def gap_rule(gap: str = CHARGE_GAP, slice_width: str = TL.DEFAULT_SLICE) -> TL.G
     return TL.GapRule(KEYS, ("ts", "seq"), gap, slice_width)
 
 
+def with_charging(records: DataFrame, vehicles: DataFrame, rules: DataFrame) -> DataFrame:
+    """Records with ``hot``: any charging rule of the vehicle's model holds.
+
+    An absent pair, an unknown vehicle or model mean that it does not.
+    """
+    listed = with_model_rules(with_pair_index(records), vehicles, select_rules(rules, STATUS_RULE, CHARGING))
+    return M.evaluate_once(listed, hot=any_match(F.col("_index"), F.col("rules"))).drop("rules", "fiber_unid", "_index")
+
+
 def charge_signals(records: DataFrame, vehicles: DataFrame, rules: DataFrame) -> DataFrame:
     """Hot (charging) and cold rows with charge and state of charge.
 
-    A record charges when any charging rule of its model holds; an absent pair, an unknown
-    vehicle or model mean it does not. Records with unusable numbers are dropped.
+    Records with unusable numbers are dropped.
     """
-    indexed = with_pair_index(records.select("vehicle_id", "ts", "seq", "pairs"))
-    listed = with_model_rules(indexed, vehicles, select_rules(rules, STATUS_RULE, CHARGING))
-    hot = any_match(F.col("_index"), F.col("rules"))
-    return M.with_metrics(M.evaluate_once(listed, hot=hot), "in_charge", "soc").select(
+    charging = with_charging(records.select("vehicle_id", "ts", "seq", "pairs"), vehicles, rules)
+    return M.with_metrics(charging, "in_charge", "soc").select(
         "vehicle_id", "ts", "seq", "in_charge", "soc", "hot", (~F.col("hot")).alias("cold")
     )
 

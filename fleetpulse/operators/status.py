@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fleetpulse.functions.messages import evaluate_once
 from fleetpulse.functions.times import micros
+from fleetpulse.operators import timeline as TL
 from fleetpulse.operators.rules import (
     OFFLINE,
     ONLINE,
@@ -75,3 +77,59 @@ def coalesce_last(df: DataFrame, every: str, *columns: str) -> DataFrame:
     names = columns or tuple(df.columns)
     last = latest_records(timed, ["vehicle_id", "_interval"], F.struct("ts", "seq"), *[c for c in names if c != "vehicle_id"])
     return last.select("vehicle_id", F.col("_interval.end").alias("flush_ts"), *[c for c in names if c != "vehicle_id"])
+
+
+HOLD = "60 seconds"
+
+
+def matched_status(records: DataFrame, vehicles: DataFrame, rules: DataFrame) -> DataFrame:
+    """``vehicle_id, ts, seq, matched``: the status of the first status rule that holds, else null."""
+    listed = with_model_rules(with_pair_index(records.select("vehicle_id", "ts", "seq", "pairs")), vehicles, select_rules(rules, STATUS_RULE))
+    found = evaluate_once(listed, matched=first_match(F.col("_index"), F.col("rules"))["status"])
+    return found.select("vehicle_id", "ts", "seq", "matched")
+
+
+def with_hysteresis(rows: DataFrame, stored: DataFrame, hold: str = HOLD, slice_width: str = TL.DEFAULT_SLICE) -> DataFrame:
+    """Each record's status: what matched, or what was there before, but for a vehicle without a match.
+
+    A record without a match keeps its vehicle's status; it becomes online when the vehicle's last match (or,
+    before any, its first record) is more than ``hold`` ago, or when the status it would keep is offline or
+    missing. ``rows``: ``vehicle_id, ts, seq, matched``; ``stored``: ``vehicle_id, status`` from before.
+
+    The effect of a slice on the status is its last match, or none, and the time it begins: such effects are
+    joined in order per vehicle and enter each slice as one header row, so a busy vehicle is many tasks.
+    """
+    us = F.unix_micros("ts")
+    match = F.when(F.col("matched").isNotNull(), F.struct(F.col("matched").alias("status"), us.alias("us")))
+    base = rows.select("vehicle_id", TL.slice_number(F.col("ts"), slice_width).alias("_slice"), "ts", "seq", us.alias("_us"), "matched", match.alias("_match"))
+    order = F.struct("ts", "seq")
+    effects = base.groupBy("vehicle_id", "_slice").agg(
+        F.max_by("_match", F.when(F.col("_match").isNotNull(), order)).alias("_match"), F.min("_us").alias("_first")
+    )
+    slices = W.partitionBy("vehicle_id").orderBy("_slice")
+    headers = effects.select(
+        "vehicle_id",
+        "_slice",
+        F.last("_match", ignorenulls=True).over(TL.before(slices)).alias("_match"),
+        F.min("_first").over(TL.up_to(slices)).alias("_first"),
+    )
+    known = stored.select("vehicle_id", F.col("status").alias("_stored"))
+    headers = headers.join(known, "vehicle_id", "left")
+    window = TL.up_to(TL.slice_window(["vehicle_id"], ["ts", "seq"]))
+    walked = TL.with_headers(base, headers).select(
+        "*",
+        F.last("_match", ignorenulls=True).over(window).alias("_last"),
+        F.max("_first").over(window).alias("_begin"),
+        F.max("_stored").over(window).alias("_before"),
+    )
+    since = F.col("_us") - F.coalesce(F.col("_last.us"), F.col("_begin"))
+    kept = F.when(F.col("_last").isNotNull(), F.col("_last.status")).otherwise(F.col("_before"))
+    online = (since > micros(hold)) | kept.isNull() | (kept == OFFLINE)
+    status = F.coalesce("matched", F.when(online, F.lit(ONLINE)).otherwise(kept))
+    return walked.filter(F.col("_head") == 1).select("vehicle_id", "ts", "seq", status.alias("active_status"))
+
+
+def status_with_hysteresis(records: DataFrame, vehicles: DataFrame, rules: DataFrame, **options) -> DataFrame:
+    """The status of each record under the rule of ``with_hysteresis``, from the vehicles' stored status on."""
+    stored = vehicles.select("vehicle_id", F.col("active_status").try_cast("int").alias("status"))
+    return with_hysteresis(matched_status(records, vehicles, rules), stored, **options)

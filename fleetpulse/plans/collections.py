@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetpulse.functions import maps
+from fleetpulse.functions import fanout, maps
 from fleetpulse.operators import cells as CE
 from fleetpulse.operators import keyed as K
 from fleetpulse.operators import lookup as L
@@ -15,6 +15,8 @@ from fleetpulse.operators import wordcount as WC
 from fleetpulse.operators.reach import edges
 from fleetpulse.operators.reach import reach as reach_of
 from fleetpulse.plans.registry import query
+from fleetpulse.session import scratch_path
+from fleetpulse.sources import keyed_files as KF
 from fleetpulse.sources import sinks, tables
 from fleetpulse.sources.adapter import load
 
@@ -652,6 +654,13 @@ def word_count(spark, sf):
     return _counts(spark, sf)
 
 
+@query("split_by_function", WORDS + "SELECT * FROM counts")
+def split_by_function(spark, sf):
+    """The words split by a table function."""
+    texts = tables.spread(load(spark, sf, "documents").select("doc_id", "text"), "doc_id").select("text")
+    return fanout.split_words(texts, "text").groupBy("word").agg(F.count("*").alias("count"))
+
+
 @query("word_lookup", WORDS + "SELECT word, count FROM asked JOIN counts USING (word)")
 def word_lookup(spark, sf):
     return WC.count_lookup(load(spark, sf, "conversations"), _counts(spark, sf), "text")
@@ -701,3 +710,44 @@ def reach(spark, sf):
         F.col("l_suppkey").alias("key"), F.col("o_custkey").alias("member")
     )
     return reach_of(nation.select(F.col("n_name").alias("url")), tweeters, followers)
+
+
+# ---- tables by key
+
+
+@query(
+    "keyed_upsert_table",
+    HASHES + """SELECT key, field, arg_max(value, seq) AS value FROM (SELECT *, -1 AS seq FROM t UNION ALL SELECT * FROM u)
+      GROUP BY key, field""",
+)
+def keyed_upsert_table(spark, sf):
+    """The hash table kept in files, changed by three batches of updates, one of which comes twice."""
+    path = scratch_path(spark, "keyed")
+    table, updates = _hash(spark, sf)
+    KF.upsert(table.withColumn("seq", F.lit(-1).cast("bigint")).select("key", "field", "value", "seq"), path, ["key", "field"], "seq", buckets=16)
+    for k in (0, 1, 1, 2):
+        KF.upsert(updates.filter(F.pmod("seq", F.lit(3)) == k).select("key", "field", "value", F.col("seq").cast("bigint").alias("seq")), path, ["key", "field"], "seq", buckets=16)
+    return KF.read(spark, path).drop("seq")
+
+
+@query(
+    "point_reads",
+    "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey IN (SELECT n_nationkey * 29 + 1 FROM nation)",
+)
+def point_reads(spark, sf):
+    """A few orders by key, out of files that hold a range of keys each."""
+    path = scratch_path(spark, "ranged")
+    KF.write_ranged(load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), path, "o_orderkey", 16)
+    return KF.read_keys(spark, path, "o_orderkey", load(spark, sf, "nation").select((F.col("n_nationkey") * 29 + 1).alias("o_orderkey")))
+
+
+@query(
+    "many_point_reads",
+    "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 45)",
+)
+def many_point_reads(spark, sf):
+    """More keys than are pushed into a scan."""
+    path = scratch_path(spark, "ranged")
+    KF.write_ranged(load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), path, "o_orderkey", 16)
+    asked = load(spark, sf, "lineitem").filter("l_quantity > 45").select(F.col("l_orderkey").alias("o_orderkey"))
+    return KF.read_keys(spark, path, "o_orderkey", asked)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from fleetpulse.operators import alarms as A
 from fleetpulse.operators import charging as C
+from fleetpulse.operators import combine as CB
 from fleetpulse.operators import daily as D
 from fleetpulse.operators import rules as R
 from fleetpulse.operators import status as S
@@ -138,31 +139,34 @@ def work_hours(spark, sf):
     return D.work_hours(stats.withColumnRenamed("work_time_ms", "work_delta_ms"))
 
 
-@query(
-    "mile_aggregator",
-    Q.with_ctes(
-        Q.READINGS,
-        """agg AS (SELECT vehicle_id, count(*) AS n, sum(cast(mileage AS DECIMAL(28, 6))) AS s,
-          arg_min(mileage, ord) AS f, arg_max(mileage, ord) AS e FROM readings GROUP BY vehicle_id)""",
-        select="""SELECT vehicle_id, CASE WHEN n > 1 THEN f ELSE 0.0 END AS mile_start,
-          CASE WHEN n > 1 THEN e ELSE 0.0 END AS mile_end,
-          CASE WHEN n > 1 THEN cast(s - n * cast(f AS DECIMAL(28, 6)) AS DOUBLE) ELSE 0.0 END AS mile_count,
-          f AS mile_total FROM agg""",
-    ),
+MILES = Q.with_ctes(
+    Q.READINGS,
+    """agg AS (SELECT vehicle_id, count(*) AS n, sum(cast(mileage AS DECIMAL(28, 6))) AS s,
+      arg_min(mileage, ord) AS f, arg_max(mileage, ord) AS e FROM readings GROUP BY vehicle_id)""",
+    select="""SELECT vehicle_id, CASE WHEN n > 1 THEN f ELSE 0.0 END AS mile_start,
+      CASE WHEN n > 1 THEN e ELSE 0.0 END AS mile_end,
+      CASE WHEN n > 1 THEN cast(s - n * cast(f AS DECIMAL(28, 6)) AS DOUBLE) ELSE 0.0 END AS mile_count,
+      f AS mile_total FROM agg""",
 )
+
+
+@query("mile_aggregator", MILES)
 def mile_aggregator(spark, sf):
     return D.mile_aggregate(adapter.readings(_events(spark, sf)))
 
 
-@query(
-    "coalesced_last",
-    Q.with_ctes(
-        Q.READINGS,
-        select="""SELECT vehicle_id, make_timestamp((us // 21600000000 + 1) * 21600000000) AS flush_ts,
-          max(seq) AS seq, arg_max(mileage, ord) AS mileage, arg_max(soc, ord) AS soc
-        FROM readings GROUP BY 1, 2""",
-    ),
-)
+@query("mile_combiner", MILES)
+def mile_combiner(spark, sf):
+    """The same by a user's combiner."""
+    return CB.distances(adapter.readings(spread(_events(spark, sf), "event_id")))
+
+
+COALESCED = """SELECT vehicle_id, make_timestamp((us // 21600000000 + 1) * 21600000000) AS flush_ts,
+  max(seq) AS seq, arg_max(mileage, ord) AS mileage, arg_max(soc, ord) AS soc
+FROM readings GROUP BY 1, 2"""
+
+
+@query("coalesced_last", Q.with_ctes(Q.READINGS, select=COALESCED))
 def coalesced_last(spark, sf):
     return S.coalesce_last(adapter.readings(_events(spark, sf)), "6 hours", "seq", "mileage", "soc")
 
@@ -291,6 +295,31 @@ def vehicle_status_keep_current(spark, sf):
     return S.vehicle_status(*_fleet(spark, sf), keep_current=True)
 
 
+def _hysteresis(hold_us: int) -> str:
+    """The status automaton, record by record."""
+    return f"""WITH RECURSIVE {", ".join((*FLEET, Q.STATUS))},
+      steps AS (SELECT s.*, epoch_us(s.ts) AS us, row_number() OVER (PARTITION BY s.vehicle_id ORDER BY s.ord) AS i FROM statuses s),
+      walk AS (
+        SELECT vehicle_id, i, ts, seq, coalesce(matched, CASE WHEN cast(active_status AS INTEGER) <> 0 THEN cast(active_status AS INTEGER) END, 2) AS status, us AS timer
+        FROM steps LEFT JOIN vehicles USING (vehicle_id) WHERE i = 1
+        UNION ALL
+        SELECT s.vehicle_id, s.i, s.ts, s.seq, CASE WHEN matched IS NOT NULL THEN matched WHEN us - timer > {hold_us} OR status = 0 THEN 2 ELSE status END,
+          CASE WHEN matched IS NOT NULL THEN us ELSE timer END
+        FROM walk w JOIN steps s ON s.vehicle_id = w.vehicle_id AND s.i = w.i + 1
+      )
+      SELECT vehicle_id, ts, seq, status AS active_status FROM walk"""
+
+
+@query("status_hysteresis", _hysteresis(60_000_000))
+def status_hysteresis(spark, sf):
+    return S.status_with_hysteresis(*_fleet(spark, sf))
+
+
+@query("status_hysteresis_half_day", _hysteresis(43_200_000_000))
+def status_hysteresis_half_day(spark, sf):
+    return S.status_with_hysteresis(*_fleet(spark, sf), hold=HALF_DAY)
+
+
 @query(
     "offline_vehicles",
     Q.with_ctes(

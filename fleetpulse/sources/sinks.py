@@ -29,31 +29,6 @@ def latest_version(batches: DataFrame, keys: Sequence[str]) -> DataFrame:
     return last.select(*keys, *[F.col("_last")[c].alias(c) for c in fields])
 
 
-class Snapshot:
-    """A table rewritten at each micro-batch.
-
-    Batch n reads what batch n-1 wrote and writes another folder, so it never overwrites its
-    own input, a replay of n starts from the same data, and two folders are kept in all.
-    """
-
-    def __init__(self, path: str, schema):
-        self._path, self._schema = path, schema
-
-    def _slot(self, batch_id: int) -> str:
-        return f"{self._path}/slot={batch_id % 2}"
-
-    def before(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        if batch_id == 0:
-            return spark.createDataFrame([], self._schema)
-        return self.after(spark, batch_id - 1)
-
-    def after(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        return spark.read.schema(self._schema).parquet(self._slot(batch_id))
-
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(self._slot(batch_id))
-
-
 def jdbc_append(df: DataFrame, url: str, table: str, **options) -> None:
     """Append rows to a relational table, partition by partition in batches."""
     df.write.format("jdbc").options(url=url, dbtable=table, batchsize="5000", **options).mode("append").save()

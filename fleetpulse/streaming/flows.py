@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from fleetpulse.functions import messages as M
 from fleetpulse.functions.words import explode_words
 from fleetpulse.operators import status as S
+from fleetpulse.sources.sinks import append_batch
 from fleetpulse.sources.streams import with_arrival_order
 
 # How often the results are flushed.
@@ -32,32 +31,36 @@ def reading_stream(records: DataFrame) -> DataFrame:
     return M.with_metrics(records, *names).select("vehicle_id", "ts", "seq", "timestamp", *names)
 
 
-def start_job(
-    stream: DataFrame, job: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None
+def append_changes(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    every: str | None = None,
+    mode: str = "update",
+    prepare: Callable[[DataFrame], dict[str, DataFrame]] | None = None,
+    once: bool = False,
 ) -> StreamingQuery:
-    """Run a micro-batch job; without ``every`` it drains what is there and stops."""
-    writer = stream.writeStream.foreachBatch(job).option("checkpointLocation", checkpoint)
-    trigger = {"processingTime": every} if every else {"availableNow": True}
-    return writer.trigger(**trigger).start()
+    """Write each micro-batch's rows to a folder of its own; a replayed batch writes the same folder.
 
+    ``prepare`` makes several tables of a batch, each with a folder below ``path``; the batch is kept for them.
+    ``once`` drains what is there and stops; otherwise the query goes on, ``every`` so often.
+    """
 
-def two_jobs(
-    first: tuple[Callable, Callable[[DataFrame], DataFrame]], second: tuple[Callable, Callable[[DataFrame], DataFrame]]
-) -> Callable[[DataFrame, int], None]:
-    """Two jobs fed by one parsed stream; the batch is parsed once and kept for both."""
-
-    def run(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if prepare is None:
+            append_batch(batch, path, batch_id)
+            return
         batch.persist()
-        for job, prepare in (first, second):
-            job(prepare(batch), batch_id)
+        for name, rows in prepare(batch).items():
+            append_batch(rows, f"{path}/{name}", batch_id)
         batch.unpersist()
 
-    def flush(spark) -> None:
-        for job, _ in (first, second):
-            job.flush(spark)
-
-    run.flush = flush
-    return run
+    writer = stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", checkpoint)
+    if once:
+        writer = writer.trigger(availableNow=True)
+    elif every:
+        writer = writer.trigger(processingTime=every)
+    return writer.start()
 
 
 def running_word_count(sentences: DataFrame, text: str = "sentence") -> DataFrame:
@@ -70,72 +73,48 @@ def flushed_last(rows: DataFrame, every: str, delay: str, *columns: str) -> Data
     return S.coalesce_last(rows.withWatermark("ts", delay), every, *columns)
 
 
+def state_of(spark: SparkSession, checkpoint: str, **options) -> DataFrame:
+    """The rows a query's state holds, as of its last committed batch, also while the query runs."""
+    return spark.read.format("statestore").options(**options).load(checkpoint)
+
+
+def live_counts(spark: SparkSession, checkpoint: str, **options) -> DataFrame:
+    """``word, count`` as a running word count has them now."""
+    return state_of(spark, checkpoint, **options).select("key.word", F.col("value.count").alias("count"))
+
+
 def enrich(stream: DataFrame, wide: DataFrame, row_key: str) -> DataFrame:
     """Stream rows with the columns of their stored wide row (null when there is none)."""
     return stream.join(wide.withColumnRenamed("row_key", row_key), row_key, "left")
 
 
-def _stretches(limit: pd.Timedelta) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """First and last times of each vehicle's stretches without a pause, per Arrow batch."""
-
-    def reduce(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            rows = pdf.sort_values(["vehicle_id", "ts"])
-            pause = (rows["vehicle_id"] != rows["vehicle_id"].shift()) | (rows["ts"].diff() > limit)
-            times = rows.groupby([rows["vehicle_id"], pause.cumsum()])["ts"]
-            yield pd.DataFrame({"start": times.min(), "ts": times.max()}).reset_index()[["vehicle_id", "start", "ts"]]
+def enriched_changes(
+    stream: DataFrame, table: Callable[[SparkSession], DataFrame], row_key: str, path: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Each micro-batch joined with the table as it is then: ``table`` is asked at every batch.
 
-    return reduce
+    A ``RefreshingTable`` asks its source again when what it has is too old.
+    """
+    return append_changes(
+        stream, path, checkpoint, every, "append", prepare=lambda batch: {"rows": enrich(batch, table(batch.sparkSession), row_key)}
+    )
 
 
-def presence_changes(rows: DataFrame, timeout: str = "5 minutes", delay: str = "1 minute") -> DataFrame:
-    """Online and offline transitions of each vehicle, by event time.
+def ends_meet_begins(begins: DataFrame, ends: DataFrame, longest: str, delay: str = "1 minute") -> DataFrame:
+    """Event rows as begins and ends arrive: an end joins the begin of its id and month.
 
-    Rows are reduced to stretches without a pause before they are shuffled to the state, so a busy
-    vehicle sends a few rows per micro-batch. The state joins stretches in time order, so the
-    transitions do not depend on how the rows are cut into batches.
+    begins: the columns of ``alarms.begin_events`` and ``seen_ts``, when the begin was noticed; ends:
+    ``unid, end_ts, table_suf, seen_ts``. A begin waits for its end up to ``longest``; then it is given out without one.
     """
-    limit = int(pd.Timedelta(timeout).total_seconds() * 1000)
-
-    def ms(t: pd.Timestamp) -> int:
-        return t.value // 1_000_000
-
-    def follow(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        changes = []
-        if state.hasTimedOut:
-            changes.append(("0", last + limit))
-            last = None
-        else:
-            stretches = sorted((ms(r.start), ms(r.ts)) for pdf in frames for r in pdf.itertuples())
-            for start, end in stretches:
-                if last is not None and start - last > limit:
-                    changes.append(("0", last + limit))
-                    last = None
-                if last is None:
-                    changes.append(("2", start))
-                last = end if last is None else max(last, end)
-        if last is None:
-            state.remove()
-        else:
-            state.update((last,))
-            state.setTimeoutTimestamp(max(last + limit, state.getCurrentWatermarkMs() + 1))
-        if changes:
-            status, at = zip(*changes)
-            times = pd.to_datetime(list(at), unit="ms")
-            yield pd.DataFrame({"vehicle_id": key[0], "active_status": list(status), "ts": times})
-
-    reduced = rows.select("vehicle_id", "ts").mapInPandas(
-        _stretches(pd.Timedelta(timeout)), "vehicle_id string, start timestamp, ts timestamp"
+    left = begins.withWatermark("seen_ts", delay).withColumnRenamed("seen_ts", "begun")
+    right = ends.withWatermark("seen_ts", delay).select(
+        F.col("unid").alias("_unid"), F.col("table_suf").alias("_suf"), "end_ts", F.col("seen_ts").alias("ended")
     )
-    return (
-        reduced.withWatermark("ts", delay)
-        .groupBy("vehicle_id")
-        .applyInPandasWithState(
-            follow,
-            "vehicle_id string, active_status string, ts timestamp",
-            "last_ms bigint",
-            "append",
-            GroupStateTimeout.EventTimeTimeout,
-        )
+    meets = (
+        (F.col("unid") == F.col("_unid"))
+        & (F.col("table_suf") == F.col("_suf"))
+        & (F.col("ended") >= F.col("begun"))
+        & (F.col("ended") <= F.col("begun") + F.expr(f"INTERVAL {longest}"))
     )
+    met = left.join(right, meets, "left_outer")
+    return met.drop("_unid", "_suf", "begun", "ended").withColumn("flag_did", F.when(F.col("end_ts").isNotNull(), 1).otherwise(0))

@@ -11,9 +11,9 @@ from fleetpulse.operators import charging as C
 from fleetpulse.operators import daily as D
 from fleetpulse.operators import status as S
 from fleetpulse.operators import wordcount as WC
-from fleetpulse.sources import sinks, streams
+from fleetpulse.sources import streams
 from fleetpulse.sources.sinks import latest_version, read_batches
-from fleetpulse.streaming import flows, jobs
+from fleetpulse.streaming import flows, stateful
 
 RECORDS = "vehicle_id string, ts timestamp, seq bigint, timestamp timestamp, pairs array<struct<code:string,alias:string,title:string,value:string>>"
 
@@ -38,11 +38,35 @@ def files(spark, df, path, parts):
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-def run(spark, tmp_path, df, job, parts=4):
-    stream = files(spark, df, str(tmp_path / "in"), parts)
-    query = flows.start_job(stream, job, str(tmp_path / "checkpoint"))
+def drain(df, path, checkpoint, mode="update", prepare=None):
+    query = flows.append_changes(df, path, str(checkpoint), mode=mode, prepare=prepare, once=True)
     query.awaitTermination()
-    assert query.exception() is None and query.lastProgress["batchId"] >= parts - 1
+    assert query.exception() is None
+    return query
+
+
+def closing(df, vehicle="END"):
+    """The rows and one more, two days later, that moves the watermark past them."""
+    last = df.agg(F.max("ts"), F.max("seq")).first()
+    given = {"vehicle_id": F.lit(vehicle), "ts": F.lit(last[0]) + F.expr("INTERVAL 2 DAYS"), "seq": F.lit(last[1] + 10_000)}
+    return df.unionByName(df.limit(1).select(*[given.get(c, F.lit(None).cast(t)).alias(c) for c, t in df.dtypes]))
+
+
+def arrive(spark, df, path, parts, delay="1 minute", shuffle=None):
+    """The rows, closed, as a stream with a watermark; ``shuffle`` seconds of disorder, from a seeded draw."""
+    rows = df.collect()
+    if shuffle:
+        rng = random.Random(11)
+        rows = sorted(rows, key=lambda r: r.ts.timestamp() + rng.random() * shuffle)
+    size = -(-len(rows) // parts)
+    for p in range(parts):
+        spark.createDataFrame(rows[p * size : (p + 1) * size], df.schema).coalesce(1).write.mode("append").parquet(path)
+    closing(df).filter("vehicle_id = 'END'").coalesce(1).write.mode("append").parquet(path)
+    return stateful.timed(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path), delay)
+
+
+def final(spark, path, keys):
+    return latest_version(read_batches(spark, path), keys).filter("vehicle_id <> 'END'")
 
 
 def same(a, b):
@@ -52,149 +76,144 @@ def same(a, b):
     assert left == right
 
 
-def test_daily_stream_equals_batch(spark, tmp_path):
+DELAY = 1800
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_daily_stream_equals_batch(spark, tmp_path, parts):
+    """Rows in any order within the watermark's delay, however they are cut into batches."""
     df = frame(spark, random_daily(5, n=200))
-    path = str(tmp_path / "job")
-    run(spark, tmp_path, df, jobs.daily_job(spark, path, horizon_days=3))
-    same(latest_version(read_batches(spark, f"{path}/out"), list(D.KEYS)), D.daily_stats(df))
-    assert read_batches(spark, f"{path}/late").count() == 0
+    stream = arrive(spark, df, str(tmp_path / "in"), parts, "30 minutes", DELAY if parts > 1 else None)
+    query = drain(stateful.daily_changes(stream, horizon_days=3), str(tmp_path / "out"), tmp_path / "c")
+    same(final(spark, str(tmp_path / "out"), list(D.KEYS)), D.daily_stats(df))
+    assert stateful.late_rows(query) == 0
 
 
 def tables_of(spark):
     rules, vehicles = fixtures(spark)
-    return (lambda s: s.createDataFrame(vehicles.collect(), vehicles.schema)), (
-        lambda s: s.createDataFrame(rules.collect(), rules.schema))
+    return vehicles, rules
 
 
-def test_alarm_stream_equals_batch(spark, tmp_path):
-    rules, vehicles = fixtures(spark)
+@pytest.mark.parametrize("parts", [1, 4])
+def test_alarm_stream_equals_batch(spark, tmp_path, parts):
+    vehicles, rules = tables_of(spark)
     df = spark.createDataFrame(random_records(3), RECORDS)
-    path = str(tmp_path / "job")
-    run(spark, tmp_path, df, jobs.alarm_job(spark, path, *tables_of(spark), gap="1 hour"))
+    stream = arrive(spark, df, str(tmp_path / "in"), parts, "30 minutes", DELAY if parts > 1 else None)
+    signals = A.alarm_signals(stream, vehicles, rules)
+    drain(A.publish(stateful.alarm_changes(signals, "1 hour"), vehicles), str(tmp_path / "out"), tmp_path / "c")
     batch = A.alarm_episodes(df, vehicles, rules, gap="1 hour")
     assert batch.filter("end_ts IS NOT NULL").count() > 3
-    same(latest_version(read_batches(spark, f"{path}/out"), ["unid"]), batch)
+    same(final(spark, str(tmp_path / "out"), ["unid"]), batch)
 
 
-def test_charge_stream_equals_batch(spark, tmp_path):
-    rules, vehicles = fixtures(spark)
+def test_alarm_events_are_given_out_once_and_meet(spark, tmp_path):
+    vehicles, rules = tables_of(spark)
+    df = spark.createDataFrame(random_records(3), RECORDS)
+    signals = A.alarm_signals(arrive(spark, df, str(tmp_path / "in"), 4), vehicles, rules)
+    seen = F.timestamp_micros("_seen_us").alias("seen_ts")
+    drain(A.publish(stateful.alarm_changes(signals, "1 hour", events=True), vehicles, seen), str(tmp_path / "events"), tmp_path / "c", "append")
+    events = read_batches(spark, str(tmp_path / "events")).drop("batch_id")
+    batch = A.alarm_episodes(df, vehicles, rules, gap="1 hour")
+    same(events.filter("end_ts IS NULL").drop("seen_ts"), A.begin_events(batch).withColumn("end_ts", F.lit(None).cast("timestamp")))
+    same(events.filter("end_ts IS NOT NULL").select("unid", "end_ts", "table_suf"), A.end_events(batch))
+
+    # the two kinds as streams of their own: ends find their begins, begins without one come out in the end
+    far = events.agg(F.max("seen_ts") + F.expr("INTERVAL 20 DAYS")).first()[0]
+    for kind, rows in (("begins", events.filter("end_ts IS NULL")), ("ends", events.filter("end_ts IS NOT NULL"))):
+        middle = rows.select(F.percentile_approx("seen_ts", 0.5)).first()[0]
+        last = rows.limit(1).select(*[{"unid": F.lit("last"), "table_suf": F.lit("last"), "seen_ts": F.lit(far)}.get(c, F.lit(None).cast(t)).alias(c) for c, t in rows.dtypes])
+        for part in (rows.filter(F.col("seen_ts") <= middle), rows.filter(F.col("seen_ts") > middle), last):
+            part.coalesce(1).write.mode("append").parquet(str(tmp_path / kind))
+    read = lambda kind: spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / kind))
+    met = flows.ends_meet_begins(read("begins").drop("end_ts"), read("ends").select("unid", "end_ts", "table_suf", "seen_ts"), "10 days")
+    drain(met, str(tmp_path / "table"), tmp_path / "d", "append")
+    table = read_batches(spark, str(tmp_path / "table")).drop("batch_id").filter("unid <> 'last'")
+    same(table, A.apply_ends(A.begin_events(batch), A.end_events(batch)))
+    assert table.filter("end_ts IS NULL").count() > 0
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_charge_stream_equals_batch(spark, tmp_path, parts):
+    vehicles, rules = tables_of(spark)
     df = spark.createDataFrame(random_records(4), RECORDS)
-    path = str(tmp_path / "job")
-    run(spark, tmp_path, df, jobs.charge_job(spark, path, *tables_of(spark), gap="1 hour"))
+    stream = arrive(spark, df, str(tmp_path / "in"), parts, "30 minutes", DELAY if parts > 1 else None)
+    drain(C.publish(stateful.charge_changes(C.charge_signals(stream, vehicles, rules), "1 hour")), str(tmp_path / "out"), tmp_path / "c")
     batch = C.charge_sessions(df, vehicles, rules, gap="1 hour")
     assert batch.filter("NOT is_open").count() > 3
-    same(latest_version(read_batches(spark, f"{path}/out"), ["row_key"]), batch)
+    same(final(spark, str(tmp_path / "out"), ["row_key"]), batch)
 
 
 def test_status_stream_equals_batch(spark, tmp_path):
-    rules, vehicles = fixtures(spark)
+    vehicles, rules = tables_of(spark)
     df = spark.createDataFrame(random_records(6, 60), RECORDS)
-    path = str(tmp_path / "job")
-    run(spark, tmp_path, df, jobs.status_job(path, *tables_of(spark)), 3)
-    same(latest_version(read_batches(spark, f"{path}/out"), ["vehicle_id"]), S.vehicle_status(df, vehicles, rules))
+    status = S.record_status(stateful.last_records(arrive(spark, df, str(tmp_path / "in"), 3), "pairs"), vehicles, rules)
+    drain(status.select("vehicle_id", F.col("active_status").cast("string").alias("active_status"), "ts"), str(tmp_path / "out"), tmp_path / "c")
+    same(final(spark, str(tmp_path / "out"), ["vehicle_id"]), S.vehicle_status(df, vehicles, rules))
 
 
-def test_counters_accumulate(spark, tmp_path):
-    path = str(tmp_path / "job")
-    job = jobs.counter_job(path, ["key"])
-    for i, rows in enumerate([[("a", 1), ("a", 2)], [("b", 5)], [("a", -4), ("c", 1)]]):
-        job(spark.createDataFrame(rows, "key string, count int"), i)
-    job(spark.createDataFrame([("a", -4), ("c", 1)], "key string, count int"), 2)
-    got = latest_version(read_batches(spark, f"{path}/out"), ["key"]).collect()
-    assert sorted(map(tuple, got)) == [("a", -1), ("b", 5), ("c", 1)]
-    changed = read_batches(spark, f"{path}/out").groupBy("batch_id").count().collect()
-    assert sorted(map(tuple, changed)) == [(0, 1), (1, 1), (2, 2)]
-
-
-def test_replayed_batch_changes_nothing(spark, tmp_path):
+def test_restart_goes_on_where_it_stopped(spark, tmp_path):
+    """A query that is started anew, with rows that came meanwhile, has the days of one that never stopped."""
     df = frame(spark, random_daily(7, n=90))
-    path = str(tmp_path / "job")
-    job = jobs.daily_job(spark, path, horizon_days=3)
-    halves = [df.filter("seq < 45"), df.filter("seq >= 45")]
-    job(halves[0], 0)
-    job(halves[1], 1)
-    first = latest_version(read_batches(spark, f"{path}/out"), list(D.KEYS)).collect()
-    jobs.daily_job(spark, path, horizon_days=3)(halves[1], 1)  # after a restart
-    again = latest_version(read_batches(spark, f"{path}/out"), list(D.KEYS)).collect()
-    assert sorted(map(str, first)) == sorted(map(str, again))
-
-
-def test_late_rows_are_kept_aside(spark, tmp_path):
-    df = frame(spark, [("V1", models.at(s), s, float(s), None, None) for s in (10, 20, 30)])
-    path = str(tmp_path / "job")
-    job = jobs.daily_job(spark, path)
-    job(df.filter("seq > 10"), 0)
-    job(df.filter("seq <= 20"), 1)
-    assert sorted(r.seq for r in read_batches(spark, f"{path}/late").collect()) == [10, 20]
-    row = latest_version(read_batches(spark, f"{path}/out"), list(D.KEYS)).first()
-    assert (row.mile_count, row.work_time_ms) == (10.0, 10_000)
-
-
-def latest_daily(spark, path):
-    return {(r.vehicle_id, r.day): (r.mile_count, r.work_time_ms) for r in latest_version(read_batches(spark, f"{path}/out"), list(D.KEYS)).collect()}
-
-
-def test_vehicles_do_not_touch_each_other(spark, tmp_path):
-    """A wrong clock or a backlog of one vehicle leaves the days of the others alone."""
-    day, far = 86_400, 10 * 365 * 86_400
-    traces = [
-        ([[("A", 0, 100.0), ("A", 60, 110.0)], [("B", far, 1.0)], [("A", 120, 120.0)]], {"20240301": (20.0, 120_000)}),
-        ([[("A", 0, 100.0), ("B", 5 * day, 1.0)], [("B", 5 * day + 60, 2.0)], [("A", 60, 130.0)]], {"20240301": (30.0, 60_000)}),
-        ([[("A", far, 5.0)], [("A", 0, 10.0), ("A", 60, 20.0)]], {"20240301": (10.0, 60_000)}),
-    ]
-    for k, (batches, want) in enumerate(traces):
-        path = str(tmp_path / f"trace{k}")
-        job = jobs.daily_job(spark, path)
-        seq = 0
-        for i, batch in enumerate(batches):
-            rows = [(v, models.at(s), seq + j, m, None, None) for j, (v, s, m) in enumerate(batch)]
-            seq += len(rows)
-            job(frame(spark, rows), i)
-        got = latest_daily(spark, path)
-        assert {d: x for (v, d), x in got.items() if v == "A"} == want
-
-
-def test_rows_in_any_order_within_the_lateness(spark, tmp_path):
-    rng = random.Random(11)
-    df = frame(spark, random_daily(8, n=150))
-    rows = sorted(df.collect(), key=lambda r: r.ts.timestamp() + rng.random() * 1800)
-    path = str(tmp_path / "daily")
-    job = jobs.daily_job(spark, path, horizon_days=3, lateness="30 minutes")
-    size = -(-len(rows) // 5)
-    for i in range(5):
-        job(spark.createDataFrame(rows[i * size : (i + 1) * size], df.schema), i)
-    # provisional results are complete; a flush, written anew if the stream goes on, changes nothing
-    same(latest_version(read_batches(spark, f"{path}/out"), list(D.KEYS)), D.daily_stats(df))
-    job.flush(spark)
-    same(latest_version(read_batches(spark, f"{path}/out"), list(D.KEYS)), D.daily_stats(df))
-    assert read_batches(spark, f"{path}/late").count() == 0
-
-    rules, vehicles = fixtures(spark)
-    records = spark.createDataFrame(random_records(12, 200), RECORDS)
-    rows = sorted(records.collect(), key=lambda r: r.ts.timestamp() + rng.random() * 1800)
-    path = str(tmp_path / "alarms")
-    job = jobs.alarm_job(spark, path, *tables_of(spark), gap="1 hour", lateness="30 minutes")
-    for i in range(4):
-        job(spark.createDataFrame(rows[i * 50 : (i + 1) * 50], records.schema), i)
-    job.flush(spark)
-    same(latest_version(read_batches(spark, f"{path}/out"), ["unid"]), A.alarm_episodes(records, vehicles, rules, gap="1 hour"))
+    first, second = df.filter("seq < 45"), df.filter("seq >= 45")
+    source = str(tmp_path / "in")
+    stream = stateful.timed(spark.readStream.schema(df.schema).parquet(source), "1 minute")
+    for part in (first, closing(second)):
+        part.coalesce(1).write.mode("append").parquet(source)
+        drain(stateful.daily_changes(stream, horizon_days=3), str(tmp_path / "out"), tmp_path / "c")
+    same(final(spark, str(tmp_path / "out"), list(D.KEYS)), D.daily_stats(df))
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    rows = [("V1", models.at(s), i, float(s), None, None) for i, s in enumerate([10, 4000, 20, 5000])]
+    stream = arrive(spark, frame(spark, rows), str(tmp_path / "in"), 4)
+    query = drain(stateful.daily_changes(stream), str(tmp_path / "out"), tmp_path / "c")
+    assert stateful.late_rows(query) == 1
+    assert final(spark, str(tmp_path / "out"), list(D.KEYS)).first().work_time_ms == 0
+
+
+def test_a_wrong_clock_makes_no_row_late(spark, tmp_path):
+    far = 10 * 365 * 86_400
+    rows = [("A", models.at(0), 0, 100.0, None, None), ("B", models.at(far), 1, 1.0, None, None), ("A", models.at(120), 2, 120.0, None, None)]
+    source = str(tmp_path / "in")
+    for r in rows:
+        frame(spark, [r]).coalesce(1).write.mode("append").parquet(source)
+    closing(frame(spark, [rows[0], rows[2]])).filter("vehicle_id = 'END'").write.mode("append").parquet(source)
+    stream = stateful.timed(spark.readStream.schema(frame(spark, rows).schema).option("maxFilesPerTrigger", 1).parquet(source), "1 minute")
+    query = drain(stateful.daily_changes(stream), str(tmp_path / "out"), tmp_path / "c")
+    got = {(r.vehicle_id, r.day): (r.mile_count, r.work_time_ms) for r in final(spark, str(tmp_path / "out"), list(D.KEYS)).collect()}
+    assert got == {("A", "20240301"): (20.0, 120_000)} and stateful.late_rows(query) == 0
+
+
+def test_a_batch_touches_the_state_of_its_own_vehicles(spark, tmp_path):
+    hour = 3600
+    rows = [(v, models.at(s), i, float(s + 1), None, None) for i, (v, s) in enumerate([("V1", 0), ("V2", 0), ("V1", hour), ("V1", 2 * hour), ("V1", 3 * hour)])]
+    df = frame(spark, rows)
+    source, checkpoint = str(tmp_path / "in"), str(tmp_path / "c")
+    for group in (rows[:2], rows[2:3], rows[3:4], rows[4:]):
+        frame(spark, group).coalesce(1).write.mode("append").parquet(source)
+    stream = stateful.timed(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(source), "1 minute")
+    drain(stateful.daily_changes(stream), str(tmp_path / "out"), checkpoint)
+    changes = flows.state_of(spark, checkpoint, stateVarName="days", readChangeFeed="true", changeStartBatchId=0)
+    touched = {}
+    for r in changes.select("batch_id", "key.vehicle_id").distinct().collect():
+        touched.setdefault(r.vehicle_id, set()).add(r.batch_id)
+    assert len(touched["V2"]) == 1 and len(touched["V1"]) >= 3
 
 
 def test_old_days_and_sessions_expire(spark, tmp_path):
     rows = [("V1", models.at(0), 0, 1.0, None, None), ("V2", models.at(0), 1, 1.0, None, None), ("V2", models.at(5 * 86400), 2, 1.0, None, None)]
-    path = str(tmp_path / "daily")
-    job = jobs.daily_job(spark, path)
-    for i, r in enumerate(rows):
-        job(frame(spark, [r]), i)
-    kept = spark.read.parquet(f"{path}/state/slot=0").collect()
-    assert sorted((r.vehicle_id, r.day) for r in kept) == [("V1", "20240301"), ("V2", "20240306")]
+    stream = arrive(spark, frame(spark, rows), str(tmp_path / "in"), 3)
+    drain(stateful.daily_changes(stream), str(tmp_path / "out"), tmp_path / "c")
+    kept = flows.state_of(spark, str(tmp_path / "c"), stateVarName="days").select("key.vehicle_id", "user_map_key.day").collect()
+    # the vehicle that is silent loses its day too, by its timer
+    assert sorted(map(tuple, kept)) == []
 
-    charging = [("V1", models.at(s), s, models.at(s), [("c", "", "", "1")]) for s in (0, 90_000)]
-    path = str(tmp_path / "charge")
-    job = jobs.charge_job(spark, path, *tables_of(spark), expire_after="24 hours")
-    for i, r in enumerate(charging):
-        job(spark.createDataFrame([r], RECORDS), i)
-    assert [r.is_open for r in latest_version(read_batches(spark, f"{path}/out"), ["row_key"]).collect()] == [False]
+    vehicles, rules = tables_of(spark)
+    charging = spark.createDataFrame([("V1", models.at(s), s, models.at(s), [("c", "", "", "1")]) for s in (0, 90_000)], RECORDS)
+    signals = C.charge_signals(arrive(spark, charging, str(tmp_path / "in2"), 2), vehicles, rules)
+    drain(C.publish(stateful.charge_changes(signals, expire_after="24 hours")), str(tmp_path / "charge"), tmp_path / "d")
+    got = final(spark, str(tmp_path / "charge"), ["row_key"]).orderBy("start_date").collect()
+    assert [r.is_open for r in got] == [False, False]
 
 
 def message(vehicle, second, **metrics):
@@ -202,21 +221,21 @@ def message(vehicle, second, **metrics):
     return json.dumps({"TIMESTAMP": 0, "DATIME_RX": f"2024-03-01 06:00:{second:02d}", "pairs": pairs})
 
 
-def test_messages_to_two_jobs(spark, tmp_path):
-    """One parsed stream feeds the charging and the daily job."""
+def test_messages_to_two_machines(spark, tmp_path):
+    """One parsed stream feeds the charging and the daily machine; a record unfit for one still counts for the other."""
     folder = tmp_path / "in"
     folder.mkdir()
-    (folder / "a.txt").write_text("\n".join([message("V1", 1, MILEAGE=10, c=1), "{bad", message("V1", 3, MILEAGE=14, c=1)]))
+    lines = [message("V1", 1, MILEAGE=10, c=1), "{bad", message("V1", 3, MILEAGE=14, c=1), message("V1", 5, MILEAGE=20, SOC="junk", c=1)]
+    (folder / "a.txt").write_text("\n".join(lines))
+    (folder / "b.txt").write_text(message("END", 59).replace("2024-03-01", "2024-03-09"))
     records = flows.record_stream(streams.message_stream(spark, "text", str(folder)))
-    daily, charge = str(tmp_path / "daily"), str(tmp_path / "charge")
-    both = flows.two_jobs(
-        (jobs.daily_job(spark, daily), flows.reading_stream),
-        (jobs.charge_job(spark, charge, *tables_of(spark)), lambda df: df),
-    )
-    flows.start_job(records, both, str(tmp_path / "checkpoint")).awaitTermination()
-    row = read_batches(spark, f"{daily}/out").first()
-    assert (row.vehicle_id, row.mile_count, row.work_time_ms) == ("V1", 4.0, 2000)
-    assert read_batches(spark, f"{charge}/out").filter("is_open").count() == 1
+    both = stateful.daily_and_charge(stateful.timed(records, "1 minute"), *tables_of(spark))
+    out = str(tmp_path / "out")
+    drain(both, out, tmp_path / "c", prepare=lambda batch: dict(zip(("daily", "charge"), stateful.split_both(batch))))
+    row = final(spark, f"{out}/daily", list(D.KEYS)).first()
+    assert (row.vehicle_id, row.mile_count, row.work_time_ms) == ("V1", 10.0, 4000)
+    sessions = final(spark, f"{out}/charge", ["row_key"]).collect()
+    assert [r.is_open for r in sessions] == [True]
 
 
 def test_running_word_count(spark, tmp_path):
@@ -226,34 +245,21 @@ def test_running_word_count(spark, tmp_path):
         (folder / f"{i}.txt").write_text(text)
     stream = streams.message_stream(spark, "text", str(folder), maxFilesPerTrigger="1")
     out = str(tmp_path / "out")
-    query = (
-        flows.running_word_count(stream, "str")
-        .writeStream.outputMode("update")
-        .foreachBatch(lambda df, i: sinks.append_batch(df, out, i))
-        .option("checkpointLocation", str(tmp_path / "checkpoint"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    counts = flows.running_word_count(stream, "str")
+    drain(counts, out, tmp_path / "checkpoint")
     texts = spark.read.text(str(folder)).withColumnRenamed("value", "sentence")
     same(latest_version(read_batches(spark, out), ["word"]), WC.word_count(texts))
-
-
-def sink_to(df, out, checkpoint):
-    query = (
-        df.writeStream.foreachBatch(lambda d, i: sinks.append_batch(d, out, i))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    # the state has what was given out, and an earlier batch's state what was known then
+    same(flows.live_counts(spark, str(tmp_path / "checkpoint")), WC.word_count(texts))
+    early = flows.live_counts(spark, str(tmp_path / "checkpoint"), batchId=0)
+    assert early.agg(F.sum("count")).first()[0] < texts.select(F.explode(F.split("sentence", " "))).count()
 
 
 def test_flushed_last_waits_for_the_watermark(spark, tmp_path):
     rows = [("V1", models.at(s), i, float(s), None, None) for i, s in enumerate([0, 50, 130, 86_400])]
     df = frame(spark, rows).select("vehicle_id", "ts", "seq", "mileage")
     stream = files(spark, df, str(tmp_path / "in"), 4)
-    sink_to(flows.flushed_last(stream, "2 minutes", "1 minute", "mileage"), str(tmp_path / "out"), str(tmp_path / "c"))
+    drain(flows.flushed_last(stream, "2 minutes", "1 minute", "mileage"), str(tmp_path / "out"), tmp_path / "c", "append")
     got = read_batches(spark, str(tmp_path / "out")).select("mileage").collect()
     assert sorted(r.mileage for r in got) == [50.0, 130.0]
 
@@ -264,7 +270,7 @@ def test_presence(spark, tmp_path, parts):
     seconds = [("V1", 0), ("V1", 100), ("V2", 1000), ("V1", 1100), ("V2", 86_400), ("V2", 86_460)]
     df = frame(spark, [(v, models.at(s), i, 0.0, None, None) for i, (v, s) in enumerate(seconds)])
     stream = files(spark, df, str(tmp_path / "in"), parts)
-    sink_to(flows.presence_changes(stream, "5 minutes", "10 seconds"), str(tmp_path / "out"), str(tmp_path / "c"))
+    drain(stateful.presence(stream, "5 minutes", "10 seconds"), str(tmp_path / "out"), tmp_path / "c", "append")
     got = read_batches(spark, str(tmp_path / "out"))
     v1 = [(r.active_status, r.t) for r in got.filter("vehicle_id = 'V1'").select(
         "active_status", F.col("ts").cast("timestamp_ntz").alias("t")).orderBy("ts").collect()]
@@ -275,7 +281,7 @@ def test_stream_is_enriched_from_wide_rows(spark, tmp_path):
     df = frame(spark, [(v, models.at(0), i, 0.0, None, None) for i, v in enumerate(["V1", "V2"])]).select("vehicle_id", "seq")
     wide = spark.createDataFrame([("V1", "7")], "row_key string, hours string")
     stream = files(spark, df, str(tmp_path / "in"), 1)
-    sink_to(flows.enrich(stream, wide, "vehicle_id"), str(tmp_path / "out"), str(tmp_path / "c"))
+    drain(flows.enrich(stream, wide, "vehicle_id"), str(tmp_path / "out"), tmp_path / "c", "append")
     got = read_batches(spark, str(tmp_path / "out")).select("vehicle_id", "hours").collect()
     assert sorted(map(tuple, got)) == [("V1", "7"), ("V2", None)]
 
