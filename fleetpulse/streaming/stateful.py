@@ -3,8 +3,9 @@
 ``InOrder`` is a stateful processor that holds a key's rows until the watermark has passed them and then folds them
 in time order, so results do not depend on how rows are cut into batches or on their order within the
 watermark's delay. Each key has one timer: the moment at which something it holds is due. A batch touches
-the state of its own keys and of keys whose timer is due; nothing else is read or written. Rows behind the
-watermark are dropped by Spark and counted in the query's progress (``late_rows``).
+the state of its own keys and of keys whose timer is due; nothing else is read or written. Rows that are behind
+the watermark when they come are dropped: by the machine in the batch after the one that moved the watermark, later by
+Spark, which counts them in the query's progress (``late_rows``).
 
 A watermark belongs to the whole stream, so rows that are more than ``AHEAD`` in front of the clock are taken out
 before it (``plausible``): a wrong clock of one vehicle cannot make the rows of others late.
@@ -62,6 +63,10 @@ class InOrder(StatefulProcessor):
     def open(self, handle: StatefulProcessorHandle) -> None:
         """Declare further state."""
 
+    def newest(self, row: tuple) -> int:
+        """The time by which a row is late."""
+        return row[0]
+
     def fold(self, key: tuple, rows: list[tuple], mark: int) -> list[tuple]:
         """Results of rows that are due, in order; ``mark`` is the watermark in microseconds."""
         raise NotImplementedError
@@ -94,7 +99,9 @@ class InOrder(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         names = [field.split(" ")[0] for field in self.row.split(", ")]
         fresh = [tuple(map(_value, r)) for frame in rows for r in zip(*[frame[n].tolist() for n in names])]
-        yield from self._advance(key, fresh, timerValues.getCurrentWatermarkInMs())
+        mark_ms = timerValues.getCurrentWatermarkInMs()
+        # Spark drops late rows by the watermark of the batch before; those between the two are late as well
+        yield from self._advance(key, [r for r in fresh if self.newest(r) > mark_ms * 1000], mark_ms)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         yield from self._advance(key, [], timerValues.getCurrentWatermarkInMs())
@@ -141,6 +148,9 @@ class Presence(InOrder):
     def open(self, handle):
         self._last = handle.getValueState("last", "us bigint")
 
+    def newest(self, row):
+        return row[1]
+
     def fold(self, key, rows, mark):
         before = last = self._last.get()[0] if self._last.exists() else None
         changes = []
