@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -42,8 +42,8 @@ def late_rows(query: StreamingQuery) -> int:
     return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
 
 
-def _value(x):
-    return None if isinstance(x, float) and np.isnan(x) else x
+def _columns(schema: str) -> tuple[str, ...]:
+    return tuple(field.split(" ")[0] for field in schema.split(", "))
 
 
 class InOrder(StatefulProcessor):
@@ -75,9 +75,9 @@ class InOrder(StatefulProcessor):
         """When, in microseconds, something beside held rows is due."""
         return None
 
-    def _advance(self, key: tuple, fresh: list[tuple], mark_ms: int) -> Iterator[pd.DataFrame]:
+    def _advance(self, key: tuple, fresh: list[tuple], mark_ms: int) -> Iterator[Row]:
         mark = mark_ms * 1000
-        held = list(self._held.get()) if self._held.exists() else []
+        held = list(self._held.get())
         rows = held + fresh
         ready = sorted((r for r in rows if r[0] <= mark), key=lambda r: tuple((v is not None, v) for v in r))
         rest = [r for r in rows if r[0] > mark]
@@ -88,22 +88,25 @@ class InOrder(StatefulProcessor):
                 self._held.clear()
         results = self.fold(key, ready, mark)
         due = [x for x in (min((r[0] for r in rest), default=None), self.due()) if x is not None]
-        for timer in list(self._handle.listTimers()):
-            self._handle.deleteTimer(timer)
-        if due:
-            self._handle.registerTimer(max(-(-min(due) // 1000), mark_ms + 1))
-        if results:
-            columns = zip(*[(*key, *r) for r in results])
-            yield pd.DataFrame({name: pd.Series(list(values), dtype=object) for name, values in zip(self.out, columns)})
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        names = [field.split(" ")[0] for field in self.row.split(", ")]
-        fresh = [tuple(map(_value, r)) for frame in rows for r in zip(*[frame[n].tolist() for n in names])]
+        wanted = [max(-(-min(due) // 1000), mark_ms + 1)] if due else []
+        timers = list(self._handle.listTimers())
+        for timer in timers:
+            if timer not in wanted:
+                self._handle.deleteTimer(timer)
+        for timer in wanted:
+            if timer not in timers:
+                self._handle.registerTimer(timer)
+        for r in results:
+            yield Row(**dict(zip(self.out, (*key, *r))))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        names = _columns(self.row)
+        fresh = [tuple(r[n] for n in names) for r in rows]
         mark_ms = timerValues.getCurrentWatermarkInMs()
         # Spark drops late rows by the watermark of the batch before; those between the two are late as well
         yield from self._advance(key, [r for r in fresh if self.newest(r) > mark_ms * 1000], mark_ms)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         yield from self._advance(key, [], timerValues.getCurrentWatermarkInMs())
 
     def close(self) -> None:
@@ -121,11 +124,7 @@ def timed(rows: DataFrame, delay: str) -> DataFrame:
 def _fold(rows: DataFrame, keys: list[str], machine: InOrder, schema: str, mode: str = "update") -> DataFrame:
     # rows without a key belong to no vehicle
     known = rows.dropna(subset=keys)
-    return known.groupBy(*keys).transformWithStateInPandas(machine, schema, mode, "EventTime")
-
-
-def _columns(schema: str) -> tuple[str, ...]:
-    return tuple(field.split(" ")[0] for field in schema.split(", "))
+    return known.groupBy(*keys).transformWithState(machine, schema, mode, "EventTime")
 
 
 # ---- online and offline
@@ -228,13 +227,18 @@ class Daily(InOrder):
 
     def fold(self, key, rows, mark):
         results = []
+        known = {k[0]: v for k, v in self._days.iterator()}
         for name in sorted({r[2] for r in rows}):
-            old = self._days.getValue((name,)) if self._days.containsKey((name,)) else None
+            old = known.get(name)
             new = self._extended(dict(zip(_NAMES, old)) if old else dict.fromkeys(_NAMES), [r for r in rows if r[2] == name])
-            self._days.updateValue((name,), new)
             results.append((name, *new))
-        ends = {k[0]: v[2] + self.horizon for k, v in self._days.iterator()} if self._days.exists() else {}
-        for name in [n for n, end in ends.items() if end <= mark]:
+        known.update({r[0]: r[1:] for r in results})
+        ends = {name: v[2] + self.horizon for name, v in known.items()}
+        over = [name for name, end in ends.items() if end <= mark]
+        for name, *new in results:
+            if name not in over:
+                self._days.updateValue((name,), tuple(new))
+        for name in over:
             self._days.removeKey((name,))
             del ends[name]
         self._due = min(ends.values(), default=None)
