@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,8 +66,8 @@ class Replay:
 def replay_events(spark: SparkSession, sf: str, path: str, batches: int = BATCHES, jitter: int = 30_000_000, closed: bool = True) -> Replay:
     """The events as micro-batches in time order, neighbours ``jitter`` microseconds into each other.
 
-    A stream that is ``closed`` ends with one more batch: a row of user ``LAST`` a day later, whose only use is to
-    move the watermark past all others.
+    A stream that is ``closed`` ends with two more batches, of a row of user ``LAST`` each: the first one, a day later,
+    moves the watermark past all others, and what is due then comes out with the second.
     """
     events = spark.read.parquet(f"{sf}/events.parquet")
     us = F.unix_micros(F.col("ts").cast("timestamp"))
@@ -78,9 +79,10 @@ def replay_events(spark: SparkSession, sf: str, path: str, batches: int = BATCHE
     part = F.least(F.floor((us - F.lit(low)) * F.lit(count) / F.lit(span)).cast("int"), F.lit(count - 1))
     numbered = events.withColumn("batch", part)
     if closed and rows:
-        given = {"event_id": F.lit(-1), "ts": F.lit(last) + F.expr("INTERVAL 1 DAY"), "user_id": F.lit(LAST), "event_type": F.lit("end"), "props": F.lit("{}")}
-        end = spark.range(1).select(*[given.get(c, F.lit(None)).cast(t).alias(c) for c, t in events.dtypes], F.lit(count).alias("batch"))
-        numbered, count = numbered.unionByName(end), count + 1
+        then = F.lit(last) + F.expr("INTERVAL 1 DAY") + F.make_dt_interval(mins=F.col("id").cast("int"))
+        given = {"event_id": F.lit(-1), "ts": then, "user_id": F.lit(LAST), "event_type": F.lit("end"), "props": F.lit("{}")}
+        end = spark.range(2).select(*[given.get(c, F.lit(None)).cast(t).alias(c) for c, t in events.dtypes], (count + F.col("id")).cast("int").alias("batch"))
+        numbered, count = numbered.unionByName(end), count + 2
     return Replay(numbered, path, count)
 
 
@@ -96,11 +98,25 @@ def _sides(spark, sf):
     return FL._vehicles(spark, sf), FL._rules(spark, sf)
 
 
+@contextmanager
+def without_empty_batches(spark: SparkSession):
+    """Queries started inside give out what is due with their next rows, not with a batch of its own."""
+    setting = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def _run(spark, sf, name: str, build: Callable[[DataFrame], DataFrame], prepare=None, mode: str = "update") -> str:
     """Replay the events through a query; the folder it wrote to."""
     path = scratch_path(spark, name)
     replay = replay_events(spark, sf, path)
-    replay.run(flows.append_changes(build(replay.stream()), f"{path}/out", f"{path}/checkpoint", mode=mode, prepare=prepare))
+    with without_empty_batches(spark):
+        query = flows.append_changes(build(replay.stream()), f"{path}/out", f"{path}/checkpoint", mode=mode, prepare=prepare)
+    replay.run(query)
     return f"{path}/out"
 
 
@@ -211,15 +227,15 @@ def stream_alarm_events(spark, sf):
         return A.publish(stateful.alarm_changes(signals, FL.HALF_DAY, events=True), vehicles, F.timestamp_micros("_seen_us").alias("seen_ts"))
 
     found = read_batches(spark, _run(spark, sf, "alarm-events", detect, mode="append"))
-    # in the order in which they were noticed, and a row of each kind that closes the stream
+    # in the order in which they were noticed, and two rows of each kind that close the stream
     path = scratch_path(spark, "alarm-event-table")
     numbers = found.agg(F.max("batch_id"), F.max("seen_ts")).first()
     count = (numbers[0] or 0) + 1
     rows = found.withColumnRenamed("batch_id", "batch").withColumn("is_end", F.col("end_ts").isNotNull())
-    last = F.lit(numbers[1]) + F.expr(f"INTERVAL {longest}") + F.expr("INTERVAL 1 DAY")
+    last = F.lit(numbers[1]) + F.expr(f"INTERVAL {longest}") + F.expr("INTERVAL 1 DAY") + F.make_dt_interval(mins=F.col("id").cast("int"))
     # no null in what the join compares: such rows never reach the watermark
-    given = {"unid": F.lit("last"), "table_suf": F.lit("last"), "vehicle_id": F.lit(f"V{LAST}"), "seen_ts": last, "batch": F.lit(count)}
-    ends = spark.range(2).select(*[F.col("id").eqNullSafe(1).alias(c) if c == "is_end" else given.get(c, F.lit(None)).cast(t).alias(c) for c, t in rows.dtypes])
+    given = {"unid": F.lit("last"), "table_suf": F.lit("last"), "vehicle_id": F.lit(f"V{LAST}"), "seen_ts": last, "batch": count + F.floor(F.col("id") / 2)}
+    ends = spark.range(4).select(*[(F.col("id") % 2).eqNullSafe(1).alias(c) if c == "is_end" else given.get(c, F.lit(None)).cast(t).alias(c) for c, t in rows.dtypes])
     every = rows.unionByName(ends).withColumn("batch", F.col("batch").cast("int"))
     # empty batches have no folder
     known = [r.batch for r in every.select("batch").distinct().orderBy("batch").collect()]
@@ -227,7 +243,9 @@ def stream_alarm_events(spark, sf):
     replay = Replay(every.withColumn("batch", place[F.col("batch")]), path, len(known))
     begins = replay.stream().filter("NOT is_end").drop("is_end", "end_ts")
     finishes = replay.stream().filter("is_end").select("unid", "end_ts", "table_suf", "seen_ts")
-    replay.run(flows.append_changes(flows.ends_meet_begins(begins, finishes, longest), f"{path}/out", f"{path}/checkpoint", mode="append"))
+    with without_empty_batches(spark):
+        query = flows.append_changes(flows.ends_meet_begins(begins, finishes, longest), f"{path}/out", f"{path}/checkpoint", mode="append")
+    replay.run(query)
     return _out(spark, f"{path}/out").drop("batch_id")
 
 
