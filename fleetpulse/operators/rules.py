@@ -16,6 +16,8 @@ from fleetpulse.functions.predicates import INTERVAL_FIELDS, interval, within
 # Rule types and status codes.
 STATUS_RULE, ALARM_RULE = 1, 2
 OFFLINE, ONLINE, CHARGING = 0, 2, 3
+#: Copies of a model's rule list.
+SALTS = 32
 
 _FIELDS = ("code", "option", "value", "value_last", "status", "remarks", "alarm_level", "alarm_name")
 
@@ -66,24 +68,33 @@ def any_match(index: Column, rules: Column) -> Column:
 
 
 def with_model_rules(records: DataFrame, vehicles: DataFrame, rules: DataFrame) -> DataFrame:
-    """Left-join model and rule list; both stay null for unknown vehicles and models."""
+    """Left-join model and rule list; both stay null for unknown vehicles and models.
+
+    There are few models, so a list has ``SALTS`` copies and a model's records are dealt to them by vehicle.
+    """
     modelled = records.join(vehicles.select("vehicle_id", "fiber_unid"), "vehicle_id", "left")
+    dealt = modelled.withColumn("_salt", F.pmod(F.xxhash64("vehicle_id"), F.lit(SALTS)).cast("int"))
+    copies = rules_by_model(rules).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     # second, so that no vehicle row ever carries its own copy of the list
-    return modelled.join(rules_by_model(rules), "fiber_unid", "left")
+    return dealt.join(copies, ["fiber_unid", "_salt"], "left").drop("_salt")
 
 
 def rule_checks(records: DataFrame, vehicles: DataFrame, rules: DataFrame, complete: bool = False) -> DataFrame:
     """One row per record and rule of its model whose pair is present: ``holds`` tells whether
-    the predicate is true. With ``complete`` only vehicles with position and domain count."""
+    the predicate is true. With ``complete`` only vehicles with position and domain count.
+
+    A record meets rules by model and code, a row for each of its pairs, so no row is made for a rule whose
+    pair the record lacks.
+    """
     dims = vehicles.filter(F.col("fiber_unid").isNotNull())
     if complete:
         dims = dims.dropna(subset=["lat", "lon", "domain_unid"])
-    known = records.join(dims.select("vehicle_id", "fiber_unid"), "vehicle_id")
-    joined = with_pair_index(known).drop("pairs").join(with_intervals(rules), "fiber_unid")
-    value = indexed_number(F.col("_index"), F.col("code"))
-    return (
-        joined.withColumn("pair_value", value)
-        .filter(F.col("pair_value").isNotNull())
-        .withColumn("holds", within(F.col("pair_value"), *[F.col(f) for f in INTERVAL_FIELDS]))
-        .drop("_index", *INTERVAL_FIELDS)
-    )
+    known = with_pair_index(records.join(dims.select("vehicle_id", "fiber_unid"), "vehicle_id"))
+    names, values = F.col("_index.names"), F.col("_index.values")
+    kept = [c for c in known.columns if c not in ("pairs", "_index")]
+    # a name that comes again stands for its first pair
+    firsts = F.filter(F.arrays_zip(names.alias("code"), values.alias("pair_value"), F.sequence(F.lit(1), F.size(names)).alias("at")), lambda p: F.array_position(names, p["code"]) == p["at"])
+    present = known.filter(F.size(names) > 0).select(*kept, F.explode(firsts).alias("_pair"))
+    present = present.select(*kept, F.col("_pair.code").alias("code"), F.col("_pair.pair_value").alias("pair_value"))
+    joined = present.join(with_intervals(rules), ["fiber_unid", "code"])
+    return joined.withColumn("holds", within(F.col("pair_value"), *[F.col(f) for f in INTERVAL_FIELDS])).drop(*INTERVAL_FIELDS)

@@ -580,6 +580,15 @@ def cell_deletes(spark, sf):
     return CE.delete_cells(CE.delete_cells(_cells(spark, sf), rows), families)
 
 
+@query(
+    "cell_deletes_single",
+    CELLS + "SELECT * FROM c WHERE NOT (family = 'view' AND qualifier = 'k3' AND row_key IN (SELECT 'V' || s_suppkey FROM supplier))",
+)
+def cell_deletes_single(spark, sf):
+    single = load(spark, sf, "supplier").select(_text("V", "s_suppkey").alias("row_key"), F.lit("view").alias("family"), F.lit("k3").alias("qualifier"))
+    return CE.delete_cells(_cells(spark, sf), single)
+
+
 @query(
     "wide_unpivot",
     """SELECT o_orderkey, 'o_custkey' AS column_name, o_custkey AS column_value FROM orders

@@ -17,7 +17,7 @@ from fleetpulse.plans.registry import query
 from fleetpulse.sources import adapter
 from fleetpulse.session import scratch_path
 from fleetpulse.sources.sinks import append_batch, read_batches
-from fleetpulse.sources.tables import spread
+from fleetpulse.sources.tables import spread, with_rule_defaults
 
 FLEET = (Q.READINGS, Q.VEHICLES, Q.RULES, Q.CHECKS)
 SECOND_FLEET = (Q.SECOND_READINGS, Q.VEHICLES, Q.RULES, Q.CHECKS)
@@ -190,6 +190,18 @@ def parse_messages(spark, sf):
     )
 
 
+@query(
+    "parse_malformed",
+    Q.with_ctes(Q.SECOND_READINGS, select="SELECT seq, vehicle_id, mileage FROM readings WHERE seq % 13 NOT IN (0, 5, 7)"),
+)
+def parse_malformed(spark, sf):
+    """Messages of which some are cut off, some no JSON and some null: these are left out, the rest is read."""
+    seq, text = F.col("seq"), F.col("str")
+    broken = F.when(seq % 13 == 0, F.substring(text, F.lit(1), F.length(text) - 2)).when(seq % 13 == 5, F.lit("no message")).when(seq % 13 != 7, text)
+    parsed = M.with_vehicle(M.parse_messages(_wire(spark, sf).select("seq", broken.alias("str"))))
+    return M.with_metrics(parsed, "mileage").select("seq", "vehicle_id", "mileage")
+
+
 @query(
     "pair_lookup",
     Q.with_ctes(
@@ -262,6 +274,28 @@ def rule_matches(spark, sf):
     return R.rule_checks(records, vehicles, kept).select("seq", "vehicle_id", "code", "type", "inx", "holds")
 
 
+@query(
+    "rules_as_loaded",
+    Q.with_ctes(
+        Q.READINGS,
+        Q.VEHICLES,
+        Q.RULES.replace("rules AS", "full_rules AS"),
+        """rules AS (SELECT * REPLACE (CASE WHEN inx = 24 THEN '' ELSE code END AS code, CASE WHEN inx % 5 = 0 THEN '=' ELSE option END AS option,
+          CASE WHEN inx % 7 = 0 THEN 0 ELSE value_low END AS value_low, CASE WHEN inx % 3 = 0 THEN 0 ELSE value_last END AS value_last) FROM full_rules)""",
+        Q.CHECKS,
+        select="SELECT seq, vehicle_id, code, type, inx, holds FROM checks WHERE code <> ''",
+    ),
+)
+def rules_as_loaded(spark, sf):
+    """Rules as a table has them, with upper-case names and nulls, matched after their defaults are set."""
+    records, vehicles, rules = _fleet(spark, sf)
+    missing = {"code": F.col("inx") == 24, "option": F.col("inx") % 5 == 0, "value": F.col("inx") % 7 == 0, "value_last": F.col("inx") % 3 == 0}
+    raw = rules.select(*[(F.when(~missing[c], F.col(c)) if c in missing else F.col(c)).alias(c.upper()) for c in rules.columns])
+    kept = with_rule_defaults(raw).filter(F.col("flag_del") == 0)
+    found = R.rule_checks(records, vehicles, kept).filter("code <> ''")
+    return found.select("seq", "vehicle_id", "code", "type", "inx", "holds")
+
+
 @query(
     "record_status",
     Q.with_ctes(*FLEET, Q.STATUS, select="SELECT seq, vehicle_id, coalesce(matched, 2) AS active_status FROM statuses"),

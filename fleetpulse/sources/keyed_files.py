@@ -20,13 +20,13 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("bucket")
 
 
-def upsert(updates: DataFrame, path: str, keys: Sequence[str], order: str, buckets: int = 64, deletes: str | None = None) -> None:
+def upsert(updates: DataFrame, path: str, keys: Sequence[str], order: str, buckets: int = 64) -> None:
     """Bring a table of one row per key up to date: the row with the largest ``order`` of each key stays.
 
     The table is a folder for each bucket of the keys' hash. Only buckets that have updates are read and
     written, as one dynamic partition overwrite; the files of others stay as they are. The order is kept with the rows, so
-    a batch that is applied again, or late, changes nothing. ``deletes`` names a boolean column: a row that has
-    it set removes its key, and stays as a tombstone that ``read`` leaves out. Empty updates change nothing.
+    a batch that is applied again, or late, changes nothing. A key is deleted by a row with a boolean column set, which
+    stays as a tombstone that ``read`` leaves out. Empty updates change nothing.
     """
     spark = updates.sparkSession
     fresh = updates.withColumn("bucket", bucket_of(keys, buckets))
@@ -45,7 +45,7 @@ def upsert(updates: DataFrame, path: str, keys: Sequence[str], order: str, bucke
 
 
 def read(spark: SparkSession, path: str, deletes: str | None = None) -> DataFrame:
-    """The rows of an upserted table."""
+    """The rows of an upserted table; ``deletes`` names the column that marks tombstones."""
     rows = spark.read.parquet(path).drop("bucket")
     return rows if deletes is None else rows.filter(~F.coalesce(F.col(deletes), F.lit(False)))
 
