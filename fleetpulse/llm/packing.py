@@ -22,6 +22,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetpulse.llm.packed import give_back
+
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint"
 #: Bytes of text tokenized at once, and distinct words whose ids a task keeps.
 CHUNK_BYTES = 4 << 20
@@ -144,6 +146,8 @@ def pack(
                     [(k, pa.binary() if k == "ids" else pa.int64()) for k in rows],
                 ),
             )
+        del coder
+        give_back()
 
     own = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     bucket = F.log2("length").cast("int")

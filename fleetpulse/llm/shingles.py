@@ -23,7 +23,7 @@ NAMES = [c.split(" ")[0] for c in ROWS.split(", ")]
 SETS = "doc_id bigint, n_shingles bigint, set_key bigint, tokens binary"
 SINGLE, SEEN, TEXTS, SHARED = 0, 1, 2, 3
 #: Pairs a task holds, bytes of text it splits at once.
-HELD, CHUNK_BYTES = 2_500_000, 2 << 20
+HELD, CHUNK_BYTES = 1_500_000, 2 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
