@@ -41,13 +41,21 @@ def fragments(
     work_gap: str = WORK_GAP,
     mile_cap: float = MILE_CAP,
     slice_width: str = TL.DEFAULT_SLICE,
+    every: str = "1 day",
 ) -> DataFrame:
-    """Summaries per (day, vehicle, slice); ``state`` holds statistics of earlier data."""
-    keys = list(KEYS)
+    """Summaries per (day, vehicle, slice); ``state`` holds statistics of earlier data.
+
+    The input is read once. A slice is summed up without knowing the past: its rows' running
+    highest distance readings are kept as a list (no longer than the slice), and only when
+    the slices of a vehicle-day meet does its first reading say which of them can be believed.
+    A slice also ends where an interval ``every`` ends, whose number is ``flush``.
+    """
+    cut = [*KEYS, "flush", "_slice"]
     order = F.struct("ts", "seq")
     base = rows.select(
         day(F.col("ts")).alias("day"),
         "vehicle_id",
+        TL.slice_number(F.col("ts"), every).alias("flush"),
         TL.slice_number(F.col("ts"), slice_width).alias("_slice"),
         "ts",
         "seq",
@@ -59,61 +67,74 @@ def fragments(
         "charge_status",
         F.col("timestamp").alias("_stat_ts"),
     )
-    # What a slice needs from the past: the day's first distance reading (also when the slice
-    # itself has it), the highest one before, and when the vehicle was last heard of.
-    summary = base.groupBy(*keys, "_slice").agg(
+    window = W.partitionBy(*cut).orderBy("ts", "seq")
+    walked = base.select(
+        "*",
+        F.max("_mile").over(TL.up_to(window)).alias("_high"),
+        (F.col("_us") - F.lag("_us").over(window)).alias("_pause"),
+    )
+
+    def worked(pause):
+        return F.when(pause < micros(work_gap), pause)
+
+    slices = walked.groupBy(*cut).agg(
+        F.min(order).alias("first"),
+        F.max(order).alias("last"),
+        F.min("_us").alias("_from"),
+        F.max("_us").alias("_until"),
+        F.sum(worked(F.col("_pause"))).alias("_inside"),
         F.min_by("_mile", F.when(F.col("_mile").isNotNull(), order)).alias("_first"),
-        F.max("_mile").alias("_mile"),
-        F.max("_us").alias("_us"),
+        F.max("_mile").alias("max_mile"),
+        F.collect_set("_high").alias("_highs"),
+        F.min_by("_energy", F.when(F.col("_energy").isNotNull(), order)).alias("first_energy"),
+        F.max("_energy").alias("max_energy"),
+        F.min_by("_fuel", F.when(F.col("_fuel").isNotNull(), order)).alias("first_fuel"),
+        F.max("_fuel").alias("max_fuel"),
+        F.max_by("_charge_all", F.when(F.col("_charge_all").isNotNull(), order)).alias("charge_all"),
+        F.max_by("charge_status", order).alias("charge_status"),
+        F.max_by("_stat_ts", order).alias("stat_ts"),
     )
     if state is not None:
-        summary = summary.unionByName(
-            state.select(
-                *keys,
-                F.lit(TL.PAST_SLICE).alias("_slice"),
-                F.col("first_mile").alias("_first"),
-                F.col("max_mile").alias("_mile"),
-                F.unix_micros("last.ts").alias("_us"),
-            )
+        past = state.select(
+            *KEYS,
+            F.lit(TL.PAST_SLICE).alias("flush"),
+            F.lit(TL.PAST_SLICE).alias("_slice"),
+            F.col("first_mile").alias("_first"),
+            "max_mile",
+            F.unix_micros("last.ts").alias("_until"),
         )
-    slices = W.partitionBy(*keys).orderBy("_slice")
-    headers = summary.select(
-        *keys,
-        "_slice",
-        F.first("_first", ignorenulls=True).over(TL.up_to(slices)).alias("_first"),
-        F.max("_mile").over(TL.before(slices)).alias("_mile"),
-        F.max("_us").over(TL.before(slices)).alias("_us"),
+        slices = slices.unionByName(past, allowMissingColumns=True)
+    # Slices of a vehicle-day are bounded by the day.
+    days = W.partitionBy(*KEYS).orderBy("flush", "_slice")
+    linked = slices.select(
+        "*",
+        F.first("_first", ignorenulls=True).over(TL.up_to(days)).alias("first_mile"),
+        F.max("max_mile").over(TL.before(days)).alias("_high"),
+        (F.col("_from") - F.max("_until").over(TL.before(days))).alias("_pause"),
     ).filter(F.col("_slice") > F.lit(TL.PAST_SLICE))
 
-    window = TL.slice_window(keys, ["ts", "seq"])
-    walked = TL.with_headers(base, headers).select(
-        "*",
-        F.max("_first").over(TL.up_to(window)).alias("_start"),
-        F.max("_mile").over(TL.up_to(window)).alias("_high"),
-        F.lag("_us").over(window).alias("_prev_us"),
-    )
-    gap = F.col("_us") - F.col("_prev_us")
-    distance = F.col("_high") - F.col("_start")
-    is_row = F.col("_head") == 1
-    return (
-        walked.filter(is_row)
-        .groupBy(*keys, "_slice")
-        .agg(
-            F.min(order).alias("first"),
-            F.max(order).alias("last"),
-            F.coalesce(F.sum(F.when(gap < micros(work_gap), gap)), F.lit(0)).alias("work_us"),
-            F.max("_start").alias("first_mile"),
-            F.max("_mile").alias("max_mile"),
-            F.max(F.when((distance > 0) & (distance < mile_cap), distance)).alias("mile_count"),
-            F.min_by("_energy", F.when(F.col("_energy").isNotNull(), order)).alias("first_energy"),
-            F.max("_energy").alias("max_energy"),
-            F.min_by("_fuel", F.when(F.col("_fuel").isNotNull(), order)).alias("first_fuel"),
-            F.max("_fuel").alias("max_fuel"),
-            F.max_by("_charge_all", F.when(F.col("_charge_all").isNotNull(), order)).alias("charge_all"),
-            F.max_by("charge_status", order).alias("charge_status"),
-            F.max_by("_stat_ts", order).alias("stat_ts"),
-        )
-        .drop("_slice")
+    def believed(high):
+        distance = high - F.col("first_mile")
+        return (high >= F.coalesce("_high", high)) & (distance > 0) & (distance < mile_cap)
+
+    highs = F.filter(F.array_append("_highs", F.col("_high")), believed)
+    zero = F.lit(0).cast("bigint")
+    return linked.select(
+        *KEYS,
+        "flush",
+        "first",
+        "last",
+        (F.coalesce("_inside", zero) + F.coalesce(worked(F.col("_pause")), zero)).alias("work_us"),
+        "first_mile",
+        "max_mile",
+        (F.array_max(highs) - F.col("first_mile")).alias("mile_count"),
+        "first_energy",
+        "max_energy",
+        "first_fuel",
+        "max_fuel",
+        "charge_all",
+        "charge_status",
+        "stat_ts",
     )
 
 
@@ -181,13 +202,12 @@ def daily_stats(rows: DataFrame, **options) -> DataFrame:
 def daily_flushes(rows: DataFrame, every: str = "5 minutes", **options) -> DataFrame:
     """The running statistic of a vehicle-day at the end of each flush interval in which it
     reported, with the working time added since its previous flush (``work_delta_ms``)."""
-    frags = fragments(rows, slice_width=every, **options)
-    # Fragments of a vehicle-day are bounded by the flush intervals of a day.
-    window = TL.up_to(W.partitionBy(*KEYS).orderBy("first"))
-    flush_no = TL.slice_number(F.col("first.ts"), every) + F.lit(1)
+    frags = fragments(rows, every=every, **options).groupBy(*KEYS, "flush").agg(*_merged())
+    # A vehicle-day has at most as many of these as a day has flush intervals.
+    window = TL.up_to(W.partitionBy(*KEYS).orderBy("flush"))
     running = frags.select(
         *KEYS,
-        F.timestamp_micros(flush_no * F.lit(micros(every))).alias("flush_ts"),
+        F.timestamp_micros((F.col("flush") + F.lit(1)) * F.lit(micros(every))).alias("flush_ts"),
         F.floor(F.col("work_us") / 1000).cast("bigint").alias("work_delta_ms"),
         *_merged(window),
     )

@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import models
+from fleetpulse.functions import messages as M
 from fleetpulse.functions.times import micros
 from fleetpulse.operators import alarms as A
 from fleetpulse.operators import charging as C
@@ -118,6 +119,23 @@ def test_flushes_end_in_the_daily_row(spark):
         assert deltas[key] == row.work_time_ms
 
 
+@pytest.mark.parametrize("every", ["1 hour", "1 day", "25 minutes"])
+def test_flush_interval_and_slice_width_are_apart(spark, every):
+    df = frame(spark, random_daily(11))
+    want = sorted(D.daily_flushes(df, every=every, slice_width="1 day").collect())
+    for width in ("10 minutes", "7 hours"):
+        assert sorted(D.daily_flushes(df, every=every, slice_width=width).collect()) == want
+
+
+@pytest.mark.parametrize("cut", [100, 250])
+def test_statistics_go_on_from_stored_ones(spark, cut):
+    rows = random_daily(12)
+    state = D.merge(D.fragments(frame(spark, rows[:cut])))
+    later = D.fragments(frame(spark, rows[cut:]), state=state)
+    got = D.report(D.merge(state.unionByName(later.drop("flush")))).collect()
+    assert sorted(got) == sorted(D.daily_stats(frame(spark, rows)).collect())
+
+
 def test_mile_aggregate_and_hours(spark):
     rows = trace([10.0, 30.0, 15.0]) + trace([7.0], vehicle="V2")
     got = {r.vehicle_id: r for r in D.mile_aggregate(frame(spark, rows)).collect()}
@@ -357,8 +375,17 @@ def test_hot_vehicle_is_split(spark):
     """No row-level exchange or window may group by the vehicle alone."""
     rows = frame(spark, trace([1.0]))
     plan = D.fragments(rows)._jdf.queryExecution().executedPlan().toString()
-    row_windows = [line for line in plan.splitlines() if "Window [" in line and "_prev_us" in line]
+    row_windows = [line for line in plan.splitlines() if "Window [" in line and "lag(" in line]
     assert row_windows and all("_slice" in line for line in row_windows)
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert len(exchanges) == 2 and sum("_slice" in line for line in exchanges) == 1
+
+
+def test_daily_reads_and_parses_once(spark):
+    text = F.concat(F.lit('{"vehicle_id": "V1", "mileage": "'), F.col("id"), F.lit('"}'))
+    raw = spark.range(9).select(text.alias("str"), F.col("id").alias("seq"))
+    plan = D.daily_stats(D.readings(M.parse_messages(raw)))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (") == 1 and plan.count("Exchange") == 2
 
 
 def test_episode_rows_are_exchanged_once_per_slice(spark):
