@@ -1,9 +1,9 @@
 """License scans: an exact set-similarity join with license templates, in DataFrame functions only.
 
 Two things are found. Base phrases are counted word by word. Beyond them, every block of a text whose
-words contain at least ``threshold`` of a template's words gets the template's label. A block is a line, or,
-so that notices wrapped over lines are found too, a window of words over line breaks that is a quarter and a
-word longer than the template:
+words contain at least ``threshold`` of a template's words gets the template's label. A block is a window of
+words, a quarter and a word longer than the template, wherever lines end: notices wrapped over lines are found,
+and words of a template scattered over a long line are none:
 
 * the templates' words are ordered by how many documents hold them, over the whole table, rarest first;
 * a block that reaches the threshold shares one of the first words (the prefix) of the template, so only
@@ -12,9 +12,8 @@ word longer than the template:
   common one on both sides (position); what remains is verified.
 
 Windows are cut from spans of twice the widest window that overlap by half, so each lies in one span and a
-text of several lines is held twice at most; a span passes the same filters before its windows are looked at.
-A window inside one line adds nothing to its line, so texts of one line have no spans. The SQL knows lines
-only: it gives the same rows unless a notice is wrapped.
+text is held twice at most; a span passes the same filters before its windows are looked at. The SQL starts a
+window at every word of a template.
 
 Templates are parameters, so their tables are small whatever the size of the corpus. Texts are read
 twice, once to count words and once to match, and never shuffled.
@@ -134,9 +133,8 @@ def scan(
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     lowered = F.lower(text)
     wanted = F.array(*[F.lit(w) for w in prefixes])
-    lines = F.filter(F.split(lowered, "\n"), lambda line: F.arrays_overlap(F.split(line, GAPS), wanted))
-    wrapped = F.contains(lowered, F.lit("\n")) & F.arrays_overlap(F.split(lowered, GAPS), wanted)
-    spans = F.when(wrapped, _spans(lowered, max(widths.values()), wanted)).otherwise(F.array().cast("array<string>"))
+    hopeful = F.arrays_overlap(F.split(lowered, GAPS), wanted)
+    spans = F.when(hopeful, _spans(lowered, max(widths.values()), wanted)).otherwise(F.array().cast("array<string>"))
     none = F.array().cast("array<struct<at: bigint, label: string>>")
     base = F.when(F.contains(lowered, F.lit("license")), _places(lowered)).otherwise(none)
     own = stored(
@@ -145,27 +143,24 @@ def scan(
             F.xxhash64(text).alias("_mark"),
             F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("n_words"),
             base.alias("_base"),
-            lines.alias("_lines"),
             spans.alias("_spans"),
         ),
         "licenses",
     )
-    marked = lambda blocks, whole: F.transform(blocks, lambda x: F.struct(x.alias("text"), F.lit(whole).alias("whole")))
-    blocks = own.select("doc_id", "_mark", F.posexplode(F.concat(marked("_lines", True), marked("_spans", False))).alias("_k", "_block")).distinct()
-    listed = blocks.select("doc_id", "_mark", "_k", "_block.whole", _words(F.col("_block.text")).alias("_in"))
+    blocks = own.select("doc_id", "_mark", F.posexplode("_spans").alias("_k", "_span")).distinct()
+    listed = blocks.select("doc_id", "_mark", "_k", _words(F.col("_span")).alias("_in"))
     sets = listed.withColumn("_set", F.array_distinct("_in"))
     pieces = sets.select("*", F.explode("_set").alias("_word"))
     met = pieces.join(F.broadcast(order), F.col("_word") == F.col("word"))
     # the first common word in the template's order decides the pair; position: the rest must suffice
     possible = met.filter((F.size("_set") >= F.col("need")) & (F.col("size") - F.col("at") >= F.col("need")))
-    kept = ("whole", "_in", "_set", "words", "size", "need", "width")
+    kept = ("_in", "_set", "words", "size", "need", "width")
     pairs = possible.groupBy("doc_id", "_mark", "_k", "label").agg(*[F.first(c).alias(c) for c in kept], F.min("at").alias("at"))
     rest = F.slice("words", F.col("at") + 1, F.col("size"))
-    enough = pairs.select("*", rest.alias("_rest"), F.size(F.array_intersect("_set", rest)).alias("held")).filter("held >= need")
+    enough = pairs.select("*", rest.alias("_rest")).filter(F.size(F.array_intersect("_set", rest)) >= F.col("need"))
     starts = F.sequence(F.lit(1), F.greatest(F.size("_in") - F.col("width") + 1, F.lit(1)))
     window = F.array_max(F.transform(starts, lambda s: F.size(F.array_intersect(F.slice("_in", s, F.col("width")), F.col("_rest")))))
-    common = F.when(F.col("whole"), F.col("held")).otherwise(window)
-    verified = enough.select("doc_id", "_mark", "label", "size", "need", common.alias("common")).filter("common >= need")
+    verified = enough.select("doc_id", "_mark", "label", "size", "need", window.alias("common")).filter("common >= need")
     labelled = verified.groupBy(F.col("doc_id").alias("_doc"), F.col("_mark").alias("_m")).agg(
         F.collect_set("label").alias("_labels"), F.max(F.col("common") / F.col("size")).alias("_score")
     )
@@ -186,7 +181,7 @@ def scan(
 
 
 def sql(threshold: float = 0.9) -> str:
-    values = ", ".join(f"('{label}', list_distinct(string_split('{sentence}', ' ')))" for label, sentence in TEMPLATES.items())
+    values = ", ".join(f"('{label}', list_distinct(string_split('{sentence}', ' ')), {window_width(sentence)})" for label, sentence in TEMPLATES.items())
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lower(coalesce(text, '')) AS t FROM documents),
@@ -197,9 +192,11 @@ p AS (SELECT rid, CASE WHEN ws[i - 1] = 'mit' AND i > 1 THEN i - 2 WHEN ws[i - 1
   CASE WHEN ws[i - 1] = 'mit' AND i > 1 THEN 'mit' WHEN ws[i - 1] = 'apache' AND i > 1 THEN 'apache'
     WHEN ws[i - 1] = 'public' AND i > 2 AND ws[i - 2] = 'general' THEN 'gpl' END AS label FROM h WHERE ws[i] = 'license'),
 b AS (SELECT rid, count(*) AS n, min(a) AS first_word, max(a) AS last_word, list(DISTINCT label) AS labels FROM p WHERE a IS NOT NULL GROUP BY rid),
-s AS (SELECT label, tw, len(tw) AS size FROM (VALUES {values}) x(label, tw)),
-l AS (SELECT rid, list_distinct(regexp_extract_all(line, '{word}')) AS bw FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM d)),
-m AS (SELECT rid, label, len(list_intersect(bw, tw)) AS common, size FROM l, s WHERE len(list_intersect(bw, tw)) >= ceil(size * {threshold}::DOUBLE - 1e-9)),
+s AS (SELECT label, unnest(tw) AS x, len(tw) AS size, width FROM (VALUES {values}) x(label, tw, width)),
+u AS (SELECT rid, unnest(ws) AS x, generate_subscripts(ws, 1) AS i FROM w),
+k AS (SELECT rid, label, size, count(DISTINCT x) OVER (PARTITION BY rid, label ORDER BY i RANGE BETWEEN CURRENT ROW AND width - 1 FOLLOWING) AS common
+  FROM u JOIN s USING (x)),
+m AS (SELECT rid, label, common, size FROM k WHERE common >= ceil(size * {threshold}::DOUBLE - 1e-9)),
 o AS (SELECT rid, list(DISTINCT label) AS labels, max(common::DOUBLE / size) AS score FROM m GROUP BY rid)
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(b.n, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
   coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,

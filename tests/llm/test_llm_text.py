@@ -107,16 +107,22 @@ of this software and associated documentation files (the "Software"), to deal\ni
     gpl = """dnl you can redistribute it and/or modify\ndnl it under the terms of the GNU General Public License as published by
 dnl the Free Software Foundation"""
     apache = """you may not use this file except in compliance with the License.\n    You may obtain a copy of the License at\n"""
+    prose = """this story is about the public park and a free concert that was released into the city domain by a software firm"""
     filler = " ".join(f"w{i}" for i in range(997))
     words = licenses.TEMPLATES["bsd"].split(" ")
     apart = "\n".join(f"{w} {' '.join(f'x{i}' for i in range(9))}" for w in words)
-    rows = [(1, mit), (2, bsd), (3, isc), (4, gpl), (5, apache), (7, apart), (8, "\n".join(words)), (9, "\n".join(words[:14])), (10, "\n\n")]
+    rows = [(1, mit), (2, bsd), (3, isc), (4, gpl), (5, apache), (7, apart), (8, "\n".join(words)), (9, "\n".join(words[:14])), (10, "\n\n"), (11, prose)]
+    # line ends decide nothing
+    rows += [(50 + i, t.replace("\r", " ").replace("\n", " ")) for i, t in rows if i < 50]
     rows += [(100 + k, f"{filler[: k * 9]}\n{filler}\n{bsd}\n{filler}") for k in range(0, 60, 7)]  # wherever a span begins
     docs = spark.createDataFrame([(i, t) for i, t in rows], "doc_id bigint, text string")
     found = {r["doc_id"]: r for r in licenses.scan(docs).collect()}
     assert len(found) == len(rows)
+    want = {1: "mit-terms", 2: "bsd", 3: "isc", 4: "gpl,gpl-terms", 5: "apache-2.0-terms", 7: "", 8: "bsd", 9: "", 10: "", 11: ""}
     got = {i: r["labels"] for i, r in found.items() if i < 100}
-    assert got == {1: "mit-terms", 2: "bsd", 3: "isc", 4: "gpl,gpl-terms", 5: "apache-2.0-terms", 7: "", 8: "bsd", 9: "", 10: ""}
+    assert got == want | {50 + i: labels for i, labels in want.items()}
+    plain = docs.selectExpr("doc_id", "text", "'en' AS lang", "'a' AS source")
+    against_sql(licenses.scan(plain), plain, licenses.sql())
     assert found[1]["score"] == 1 and found[2]["score"] == 1 and found[7]["score"] == 0
     assert all(r["labels"] == "bsd" for i, r in found.items() if i >= 100)
 
