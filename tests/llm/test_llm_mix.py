@@ -1,12 +1,14 @@
 """Mixing, packing and pages."""
 
+import time
 import zlib
 from collections import defaultdict
 
 import pytest
 from llm_fixtures import documents, empty, texts
+from pyspark.sql import functions as F
 
-from fleetpulse.llm import extraction, mixing, packing
+from fleetpulse.llm import extraction, mixing, packing, pagetext
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
@@ -125,6 +127,49 @@ def test_pages_keep_the_whole_article(spark):
     assert found == {k: whole for k in range(1, 8)}
 
 
+def test_pages_named_like_something_else(spark):
+    parts = "<p>%s</p>" % ("long text " * 40)
+    title, whole = "<h1>Title</h1>", "Title\n\n" + ("long text " * 40).strip()
+    comments = '<div class="comments"><h1>Readers</h1><p>%s</p></div>' % ("my view " * 200)
+    bodies = [
+        f'<div class="news-alert">{title}{parts}</div><div class="site-footer">imprint</div>',
+        f'<article class="post social">{title}{parts}<div class="share">Share this</div></article>{comments}',
+        f"<article><header><nav>menu</nav>{title}<p>By somebody</p></header>{parts}</article>",
+        f'<header>{title.replace("Title", "Site")}</header><main><article><header>{title}</header>{parts}</article></main>',
+        f'<div class="post">{title}{parts}</div><div class="promo"><p>{"buy now " * 200}</p></div>',
+        f'<div id="banner"><div class="alert">{title}{parts}<form>name</form></div></div>',
+    ]
+    rows = [(i, f"http://{i}.example/", f"<html><body>{body}</body></html>") for i, body in enumerate(bodies)]
+    found = dict(texts(extraction.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")), "page_id", "text"))
+    assert found == dict.fromkeys(range(len(bodies)), whole)
+
+
+def test_deeply_nested_page():
+    begin = time.monotonic()
+    page = pagetext.Page("<p>start</p>" + '<div class="w-1/2">' * 20000 + "deep" + "</div>" * 20000 + "<b>end")
+    path, held = page.best()
+    assert (path, held) == ("", 12) and page.text(path) == "start\n\ndeep\n\nend"
+    assert page.text("/div.w-#/#") == page.text("/div.w-#/#" * 20000) == "deep" and page.text("/div") is None
+    assert time.monotonic() - begin < 5
+
+
+def test_votes_equal_a_count_by_hand(spark):
+    kinds = ["<article>%s</article>", '<div class="post-%d">%%s</div>', "%s", "<main><p>x<article>%s</article></main>"]
+    rows = []
+    for i in range(60):
+        kind = kinds[i * i % 7 % 4]
+        rows.append((i, f"http://h{i % 5}.example/{i}", "<body>" + (kind % i if "%d" in kind else kind) % ("text " * (i % 6)) + "</body>"))
+    votes = defaultdict(lambda: [0, 0])
+    for i, _, source in rows:
+        path, held = pagetext.Page(source).best()
+        if held:
+            votes[f"h{i % 5}.example", path][0] += 1
+            votes[f"h{i % 5}.example", path][1] += held
+    want = {h: min((-n, -c, p) for (host, p), (n, c) in votes.items() if host == h)[2] for h in {h for h, _ in votes}}
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("host", extraction.host_of(F.col("url")))
+    assert dict(texts(extraction.winning_paths(pages), "_host", "path")) == want
+
+
 def test_pages_follow_their_host(spark):
     short = '<html><body class="page-3"><div class="col-9"><div class="post-body"><p>Hi.</p></div></div><div class="x">Unmarked text that is longer than the article is</div></body></html>'
     rows = [(i, "http://user@H.example:80/p?x", PAGE % (i, i)) for i in range(5)]
