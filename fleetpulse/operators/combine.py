@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from abc import ABC, abstractmethod
 from collections.abc import Callable, Iterator, Sequence
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -36,7 +35,7 @@ class Combiner(ABC):
 
 
 def _known(values: tuple) -> tuple:
-    return tuple(None if isinstance(v, float) and v != v else v for v in values)
+    return tuple(None if v is pd.NaT or isinstance(v, float) and v != v else v for v in values)
 
 
 def _partials(keys: list[str], combiner: Combiner) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
@@ -52,14 +51,37 @@ def _partials(keys: list[str], combiner: Combiner) -> Callable[[Iterator[pd.Data
     return run
 
 
-def _merge(names: list[str], combiner: Combiner) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
-    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        states = (_known(s) for s in zip(*[frame[c].tolist() for c in combiner.columns()]))
-        return pd.DataFrame([(*key, *reduce(combiner.combine, states))], columns=names, dtype=object)
+def _merge(names: list[str], combiner: Combiner) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """One state per key of rows sorted by key; a key may go on in the next Arrow batch."""
+    columns = [*names, *combiner.columns()]
+
+    def run(frames):
+        key, state = None, None
+        for frame in frames:
+            done = []
+            for row in zip(*[frame[c].tolist() for c in columns]):
+                row = _known(row)
+                own, new = row[: len(names)], row[len(names) :]
+                if state is not None and own == key:
+                    state = combiner.combine(state, new)
+                    continue
+                if state is not None:
+                    done.append((*key, *state))
+                key, state = own, new
+            yield pd.DataFrame(done, columns=columns, dtype=object)
+        if state is not None:
+            yield pd.DataFrame([(*key, *state)], columns=columns, dtype=object)
 
     return run
 
 
+def _merged(states: DataFrame, names: list[str], combiner: Combiner) -> DataFrame:
+    """The states of each key in one; keys are runs of sorted partitions, so a key costs no call of its own."""
+    kinds = dict(states.dtypes)
+    schema = ", ".join([*(f"`{n}` {kinds[n]}" for n in names), combiner.state])
+    return states.repartition(*names).sortWithinPartitions(*names).mapInPandas(_merge(names, combiner), schema)
+
+
 def aggregate(df: DataFrame, keys: Sequence[str], combiner: Combiner, columns: Sequence[str], width: int = 16) -> DataFrame:
     """The keys and the combined state of each key's rows; ``columns`` are what ``init`` reads.
 
@@ -74,10 +96,8 @@ def aggregate(df: DataFrame, keys: Sequence[str], combiner: Combiner, columns: S
     schema = f"{key_schema}, {combiner.state}"
     read = df.select(*keys, *[c for c in columns if c not in keys])
     first = read.mapInPandas(_partials(keys, combiner), schema)
-    names = [*keys, "_part"]
     parted = first.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(width)))
-    some = parted.groupBy(*names).applyInPandas(_merge([*names, *combiner.columns()], combiner), f"{key_schema}, _part int, {combiner.state}")
-    return some.drop("_part").groupBy(*keys).applyInPandas(_merge([*keys, *combiner.columns()], combiner), schema)
+    return _merged(_merged(parted, [*keys, "_part"], combiner), keys, combiner)
 
 
 class Distance(Combiner):

@@ -42,6 +42,26 @@ def test_a_users_combiner(spark):
     assert Longest().zero() == (None, None)
 
 
+def test_a_combiners_key_costs_no_call_of_its_own(spark):
+    """Keys are merged as runs of sorted partitions, also where an Arrow batch ends within a key."""
+    class Number(combine.Combiner):
+        state = "n bigint"
+
+        def init(self, row):
+            return (1,)
+
+        def combine(self, one, other):
+            return (one[0] + other[0],)
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        found = combine.aggregate(spark.range(0, 400, 1, 8).selectExpr("id % 7 AS k", "id AS t"), ["k"], Number(), ["t"], width=2)
+        assert rows(found) == [(k, 58 if k == 0 else 57) for k in range(7)]
+        assert "GroupsInPandas" not in found._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_distances_equal_the_builtin_aggregate(spark):
     rng = random.Random(2)
     trace = [(rng.choice(["HOT"] * 5 + ["V1", "V2"]), models.at(rng.randrange(5000)), i, rng.choice([None, 1.25, rng.random() * 100]), None, None) for i in range(400)]
