@@ -39,7 +39,10 @@ class Replay:
 
     def __init__(self, rows: DataFrame, path: str, batches: int):
         self._spark, self._path, self._batches = rows.sparkSession, path, batches
-        rows.write.partitionBy("batch").parquet(f"{path}/staged")
+        # a file is read by one task, so each batch has one for every core, whatever the row groups of the source
+        files = self._spark.sparkContext.defaultParallelism
+        dealt = rows.withColumn("_file", F.pmod(F.xxhash64(*rows.columns), F.lit(files)))
+        dealt.repartition(max(1, batches) * files, "batch", "_file").drop("_file").write.partitionBy("batch").parquet(f"{path}/staged")
         self._schema = rows.drop("batch").schema
         self._fs_call("mkdirs", "in")
 

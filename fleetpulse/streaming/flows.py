@@ -74,8 +74,17 @@ def flushed_last(rows: DataFrame, every: str, delay: str, *columns: str) -> Data
 
 
 def state_of(spark: SparkSession, checkpoint: str, **options) -> DataFrame:
-    """The rows a query's state holds, as of its last committed batch, also while the query runs."""
-    return spark.read.format("statestore").options(**options).load(checkpoint)
+    """The rows a query's state holds, as of its last committed batch, also while the query runs.
+
+    What a machine's keys keep is given out by key: ``kept`` has the texts of the key and the values, ``key`` the
+    vehicle and, for ``days``, ``user_map_key`` the day.
+    """
+    found = spark.read.format("statestore").options(**options).load(checkpoint)
+    if options.get("stateVarName") not in ("days", "last", "open"):
+        return found
+    rows = found.withColumn("kept", F.explode(F.from_json("value.rows", "array<array<string>>"))).drop("value")
+    named = rows.withColumn("key", F.struct(F.col("kept")[0].alias("vehicle_id")))
+    return named.withColumn("user_map_key", F.struct(F.col("kept")[1].alias("day"))) if options["stateVarName"] == "days" else named
 
 
 def live_counts(spark: SparkSession, checkpoint: str, **options) -> DataFrame:

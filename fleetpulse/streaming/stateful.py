@@ -2,10 +2,12 @@
 
 ``InOrder`` is a stateful processor that holds a key's rows until the watermark has passed them and then folds them
 in time order, so results do not depend on how rows are cut into batches or on their order within the
-watermark's delay. Each key has one timer: the moment at which something it holds is due. A batch touches
-the state of its own keys and of keys whose timer is due; nothing else is read or written. Rows that are behind
-the watermark when they come are dropped: by the machine in the batch after the one that moved the watermark, later by
-Spark, which counts them in the query's progress (``late_rows``).
+watermark's delay. A call to the state store takes about half a millisecond from Python, so keys are dealt to ``BUCKETS``
+buckets by hash, and a bucket reads and writes what it keeps in one call per variable. Each bucket has one timer: the
+moment at which something of its keys is due. A batch touches the state of the buckets of its own keys and of those
+whose timer is due; nothing else is read or written. Rows that are behind the watermark when they come are dropped:
+by the machine in the batch after the one that moved the watermark, later by Spark, which counts them in the query's
+progress (``late_rows``).
 
 A watermark belongs to the whole stream, so rows that are more than ``AHEAD`` in front of the clock are taken out
 before it (``plausible``): a wrong clock of one vehicle cannot make the rows of others late.
@@ -15,7 +17,9 @@ State lives in RocksDB with changelog checkpoints (see ``session.SQL_SETTINGS``)
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -30,6 +34,8 @@ from fleetpulse.operators import charging as C
 from fleetpulse.operators import daily as D
 
 AHEAD = "1 day"
+#: Buckets of a machine's keys. A batch that has one of a bucket's keys rewrites what the bucket keeps.
+BUCKETS = 1024
 
 
 def plausible(rows: DataFrame, ts: str = "ts") -> DataFrame:
@@ -46,22 +52,46 @@ def _columns(schema: str) -> tuple[str, ...]:
     return tuple(field.split(" ")[0] for field in schema.split(", "))
 
 
+class Kept(dict):
+    """What a bucket's keys keep in a state variable: ``(*key, *more) -> values``, stored as JSON rows of both."""
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str, width: int):
+        super().__init__()
+        self._state, self._width = handle.getValueState(name, "rows string"), width
+
+    def load(self) -> None:
+        stored = self._state.get()
+        self.clear()
+        for row in json.loads(stored[0]) if stored is not None else ():
+            self[tuple(row[: self._width])] = tuple(row[self._width :])
+        self._before = dict(self)
+
+    def save(self) -> None:
+        if self and self != self._before:
+            self._state.update((json.dumps([(*k, *v) for k, v in self.items()]),))
+        elif self._before and not self:
+            self._state.clear()
+
+
 class InOrder(StatefulProcessor):
     """Folds each key's rows in order of their first columns, once the watermark has passed them.
 
-    ``row`` is the schema of a held row and starts with ``us bigint``; ``out`` lists the columns of results.
+    ``keys`` is the number of key columns, which are numbers or texts; ``row`` is the schema of a held row and starts
+    with ``us bigint``; ``out`` lists the columns of results. What keys keep is in the variables of ``kept``.
     """
 
+    keys = 1
     row: str
     out: tuple[str, ...]
+    kept: list[Kept]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        self._held = handle.getListState("held", self.row)
+        self._held = handle.getValueState("held", "rows string")
         self.open(handle)
 
     def open(self, handle: StatefulProcessorHandle) -> None:
-        """Declare further state."""
+        """Declare ``kept``."""
 
     def newest(self, row: tuple) -> int:
         """The time by which a row is late."""
@@ -71,24 +101,44 @@ class InOrder(StatefulProcessor):
         """Results of rows that are due, in order; ``mark`` is the watermark in microseconds."""
         raise NotImplementedError
 
-    def due(self) -> int | None:
-        """When, in microseconds, something beside held rows is due."""
-        return None
-
-    def _advance(self, key: tuple, fresh: list[tuple], mark_ms: int) -> Iterator[Row]:
-        mark = mark_ms * 1000
-        held = list(self._held.get())
-        rows = held + fresh
-        ready = sorted((r for r in rows if r[0] <= mark), key=lambda r: tuple((v is not None, v) for v in r))
-        rest = [r for r in rows if r[0] > mark]
+    def dues(self) -> Iterator[tuple[tuple, int]]:
+        """Keys and when, in microseconds, something they keep is due."""
+        return iter(())
+
+    def forget(self, mark: int) -> None:
+        """Drop what is over without a result."""
+
+    def _advance(self, fresh: list[tuple], mark_ms: int) -> Iterator[Row]:
+        mark, n = mark_ms * 1000, self.keys
+        stored = self._held.get()
+        held = json.loads(stored[0]) if stored is not None else []
+        ready: dict[tuple, list] = {}
+        rest = []
+        for r in chain(held, fresh):
+            if r[n] <= mark:
+                ready.setdefault(tuple(r[:n]), []).append(tuple(r[n:]))
+            else:
+                rest.append(r)
         if len(rest) != len(held) or fresh:
             if rest:
-                self._held.put(rest)
+                self._held.update((json.dumps(rest),))
             elif held:
                 self._held.clear()
-        results = self.fold(key, ready, mark)
-        due = [x for x in (min((r[0] for r in rest), default=None), self.due()) if x is not None]
-        wanted = [max(-(-min(due) // 1000), mark_ms + 1)] if due else []
+        for variable in self.kept:
+            variable.load()
+        for key, due in self.dues():
+            if due <= mark:
+                ready.setdefault(key, [])
+        results = []
+        for key, rows in ready.items():
+            if len(rows) > 1:
+                rows.sort(key=lambda r: tuple((v is not None, v) for v in r))
+            results += [(*key, *r) for r in self.fold(key, rows, mark)]
+        self.forget(mark)
+        for variable in self.kept:
+            variable.save()
+        due = min(chain((r[n] for r in rest), (due for _, due in self.dues())), default=None)
+        wanted = [] if due is None else [max(-(-due // 1000), mark_ms + 1)]
         timers = list(self._handle.listTimers())
         for timer in timers:
             if timer not in wanted:
@@ -97,17 +147,17 @@ class InOrder(StatefulProcessor):
             if timer not in timers:
                 self._handle.registerTimer(timer)
         for r in results:
-            yield Row(**dict(zip(self.out, (*key, *r))))
+            yield Row(**dict(zip(self.out, r)))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        names = _columns(self.row)
-        fresh = [tuple(r[n] for n in names) for r in rows]
+        # the columns of ``_fold``: the time, the bucket, the keys and the row
+        fresh = [tuple(r)[2:] for r in rows]
         mark_ms = timerValues.getCurrentWatermarkInMs()
         # Spark drops late rows by the watermark of the batch before; those between the two are late as well
-        yield from self._advance(key, [r for r in fresh if self.newest(r) > mark_ms * 1000], mark_ms)
+        yield from self._advance([r for r in fresh if self.newest(r[self.keys :]) > mark_ms * 1000], mark_ms)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        yield from self._advance(key, [], timerValues.getCurrentWatermarkInMs())
+        yield from self._advance([], timerValues.getCurrentWatermarkInMs())
 
     def close(self) -> None:
         pass
@@ -124,7 +174,9 @@ def timed(rows: DataFrame, delay: str) -> DataFrame:
 def _fold(rows: DataFrame, keys: list[str], machine: InOrder, schema: str, mode: str = "update") -> DataFrame:
     # rows without a key belong to no vehicle
     known = rows.dropna(subset=keys)
-    return known.groupBy(*keys).transformWithState(machine, schema, mode, "EventTime")
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int").alias("_bucket")
+    dealt = known.select("ts", bucket, *keys, *_columns(machine.row))
+    return dealt.groupBy("_bucket").transformWithState(machine, schema, mode, "EventTime")
 
 
 # ---- online and offline
@@ -145,13 +197,14 @@ class Presence(InOrder):
         self.limit = limit
 
     def open(self, handle):
-        self._last = handle.getValueState("last", "us bigint")
+        self._last = Kept(handle, "last", self.keys)
+        self.kept = [self._last]
 
     def newest(self, row):
         return row[1]
 
     def fold(self, key, rows, mark):
-        before = last = self._last.get()[0] if self._last.exists() else None
+        (last,) = self._last.pop(key, (None,))
         changes = []
         for start, end in rows:
             if last is not None and start - last > self.limit:
@@ -163,15 +216,12 @@ class Presence(InOrder):
         if last is not None and last + self.limit <= mark:
             changes.append(("0", last + self.limit))
             last = None
-        if last is None and before is not None:
-            self._last.clear()
-        elif last != before:
-            self._last.update((last,))
-        self._due = None if last is None else last + self.limit
+        if last is not None:
+            self._last[key] = (last,)
         return changes
 
-    def due(self):
-        return self._due
+    def dues(self):
+        return ((key, last + self.limit) for key, (last,) in self._last.items())
 
 
 def _stretches(limit: pd.Timedelta):
@@ -214,7 +264,7 @@ _NAMES = _columns(_DAY)
 
 
 class Daily(InOrder):
-    """One statistic per vehicle and day, in a map that loses days older than the horizon."""
+    """One statistic per vehicle and day; days older than the horizon are lost."""
 
     row = "us bigint, seq bigint, day string, stat_us bigint, mileage double, energy double, fuel double, charge_all double, charge_status string"
     out = _columns(DAILY)
@@ -223,29 +273,24 @@ class Daily(InOrder):
         self.work_gap, self.mile_cap, self.horizon = work_gap, mile_cap, horizon
 
     def open(self, handle):
-        self._days = handle.getMapState("days", "day string", _DAY)
+        self._days = Kept(handle, "days", self.keys + 1)
+        self.kept = [self._days]
 
     def fold(self, key, rows, mark):
         results = []
-        known = {k[0]: v for k, v in self._days.iterator()}
         for name in sorted({r[2] for r in rows}):
-            old = known.get(name)
+            old = self._days.get((*key, name))
             new = self._extended(dict(zip(_NAMES, old)) if old else dict.fromkeys(_NAMES), [r for r in rows if r[2] == name])
+            self._days[(*key, name)] = new
             results.append((name, *new))
-        known.update({r[0]: r[1:] for r in results})
-        ends = {name: v[2] + self.horizon for name, v in known.items()}
-        over = [name for name, end in ends.items() if end <= mark]
-        for name, *new in results:
-            if name not in over:
-                self._days.updateValue((name,), tuple(new))
-        for name in over:
-            self._days.removeKey((name,))
-            del ends[name]
-        self._due = min(ends.values(), default=None)
         return results
 
-    def due(self):
-        return self._due
+    def forget(self, mark):
+        for name in [name for name, day in self._days.items() if day[2] + self.horizon <= mark]:
+            del self._days[name]
+
+    def dues(self):
+        return ((name[:-1], day[2] + self.horizon) for name, day in self._days.items())
 
     def _extended(self, s: dict, rows: list[tuple]) -> tuple:
         us, seq, _, stat, mile, energy, fuel, charge, status = zip(*rows)
@@ -319,7 +364,8 @@ class Episodes(InOrder):
         self.gap, self.expire, self.events = gap, expire, events
 
     def open(self, handle):
-        self._open = handle.getValueState("open", self.episode)
+        self._open = Kept(handle, "open", self.keys)
+        self.kept = [self._open]
 
     def begin(self, row: tuple) -> dict:
         return {}
@@ -329,7 +375,7 @@ class Episodes(InOrder):
 
     def fold(self, key, rows, mark):
         names = _columns(self.episode)
-        before = self._open.get() if self._open.exists() else None
+        before = self._open.pop(key, None)
         now = dict(zip(names, before)) if before is not None else None
         results, touched = [], False
 
@@ -355,21 +401,19 @@ class Episodes(InOrder):
             end(now["_first_us"] + self.expire)
         if touched:
             results.append((*now.values(), False, now["_hot_us"]))
-        if now is None and before is not None:
-            self._open.clear()
-        elif now is not None and tuple(now.values()) != before:
-            self._open.update(tuple(now.values()))
-        self._due = None if now is None or self.expire is None else now["_first_us"] + self.expire + 1
+        if now is not None:
+            self._open[key] = tuple(now.values())
         return results
 
-    def due(self):
-        return self._due
+    def dues(self):
+        return iter(()) if self.expire is None else ((key, episode[0] + self.expire + 1) for key, episode in self._open.items())
 
     def _old(self, episode: dict, us: int) -> bool:
         return self.expire is not None and us - episode["_first_us"] > self.expire
 
 
 class AlarmEpisodes(Episodes):
+    keys = len(A.KEYS)
     row = "us bigint, seq bigint, neg_inx bigint, hot boolean, alarm_name string"
     episode = "_first_us bigint, _hot_us bigint, error_name string"
     out = (*A.KEYS, *_columns(episode), "closed", "_seen_us")
@@ -450,6 +494,7 @@ class DailyAndCharge(InOrder):
     def open(self, handle):
         self.days.open(handle)
         self.sessions.open(handle)
+        self.kept = [*self.days.kept, *self.sessions.kept]
 
     def fold(self, key, rows, mark):
         days = self.days.fold(key, [r[:9] for r in rows if r[9]], mark)
@@ -458,8 +503,11 @@ class DailyAndCharge(InOrder):
         blank = (None,) * (len(self.out) - 1 - wide)
         return [(*d, *blank) for d in days] + [((None,) * wide + s) for s in sessions]
 
-    def due(self):
-        return min((x for x in (self.days.due(), self.sessions.due()) if x is not None), default=None)
+    def forget(self, mark):
+        self.days.forget(mark)
+
+    def dues(self):
+        return chain(self.days.dues(), self.sessions.dues())
 
 
 def daily_and_charge(records: DataFrame, vehicles: DataFrame, rules: DataFrame, gap: str = C.CHARGE_GAP, horizon_days: int = 2) -> DataFrame:

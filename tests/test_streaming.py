@@ -202,6 +202,29 @@ def test_a_batch_touches_the_state_of_its_own_vehicles(spark, tmp_path):
     assert len(touched["V2"]) == 1 and len(touched["V1"]) >= 3
 
 
+def test_vehicles_share_the_calls_to_the_state(spark, tmp_path):
+    """A variable of the state is read and written once per bucket, and each vehicle's days are its own."""
+    n = 3 * stateful.BUCKETS
+    df = frame(spark, [(f"V{i % n}", models.at(i // n * 60 + i % 50), i, float(i % 97 + i // n), None, None) for i in range(2 * n)])
+    stream = arrive(spark, df, str(tmp_path / "in"), 2)
+    drain(stateful.daily_changes(stream, horizon_days=3), str(tmp_path / "out"), tmp_path / "c")
+    same(final(spark, str(tmp_path / "out"), list(D.KEYS)), D.daily_stats(df))
+    stored = spark.read.format("statestore").option("stateVarName", "days").load(str(tmp_path / "c"))
+    assert 0 < stored.count() <= stateful.BUCKETS
+    assert flows.state_of(spark, str(tmp_path / "c"), stateVarName="days").select("key.vehicle_id").distinct().count() == n
+
+
+def test_a_batch_is_staged_in_several_files(spark, tmp_path):
+    """Each file is read by one task."""
+    from fleetpulse.plans.streams import Replay
+
+    rows = spark.range(0, 1000, 1, 1).selectExpr("id", "cast(id % 2 AS int) AS batch")
+    Replay(rows, str(tmp_path / "r"), 2)
+    for k in range(2):
+        assert len(list((tmp_path / f"r/staged/batch={k}").glob("*.parquet"))) > 1
+    assert spark.read.parquet(str(tmp_path / "r/staged")).count() == 1000
+
+
 def test_old_days_and_sessions_expire(spark, tmp_path):
     rows = [("V1", models.at(0), 0, 1.0, None, None), ("V2", models.at(0), 1, 1.0, None, None), ("V2", models.at(5 * 86400), 2, 1.0, None, None)]
     stream = arrive(spark, frame(spark, rows), str(tmp_path / "in"), 3)
