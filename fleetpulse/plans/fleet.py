@@ -17,7 +17,7 @@ from fleetpulse.plans.registry import query
 from fleetpulse.sources import adapter
 from fleetpulse.session import scratch_path
 from fleetpulse.sources.sinks import append_batch, read_batches
-from fleetpulse.sources.tables import spread, with_rule_defaults
+from fleetpulse.sources.tables import deal, with_rule_defaults
 
 FLEET = (Q.READINGS, Q.VEHICLES, Q.RULES, Q.CHECKS)
 SECOND_FLEET = (Q.SECOND_READINGS, Q.VEHICLES, Q.RULES, Q.CHECKS)
@@ -41,7 +41,7 @@ def _rules(spark, sf):
 
 
 def _records(spark, sf):
-    return adapter.records(spread(_events(spark, sf), "event_id"))
+    return adapter.records(deal(_events(spark, sf), "event_id"))
 
 
 def _fleet(spark, sf):
@@ -49,7 +49,7 @@ def _fleet(spark, sf):
 
 
 def _wire(spark, sf):
-    return adapter.wire_messages(spread(_events(spark, sf), "event_id"))
+    return adapter.wire_messages(deal(_events(spark, sf), "event_id"))
 
 
 def _wire_records(spark, sf):
@@ -158,7 +158,7 @@ def mile_aggregator(spark, sf):
 @query("mile_combiner", MILES)
 def mile_combiner(spark, sf):
     """The same by a user's combiner."""
-    return CB.distances(adapter.readings(spread(_events(spark, sf), "event_id")))
+    return CB.distances(adapter.readings(deal(_events(spark, sf), "event_id")))
 
 
 COALESCED = """SELECT vehicle_id, make_timestamp((us // 21600000000 + 1) * 21600000000) AS flush_ts,

@@ -36,6 +36,20 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
+#: Rows of a task that parses and matches messages.
+TASK_ROWS = 50_000
+
+
+def deal(df: DataFrame, key: str, rows: int = TASK_ROWS) -> DataFrame:
+    """Short rows that are costly to parse, in tasks of about ``rows`` rows, one for each core at least.
+
+    The number of splits says nothing about their rows: a file has a split for so many bytes, and all rows of a row
+    group are in one of them. Parquet counts rows without reading them.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(cores, -(-df.count() // rows)), key)
+
+
 def with_rule_defaults(rules: DataFrame) -> DataFrame:
     """Lower-case column names and rule defaults."""
     named = rules.toDF(*[c.lower() for c in rules.columns])

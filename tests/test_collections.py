@@ -265,3 +265,18 @@ def test_file_round_trip(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(3).write.parquet(path)
     assert tables.read_table(spark, path=path).count() == 3
+
+
+def test_rows_of_one_row_group_are_dealt_to_several_tasks(spark, tmp_path):
+    """A file of one row group has as many splits as its bytes, but all rows are in one of them."""
+    path = str(tmp_path / "one")
+    spark.range(0, 100_000, 1, 1).selectExpr("id", "uuid() AS text").write.parquet(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")
+    try:
+        source = spark.read.parquet(path)
+        sizes = lambda df: df.groupBy(F.spark_partition_id()).count().agg(F.count("*"), F.max("count")).first()
+        assert source.rdd.getNumPartitions() >= 4 and sizes(source)[1] == 100_000
+        tasks, most = sizes(tables.deal(source, "id", rows=10_000))
+        assert tasks == 10 and most < 12_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
