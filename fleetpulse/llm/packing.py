@@ -22,11 +22,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetpulse.llm.common import small_batches
 from fleetpulse.llm.packed import give_back
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint"
 #: Bytes of text tokenized at once; distinct words and bytes of them whose ids a task keeps.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 KEPT_WORDS = 1_000_000
 KEPT_BYTES = 64 << 20
 #: Letters of Latin-1, whose lower case is a letter of its own, then marks without an apostrophe or angle bracket.
@@ -149,6 +150,23 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Ar
             start = stop
 
 
+def _rows(keys: pa.Array, ids: np.ndarray, sizes: np.ndarray, longest: int, end_id: int) -> pa.RecordBatch:
+    """The pieces of some documents, whose ids lie end to end without the end id."""
+    raw, at = memoryview(ids.astype("<u4", copy=False).view(np.uint8)), 0
+    last = np.array([end_id], "<u4").tobytes()
+    rows: dict[str, list] = {k: [] for k in ("doc_id", "start", "length", "ids", "doc_tokens")}
+    for key, n in zip(keys.to_pylist(), sizes.tolist()):
+        own, at, begin = b"".join((raw[4 * at : 4 * (at + n)], last)), at + n, 0
+        for length in power_lengths(n + 1, longest):
+            rows["doc_id"].append(key)
+            rows["start"].append(begin)
+            rows["length"].append(length)
+            rows["ids"].append(own[4 * begin : 4 * (begin + length)])
+            rows["doc_tokens"].append(n + 1)
+            begin += length
+    return pa.RecordBatch.from_pydict(rows, pa.schema([(k, pa.binary() if k == "ids" else pa.int64()) for k in rows]))
+
+
 def pack(
     docs: DataFrame,
     tokenizer_path: str,
@@ -171,28 +189,13 @@ def pack(
     def cut(batches):
         coder = WordIds(tokenizer_path)
         for keys, texts in _chunks(batches):
-            ids, sizes = coder.encode(pc.fill_null(texts, ""))
-            raw, at = ids.astype("<u4").tobytes(), 0
-            last = np.array([end_id], "<u4").tobytes()
-            rows: dict[str, list] = {k: [] for k in ("doc_id", "start", "length", "ids", "doc_tokens")}
-            for key, n in zip(keys.to_pylist(), sizes.tolist()):
-                own, at, begin = raw[4 * at : 4 * (at + n)] + last, at + n, 0
-                for length in power_lengths(n + 1, longest):
-                    rows["doc_id"].append(key)
-                    rows["start"].append(begin)
-                    rows["length"].append(length)
-                    rows["ids"].append(own[4 * begin : 4 * (begin + length)])
-                    rows["doc_tokens"].append(n + 1)
-                    begin += length
-            yield pa.RecordBatch.from_pydict(
-                rows,
-                pa.schema(
-                    [(k, pa.binary() if k == "ids" else pa.int64()) for k in rows],
-                ),
-            )
+            yield _rows(keys, *coder.encode(pc.fill_null(texts, "")), longest, end_id)
+            # allocators keep what a chunk has freed, in places that the next one does not fit
+            give_back()
         del coder
         give_back()
 
+    small_batches(docs.sparkSession)
     own = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     bucket = F.log2("length").cast("int")
     return own.mapInArrow(cut, PIECES).select(

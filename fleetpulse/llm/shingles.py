@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetpulse.llm.common import tasks
+from fleetpulse.llm.common import small_batches, tasks
 from fleetpulse.llm.packed import columns, deal, give_back, mix, planes, slices, steps
 
 ROWS = "part bigint, kind int, task bigint, hash binary, text binary, doc binary, none binary, size binary, sum binary"
@@ -70,9 +70,11 @@ def shingle_hashes(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]
 def _flush(held: list, docs: list, task: int, parts: int):
     """Rows of one batch of texts: sizes and keys of the sets, pairs dealt to parts, pairs known to be shared."""
     hashes = np.concatenate([h for h, _ in held]) if held else np.zeros(0, np.uint64)
-    texts = np.concatenate([t for _, t in held]) if held else np.zeros(0, np.int64)
-    order = np.lexsort((texts, hashes))
+    texts = np.concatenate([t for _, t in held]) if held else np.zeros(0, np.uint32)
+    held.clear()
+    order = np.argsort(hashes, kind="stable")  # a text's pairs lie together, so its equal hashes do then
     hashes, texts = hashes[order], texts[order]
+    del order
     if len(hashes):
         new = np.concatenate([[True], (np.diff(hashes) != 0) | (np.diff(texts) != 0)])
         hashes, texts = hashes[new], texts[new]
@@ -83,15 +85,16 @@ def _flush(held: list, docs: list, task: int, parts: int):
         starts = np.cumsum(sizes) - sizes
         some = sizes > 0
         sums[some] = np.add.reduceat(mix(hashes[by_text]), starts[some])
+        del by_text
     none = np.array([d is None for d in docs], np.uint8)
     ids = np.array([0 if d is None else d for d in docs], np.int64)
     rows = [{"part": task, "kind": TEXTS, "task": task, "doc": planes(ids), "none": planes(none), "size": planes(sizes), "sum": planes(sums)}]
     if len(hashes):
         again = np.concatenate([[False], hashes[1:] == hashes[:-1]])
         several = again | np.concatenate([again[1:], [False]])
-        rows.append({"part": task, "kind": SHARED, "task": task, "hash": steps(hashes[several]), "text": planes(texts[several].astype(np.uint32))})
+        rows.append({"part": task, "kind": SHARED, "task": task, "hash": steps(hashes[several]), "text": planes(texts[several])})
         for kind, which in ((SINGLE, ~several), (SEEN, several & ~again)):
-            h, t = hashes[which], texts[which].astype(np.uint32)
+            h, t = hashes[which], texts[which]
             for part, at in slices(deal(h << np.uint64(8), parts)):
                 rows.append(
                     {"part": -1 - part, "kind": kind, "task": task, "hash": steps(h[at]), "text": planes(t[at]) if kind == SINGLE else None}
@@ -111,12 +114,13 @@ def _split(width: int, parts: int):
                 done = bytes_so_far[start - 1] if start else 0
                 stop = max(start + 1, int(np.searchsorted(bytes_so_far, done + CHUNK_BYTES)))
                 hashes, owners = shingle_hashes(batch.column(1).slice(start, stop - start), width)
-                held.append((hashes, owners + len(docs)))
+                held.append((hashes, (owners + len(docs)).astype(np.uint32)))
                 docs += batch.column(0).slice(start, stop - start).to_pylist()
                 count, start = count + len(hashes), stop
                 if count >= HELD:
                     yield from _flush(held, docs, task + step, parts)
                     held, docs, count, step = [], [], 0, step + 1
+                    give_back()
         if docs:
             yield from _flush(held, docs, task + step, parts)
         held, docs = [], []
@@ -132,17 +136,22 @@ def _compare(table: pa.Table) -> pa.Table:
     own = table.filter(pa.array(kinds < TEXTS))
     if own.num_rows:
         hashes, texts, senders = [], [], []
-        for kind, task, row in zip(own["kind"].to_pylist(), own["task"].to_pylist(), range(own.num_rows)):
+        names = np.array([*own["task"].to_pylist(), -1], np.int64)  # by row; the last one stands for none
+        for kind, row in zip(own["kind"].to_pylist(), range(own.num_rows)):
             got = columns(own.slice(row, 1), hash="steps", text=np.uint32)
             hashes.append(got["hash"])
             texts.append(got["text"] if kind == SINGLE else np.zeros(len(got["hash"]), np.uint32))
-            senders.append(np.full(len(got["hash"]), task if kind == SINGLE else -1, np.int64))
-        hashes, texts, senders = (np.concatenate(x) for x in (hashes, texts, senders))
+            senders.append(np.full(len(got["hash"]), row if kind == SINGLE else -1, np.int32))
+        del own
+        hashes, texts, senders = np.concatenate(hashes), np.concatenate(texts), np.concatenate(senders)
         order = np.argsort(hashes, kind="stable")
-        hashes, texts, senders = hashes[order], texts[order], senders[order]
+        hashes = hashes[order]
         again = np.concatenate([[False], hashes[1:] == hashes[:-1]])
-        several = (again | np.concatenate([again[1:], [False]])) & (senders >= 0)
-        hashes, texts, senders = hashes[several], texts[several], senders[several]
+        several = again | np.concatenate([again[1:], [False]])
+        hashes, order = hashes[several], order[several]
+        named = senders[order] >= 0
+        hashes, order = hashes[named], order[named]
+        texts, senders = texts[order], names[senders[order]]
         order = np.argsort(senders, kind="stable")
         hashes, texts, senders = hashes[order], texts[order], senders[order]
         for task, at in slices(senders):
@@ -184,6 +193,7 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, width: int, percen
     ascending order, if they make up ``percent`` of the set: other sets cannot be that similar to any.
     """
     parts = tasks(docs.sparkSession)
+    small_batches(docs.sparkSession)
     own = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     pairs = own.mapInArrow(_split(width, parts), ROWS)
     shared = pairs.groupBy("part").applyInArrow(_compare, ROWS)

@@ -11,7 +11,8 @@ import pytest
 from llm_fixtures import documents, empty, texts
 from pyspark.sql import functions as F
 
-from fleetpulse.llm import extraction, mixing, packing, pagetext
+from fleetpulse.llm import extraction, jaccard, mixing, packing, pagetext
+from fleetpulse.llm.common import BATCH_BYTES
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
@@ -164,6 +165,32 @@ def test_tokenizers_that_cut_words_get_them_as_texts(tmp_path):
         assert "other" in given and "éèê" in given
 
 
+@pytest.mark.parametrize("build", [lambda docs: packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")), jaccard.joined])
+def test_workers_are_given_few_bytes_at_once(spark, build):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.range(0, 400, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some words "), 5000).alias("text"))
+    measure = lambda batches: (pa.RecordBatch.from_pydict({"bytes": [batch.nbytes]}) for batch in batches)
+    try:
+        spark.conf.unset(key)
+        build(docs)
+        sizes = [row[0] for row in docs.mapInArrow(measure, "bytes bigint").collect()]
+        assert sum(sizes) > 20_000_000 and max(sizes) < 2 * BATCH_BYTES
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_packing_gives_back_after_every_chunk(spark, monkeypatch):
+    seen, cuts = [], []
+    monkeypatch.setattr(packing, "give_back", lambda: seen.append("given back"))
+    monkeypatch.setattr(packing, "CHUNK_BYTES", 40)
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", lambda self, cut, schema: cuts.append(cut) or spark.createDataFrame([], schema))
+    packing.pack(spark.createDataFrame([(0, "")], "doc_id bigint, text string"), public_tokenizers.path("word_bpe_49k.json"))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, None, 4], "text": ["so many words " * 3, None, "", "a few more of them " * 3]})
+    assert sum(seen.append("rows") or rows.num_rows for rows in cuts[0]([batch])) >= 4
+    assert seen.count("rows") > 1 and seen[1::2] == ["given back"] * (len(seen) // 2)
+
+
 def test_power_lengths():
     assert packing.power_lengths(1, 8) == [1] and packing.power_lengths(8, 8) == [8] and packing.power_lengths(31, 8) == [8, 8, 8, 4, 2, 1]
 
