@@ -8,6 +8,10 @@ one token (one-deletion neighbourhoods, kept for every eighth segment). The valu
 than ``most``; the cheapest choice leaves out the empty segments, which all sets share, then takes equal
 segments at one lookup each, then neighbourhoods at a lookup per token, and empty segments last.
 
+A set mostly has more filled segments than it needs. Linked sets then agree on one more segment than a set can
+spare, so each set leaves the spare buckets with the most members out (a prefix of all buckets in one order, the
+rarest first): a passage that many otherwise different texts have fills few segments, and these are the first to go.
+
 Beforehand tokens that only one set has are put aside (they count as differences), with every set
 that has too many of them to be similar to any other. Equal sets are one class throughout.
 
@@ -30,7 +34,8 @@ from fleetpulse.llm.components import components
 from fleetpulse.llm.packed import mix
 from fleetpulse.llm.shingles import shingle_sets
 
-SIGNATURES = "bucket bigint, node bigint, listed boolean, asks boolean"
+#: ``how`` is 1 for a bucket that lists the set, plus 2 if the set asks there, plus 4 times the pair of bands, plus 16 times what it can spare.
+SIGNATURES = "bucket bigint, node bigint, how int"
 EVERY = 8
 ROUNDS = 1
 #: Sets on either side of a block of comparisons.
@@ -59,20 +64,26 @@ def _segments(tokens: np.ndarray, count: int, salt: int) -> list[tuple[int, np.n
 
 def signatures(size: int, tokens: np.ndarray, percent: int, ends: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bucket, listed, asks) of one set: buckets in which others find it, and in which it looks for others."""
+    bucket, how = _signatures(size, tokens, percent, ends)
+    return bucket, how & 1 > 0, how & 2 > 0
+
+
+def _signatures(size: int, tokens: np.ndarray, percent: int, ends: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, how) of one set."""
     band = int(np.searchsorted(ends, size, side="right")) - 1
     alone = size - len(tokens)
-    buckets, listed, asks = [], [], []
+    buckets, ways = [], []
 
-    def put(values: np.ndarray, is_listed: bool, is_asking: bool) -> None:
+    def put(values: np.ndarray, is_listed: bool, is_asking: bool, side: int, spare: int = 0) -> None:
         buckets.append(values)
-        listed.append(np.full(len(values), is_listed))
-        asks.append(np.full(len(values), is_asking))
+        ways.append(np.full(len(values), is_listed + 2 * is_asking + 4 * side + 16 * spare, np.int32))
 
     own = mix(tokens)
     for low in (band - 1, band):
         for high in (low, low + 1):
             if low < 0 or band not in (low, high):
                 continue
+            side = 2 * (band - low) + high - low  # 0, 1 and 3
             low_top, high_top = ends[low + 1] - 1, ends[high + 1] - 1
             other_top = min(high_top if band == low else low_top, size * 100 // percent)
             other_least = ends[low] if band == high and low != high else ends[high]
@@ -92,33 +103,33 @@ def signatures(size: int, tokens: np.ndarray, percent: int, ends: list[int]) ->
                 continue  # alone in too many tokens
             exact = name(segment, content, 0)
             # values: filled segments 1; neighbourhoods then make up for what is missing, smallest segments first
-            put(exact[filled], True, True)
             missing = need - int(filled.sum())
+            put(exact[filled], True, True, side, max(0, -missing))
             special = segment[(segment % EVERY == 0) & filled]
             taken = special[np.argsort((cuts[1:] - cuts[:-1])[special], kind="stable")][: max(0, missing)]
-            put(exact[~filled], True, missing > len(taken))
+            put(exact[~filled], True, missing > len(taken), side)
             inner = np.flatnonzero(where % EVERY == 0)
-            put(name(where[inner], content[where[inner]] - own[inner], 1), True, False)
+            put(name(where[inner], content[where[inner]] - own[inner], 1), True, False, side)
             if missing > 0 and len(taken):
                 inner = np.flatnonzero(np.isin(where, taken))
-                put(name(where[inner], content[where[inner]] - own[inner], 0), False, True)
-                put(name(taken, content[taken], 1), False, True)
+                put(name(where[inner], content[where[inner]] - own[inner], 0), False, True, side)
+                put(name(taken, content[taken], 1), False, True, side)
     if not buckets:
-        return np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(0, bool)
-    return np.concatenate(buckets), np.concatenate(listed), np.concatenate(asks)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int32)
+    return np.concatenate(buckets), np.concatenate(ways)
 
 
 def _sign(percent: int):
     def run(batches):
         ends = bands(percent)
         for batch in batches:
-            parts = [([], [], [], [])]
+            parts = ([], [], [])
             for node, size, raw in zip(*[batch.column(k).to_pylist() for k in ("node", "size", "tokens")]):
-                bucket, listed, asks = signatures(size, np.frombuffer(raw, np.uint64), percent, ends)
-                for column, values in zip(parts[0], (bucket.view(np.int64), np.full(len(bucket), node, np.int64), listed, asks)):
+                bucket, how = _signatures(size, np.frombuffer(raw, np.uint64), percent, ends)
+                for column, values in zip(parts, (bucket.view(np.int64), np.full(len(bucket), node, np.int64), how)):
                     column.append(values)
-            if parts[0][0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in parts[0]], ["bucket", "node", "listed", "asks"])
+            if parts[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in parts], ["bucket", "node", "how"])
 
     return run
 
@@ -151,18 +162,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 def links_between(nodes: DataFrame, percent: int) -> DataFrame:
     """(node, component) of every set that is linked with a different one; nodes: (node, size, tokens, held)."""
     signed = nodes.select("node", "size", "tokens").mapInArrow(_sign(percent), SIGNATURES)
-    bucket = Window.partitionBy("bucket")
-    mark = lambda c: F.xxhash64("node", c)
-    grouped = signed.select(
-        "*",
-        F.count("*").over(bucket).alias("_n"),
-        F.max("asks").over(bucket).alias("_asked"),
-        F.max("listed").over(bucket).alias("_listed"),
-        F.bit_xor(F.xxhash64("node", "listed", "asks")).over(bucket).alias("_members"),
-    ).filter("_n > 1 AND _asked AND _listed")
-    # buckets with the same members are one group
-    group = F.xxhash64("_members", "_n").alias("group")
-    members = stored(grouped.select(group, "node", "listed", "asks").distinct(), "buckets")
+    members = stored(_members(signed), "buckets")
     links: DataFrame | None = None
     for turn in range(ROUNDS):
         chosen = F.min_by("node", F.xxhash64("node", F.lit(turn)))
@@ -180,6 +180,23 @@ def links_between(nodes: DataFrame, percent: int) -> DataFrame:
     return components(rest if links is None else links.unionByName(rest))
 
 
+def _members(signed: DataFrame) -> DataFrame:
+    """(group, node, listed, asks): the buckets in which sets can meet, without those that a set can spare."""
+    bucket = Window.partitionBy("bucket")
+    met = lambda rows, *also: rows.select(
+        "*", F.count("*").over(bucket).alias("_n"), F.bit_or("how").over(bucket).alias("_any"), *also
+    ).filter("_n > 1 AND _any & 3 = 3")
+    # all members of a bucket give it the same place in the order; what a set cannot spare is not counted
+    spare = F.shiftright("how", 4)
+    counted = F.when(spare > 0, F.col("how"))
+    order = Window.partitionBy("node", counted).orderBy(F.desc("_n"), "bucket")
+    ranked = met(signed).withColumn("_at", F.row_number().over(order)).filter(F.col("_at") > spare).select("bucket", "node", "how")
+    kept = met(ranked, F.bit_xor(F.xxhash64("node", F.col("how").bitwiseAND(3))).over(bucket).alias("_members"))
+    # buckets with the same members are one group
+    flag = lambda bit: F.col("how").bitwiseAND(bit) > 0
+    return kept.select(F.xxhash64("_members", "_n").alias("group"), "node", flag(1).alias("listed"), flag(2).alias("asks")).distinct()
+
+
 def _compared(members: DataFrame, known: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Links between sets that share a bucket and are in different components, as many as connect them."""
     placed = members.join(known, "node")

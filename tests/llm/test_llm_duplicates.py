@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -9,7 +10,7 @@ from llm_fixtures import documents, empty, texts
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fleetpulse.llm import backoff, components, jaccard, neighbours, repeats, rules, suffixes
+from fleetpulse.llm import backoff, common, components, jaccard, neighbours, repeats, rules, suffixes
 from fleetpulse.llm import shingles as shingle_module
 
 
@@ -99,6 +100,43 @@ def test_signatures_meet_for_every_linked_pair():
             assert asked
 
 
+def test_texts_that_share_a_passage_alone_are_not_compared(spark, monkeypatch):
+    draw = random.Random(5)
+    word = lambda: f"w{draw.randrange(100_000)}"
+    passage = " ".join(word() for _ in range(30))
+    rows = []
+    for _ in range(60):  # all have the passage, and each a copy, so that all its shingles are in two texts, and a near copy
+        text = f"{' '.join(word() for _ in range(120))} {passage} {' '.join(word() for _ in range(120))}"
+        rows += [text, text.replace(" ", "\n", 3), f"{text} {word()} {word()}"]
+    rows = list(enumerate(rows))
+    stored, homes = jaccard.stored, []
+
+    def noted(df, name, *more):
+        found = stored(df, name, *more)
+        if name == "homes":
+            homes.append(found.count())
+        return found
+
+    monkeypatch.setattr(jaccard, "stored", noted)
+    found = texts(jaccard.joined(spark.createDataFrame(rows, "doc_id bigint, text string")), "doc_id", "n_shingles", "component_id")
+    assert sorted(found) == sorted(similar_groups(rows))
+    assert homes == [0]
+
+
+def test_stored_leaves_no_shuffle(spark):
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    shuffled = lambda: {x for x in env.blockManager().diskBlockManager().getAllBlocks().mkString(" ").split() if x.startswith("shuffle_")}
+    before, setting = shuffled(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    counts = spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count()
+    found = common.stored(counts.join(counts.withColumnRenamed("count", "n"), "k"), "counts")
+    limit = time.time() + 20
+    while shuffled() - before and time.time() < limit:
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert found.count() == 100
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(0, 60)] + [(100, 101), (101, 100)], "a bigint, b bigint")
     found = dict(texts(components.components(links), "node", "component"))
