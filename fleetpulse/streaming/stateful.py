@@ -3,7 +3,8 @@
 ``InOrder`` is a stateful processor that holds a key's rows until the watermark has passed them and then folds them
 in time order, so results do not depend on how rows are cut into batches or on their order within the
 watermark's delay. A call to the state store takes about half a millisecond from Python, so keys are dealt to ``BUCKETS``
-buckets by hash, and a bucket reads and writes what it keeps in one call per variable. Each bucket has one timer: the
+buckets by hash, and a bucket reads and writes what it keeps in one call per variable. Rows go to Python as one text
+each and results come back as a text for many: Spark turns rows of several columns into Python's one value at a time. Each bucket has one timer: the
 moment at which something of its keys is due. A batch touches the state of the buckets of its own keys and of those
 whose timer is due; nothing else is read or written. Rows that are behind the watermark when they come are dropped:
 by the machine in the batch after the one that moved the watermark, later by Spark, which counts them in the query's
@@ -26,6 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.types import ArrayType, StructField, StructType, _parse_datatype_string
 
 from fleetpulse.functions import messages as M
 from fleetpulse.functions.times import day, micros
@@ -36,6 +38,8 @@ from fleetpulse.operators import daily as D
 AHEAD = "1 day"
 #: Buckets of a machine's keys. A batch that has one of a bucket's keys rewrites what the bucket keeps.
 BUCKETS = 1024
+#: Results in a text.
+RESULTS = 1000
 
 
 def plausible(rows: DataFrame, ts: str = "ts") -> DataFrame:
@@ -146,12 +150,22 @@ class InOrder(StatefulProcessor):
         for timer in wanted:
             if timer not in timers:
                 self._handle.registerTimer(timer)
-        for r in results:
-            yield Row(**dict(zip(self.out, r)))
+        for k in range(0, len(results), RESULTS):
+            yield Row(_found=json.dumps([dict(enumerate(r)) for r in results[k : k + RESULTS]]))
+
+    def _unpacked(self, texts: list[str]) -> list[tuple]:
+        """The keys and the row of each text."""
+        joined = f"[{','.join(texts)}]"
+        fresh = [tuple(r.values()) for r in json.loads(joined)]
+        if '"NaN"' in joined or 'Infinity"' in joined:  # Spark writes such numbers as texts
+            kinds = [field.split(" ")[1] for field in self.row.split(", ")]
+            doubles = {self.keys + k for k, kind in enumerate(kinds) if kind == "double"}
+            fresh = [tuple(float(v) if k in doubles and v is not None else v for k, v in enumerate(r)) for r in fresh]
+        return fresh
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        # the columns of ``_fold``: the time, the bucket, the keys and the row
-        fresh = [tuple(r)[2:] for r in rows]
+        # the columns of ``_fold``: the time, the bucket, and the keys and the row
+        fresh = self._unpacked([r[2] for r in rows])
         mark_ms = timerValues.getCurrentWatermarkInMs()
         # Spark drops late rows by the watermark of the batch before; those between the two are late as well
         yield from self._advance([r for r in fresh if self.newest(r[self.keys :]) > mark_ms * 1000], mark_ms)
@@ -175,8 +189,11 @@ def _fold(rows: DataFrame, keys: list[str], machine: InOrder, schema: str, mode:
     # rows without a key belong to no vehicle
     known = rows.dropna(subset=keys)
     bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int").alias("_bucket")
-    dealt = known.select("ts", bucket, *keys, *_columns(machine.row))
-    return dealt.groupBy("_bucket").transformWithState(machine, schema, mode, "EventTime")
+    texts = F.to_json(F.struct(*[F.col(c).alias(str(k)) for k, c in enumerate((*keys, *_columns(machine.row)))]), {"ignoreNullFields": "false"})
+    found = known.select("ts", bucket, texts.alias("_row")).groupBy("_bucket").transformWithState(machine, "_found string", mode, "EventTime")
+    fields = _parse_datatype_string(schema).fields
+    kind = ArrayType(StructType([StructField(str(k), f.dataType) for k, f in enumerate(fields)]))
+    return found.select(F.inline(F.from_json("_found", kind))).toDF(*[f.name for f in fields])
 
 
 # ---- online and offline

@@ -132,6 +132,36 @@ def test_alarm_events_are_given_out_once_and_meet(spark, tmp_path):
     assert table.filter("end_ts IS NULL").count() > 0
 
 
+def test_a_join_keeps_one_store_per_partition(spark, tmp_path):
+    schema = "unid string, table_suf string, vehicle_id string, begin_ts timestamp, end_ts timestamp, seen_ts timestamp"
+    spark.createDataFrame([("a", "1", "V1", models.at(1), models.at(2), models.at(3))], schema).write.parquet(str(tmp_path / "in"))
+    read = lambda: spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    met = flows.ends_meet_begins(read().drop("end_ts"), read().select("unid", "end_ts", "table_suf", "seen_ts"), "1 day")
+    drain(met, str(tmp_path / "out"), tmp_path / "c", "append")
+    stores = [x.name for x in (tmp_path / "c" / "state" / "0" / "0").iterdir() if x.is_dir()]
+    assert not [x for x in stores if x.startswith(("left", "right"))]
+    assert [r.vehicle_id for r in read_batches(spark, str(tmp_path / "out")).collect()] == ["V1"]
+
+
+def test_machines_get_each_row_as_a_text(spark, tmp_path):
+    schema = "vehicle_id string, ts timestamp, seq bigint, hot boolean, cold boolean, in_charge double, soc double"
+    odd = 'V"1\n{é\U0001f600'
+    nan, far = float("nan"), float("inf")
+    rows = [(odd, models.at(1), 1, True, False, nan, None), (odd, models.at(2), 2, True, False, 0.1, -far), ("V2", models.at(1), 2**60, True, False, far, 1e-7)]
+    rows.append(("V2", models.at(9 * 86400), 4, False, True, None, nan))
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "in"))
+    signals = stateful.timed(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), "1 minute")
+    found = stateful.charge_changes(signals, "1 hour")
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert "Project [ts" in plan and "_bucket" in plan and "_row" in plan
+    drain(found, str(tmp_path / "out"), tmp_path / "c")
+    out = {r["vehicle_id"]: r for r in read_batches(spark, str(tmp_path / "out")).collect()}
+    assert set(out) == {odd, "V2"}
+    first, second = out[odd], out["V2"]
+    assert first["n"] == 2 and first["first_charge"] != first["first_charge"] and first["last_charge"] == 0.1 and first["rest_soc"] is None
+    assert (second["n"], second["first_charge"], second["positive_charge"], second["first_soc"], second["closed"]) == (1, far, far, 1e-7, False)
+
+
 @pytest.mark.parametrize("parts", [1, 4])
 def test_charge_stream_equals_batch(spark, tmp_path, parts):
     vehicles, rules = tables_of(spark)
