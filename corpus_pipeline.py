@@ -18,8 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetpulse.llm import jaccard, mixing, packing, repeats, rules
-from fleetpulse.llm.common import Scratch, table
-from fleetpulse.session import scratch_path
+from fleetpulse.llm.common import Scratch, stored, table
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -94,13 +93,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), Scratch(spark)
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            path = scratch_path(spark, f"pipeline-{name}")
-            docs.write.parquet(path)
-            docs = spark.read.parquet(path)
+            with Scratch(spark) as written:
+                docs = stored(docs, name)
+            before.clear()  # what the stage has read
+            before = written
     return docs
 
 

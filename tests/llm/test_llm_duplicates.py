@@ -3,6 +3,7 @@
 import hashlib
 import random
 import time
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -287,6 +288,17 @@ def test_pipeline_stages(spark, tmp_path):
         assert step(spark, hollow, str(tmp_path)).count() == 0, name
 
 
+def test_pipeline_keeps_the_result_of_one_stage(spark, tmp_path, monkeypatch):
+    documents(spark).write.parquet(str(tmp_path / "in" / "documents.parquet"))
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(f"part{k}", lambda s, d, _, k=k: d.filter(F.col("doc_id") % 5 != k)) for k in range(4)])
+    scratch = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    found = corpus_pipeline.run(spark, str(tmp_path / "in"))
+    assert len([x for x in scratch.iterdir() if "-part" in x.name]) == 1
+    assert sorted(found.select("doc_id").distinct().toPandas()["doc_id"] % 5) == sorted(
+        documents(spark).filter("doc_id % 5 = 4").select("doc_id").distinct().toPandas()["doc_id"] % 5
+    )
+
+
 def test_backoff_of_large_batches(spark, monkeypatch):
     docs = documents(spark)
     whole = sorted(texts(backoff.score(docs), "doc_id", "log_score"), key=NULLS_LAST)
